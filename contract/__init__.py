@@ -1,0 +1 @@
+"""Wiring of the library to the driver: one query key per inventory item."""
