@@ -192,6 +192,8 @@ SELECT f.order_item_id, {_MEASURES}, payment_type, market, order_region, order_c
 FROM fact_order_items f JOIN dim_order o ON f.order_id = o.order_id
 LEFT JOIN dim_product p ON f.product_card_id = p.product_card_id
 LEFT JOIN dim_customer c ON f.customer_id = c.customer_id""",
+    "coded": "SELECT o.order_id, o.order_country, o.order_city, o.order_date, c.customer_zipcode FROM stg_order o "
+    "LEFT JOIN stg_customer c ON o.customer_id = c.customer_id",
     # Item-grain label with three scores of differing quality; the formulas are exact in double.
     "scored": """
 SELECT i.order_item_id, CAST(o.late_delivery_risk AS INTEGER) AS label,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,21 +38,24 @@ def read_csv(spark: SparkSession, path: str | list[str], dataset: Dataset, malfo
     return reader.csv(path)
 
 
+def relative_file(folder: str) -> Column:
+    """Path of the row's file below `folder`: what identifies a source file."""
+    # The hidden path column is percent-encoded, a plus sign excepted.
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    below = re.escape(urlsplit(folder).path.rstrip("/"))
+    return F.regexp_replace(decoded, f"^.*?{below}/+", "")
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """path, length and modificationTime of every file; contents are not read."""
+    """path, length, modificationTime and file of every file; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(folder)
-        .select("path", "length", "modificationTime", _file_name("path").alias("file"))
+        .select("path", "length", "modificationTime", relative_file(folder).alias("file"))
     )
 
 
-def _file_name(path: str | Column) -> Column:
-    # Paths come percent-encoded from the listing.
-    return F.url_decode(F.substring_index(path, "/", -1))
-
-
 def validate_files(spark: SparkSession, folder: str, expected: Sequence[str] = ()) -> DataFrame:
     """One row per file, and per expected file that is missing: file, length, valid, reason."""
     found = list_files(spark, folder).select("file", "length")
@@ -65,18 +70,22 @@ def validate_files(spark: SparkSession, folder: str, expected: Sequence[str] = (
     return found.select("file", "length", reason.isNull().alias("valid"), reason.alias("reason"))
 
 
-def malformed_counts(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+def malformed_counts(spark: SparkSession, folder: str, dataset: Dataset) -> DataFrame:
     """Rows and malformed rows per file."""
-    rows = read_csv(spark, path, dataset, malformed=True)
+    rows = read_csv(spark, folder, dataset, malformed=True)
     return (
-        rows.select(F.col("_metadata.file_name").alias("file"), F.col(MALFORMED), F.col(f"`{dataset.columns[0]}`"))
+        rows.select(relative_file(folder).alias("file"), F.col(MALFORMED), F.col(f"`{dataset.columns[0]}`"))
         .groupBy("file")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.count(MALFORMED).alias("malformed_count"))
+        .agg(
+            # Always true, but keeps a parsed column in the scan: the reader refuses the raw line alone.
+            F.count_if(F.length(F.coalesce(F.col(f"`{dataset.columns[0]}`"), F.lit(""))) >= 0).alias("row_count"),
+            F.count(MALFORMED).alias("malformed_count"),
+        )
     )
 
 
 def file_fingerprints(spark: SparkSession, folder: str, md5_limit: int = MD5_LIMIT) -> DataFrame:
-    """path, file, length, file_hash of every file.
+    """path, length, file, file_hash of every file.
 
     Files up to `md5_limit` bytes get the MD5 of their bytes. A longer file would be one huge value in
     one task, so its lines are hashed where they are read and folded: length, line count, sum and xor
@@ -88,7 +97,7 @@ def file_fingerprints(spark: SparkSession, folder: str, md5_limit: int = MD5_LIM
         .option("recursiveFileLookup", True)
         .load(folder)
         .filter(F.col("length") <= md5_limit)
-        .select("path", "length", F.md5("content").alias("file_hash"))
+        .select("path", "length", relative_file(folder).alias("file"), F.md5("content").alias("file_hash"))
     )
     lines = (
         spark.read.option("recursiveFileLookup", True)
@@ -97,11 +106,12 @@ def file_fingerprints(spark: SparkSession, folder: str, md5_limit: int = MD5_LIM
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_size").alias("length"),
+            relative_file(folder).alias("file"),
             F.xxhash64("value").alias("h"),
             F.xxhash64(F.lit(1), "value").alias("h2"),
         )
     )
-    folded = lines.groupBy("path", "length").agg(
+    folded = lines.groupBy("path", "length", "file").agg(
         F.md5(
             F.concat_ws(
                 "|",
@@ -112,7 +122,7 @@ def file_fingerprints(spark: SparkSession, folder: str, md5_limit: int = MD5_LIM
             ).cast("binary")
         ).alias("file_hash")
     )
-    return whole.unionByName(folded).withColumn("file", _file_name("path"))
+    return whole.unionByName(folded)
 
 
 def changed_files(fingerprints: DataFrame, state: DataFrame) -> DataFrame:
@@ -140,7 +150,7 @@ def write_bronze(df: DataFrame, root: str, ingested_date: Column | str | None =
         day = F.current_date() if ingested_date is None else F.to_date(F.lit(ingested_date))
         df = df.withColumn("ingested_date", day)
     (
-        df.withColumn("source_stem", F.regexp_replace("_source_file", r"\.[^.]*$", ""))
+        df.withColumn("source_stem", F.regexp_replace("_source_file", r"\.[^./]*$", ""))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
