@@ -12,12 +12,14 @@ SAMPLE = 16 * RANGES
 
 
 def range_bounds(values: DataFrame, column: str, ranges: int = RANGES) -> list:
-    """Up to `ranges - 1` cut values of a column of distinct, non-NULL values.
+    """Up to `ranges - 1` cut values of a column of distinct, non-NULL values; none if they are few.
 
     The values with the smallest hashes are a repeatable uniform sample. Their number is fixed, so
     the driver gets at most `SAMPLE` values; the cuts only balance the work and never change a result.
     """
     sampled = values.select(column).orderBy(F.xxhash64(column)).limit(SAMPLE).collect()
+    if len(sampled) < SAMPLE:
+        return []  # these are all values there are: one range holds them
     ordered = sorted(row[0] for row in sampled)
     step = max(1, len(ordered) // ranges)
     return ordered[step::step][: ranges - 1]
@@ -54,16 +56,14 @@ def running_totals(
         # Read three times below; stored once instead of recomputed from the source each time.
         totals = totals.checkpoint()
         bounds = range_bounds(totals.select(key).distinct() if partition else totals, key)
-    ranged = totals.withColumn("_range", range_index(F.col(key), bounds))
     direction = F.desc if descending else F.asc
-    before = (
-        Window.partitionBy(*group).orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    within = (
-        Window.partitionBy(*group, "_range")
-        .orderBy(direction(key))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if not bounds:
+        window = Window.partitionBy(*group).orderBy(direction(key)).rowsBetween(*upto)
+        return totals.select("*", *[F.sum(m).over(window).alias(f"cum_{m}") for m in measures])
+    ranged = totals.withColumn("_range", range_index(F.col(key), bounds))
+    before = Window.partitionBy(*group).orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*group, "_range").orderBy(direction(key)).rowsBetween(*upto)
     per_range = ranged.groupBy(*group, "_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     offsets = per_range.select(
         *group, "_range", *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in measures]

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where the aggregate above then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles a method above 8000 bytes of code. The wide projections here exceed
+    # that when fused into one method; past this limit Spark generates them in small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
