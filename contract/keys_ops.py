@@ -31,7 +31,7 @@ from quayside.functions import (
 )
 from quayside.ml import evaluate
 from quayside.ml.score import predicted_late
-from quayside.operators.latest import latest_attributes, latest_rows, latest_rows_by_min
+from quayside.operators.latest import latest_attributes, latest_rows, latest_rows_by_window
 from quayside.operators.quality import orphan_keys
 from quayside.plans import questions, silver, star
 
@@ -545,17 +545,17 @@ def _w01(w):
     return stable(latest.select("order_item_id", "order_id", "product_card_id", "sales"))
 
 
-@key("w01_dedup_order_items_by_min", _ITEM_SQL)
-def _w01_min(w):
+@key("w01_dedup_order_items_by_window", _ITEM_SQL)
+def _w01_window(w):
     cleaned = silver.clean_order_items(w.table("bronze_orders"))
-    latest = latest_rows_by_min(cleaned, ["order_item_id"], silver.VERSION)
+    latest = latest_rows_by_window(cleaned, ["order_item_id"], silver.VERSION)
     return stable(latest.select("order_item_id", "order_id", "product_card_id", "sales"))
 
 
 @key("w01_dedup_customers", "SELECT customer_id, customer_street FROM stg_customer")
 def _w01_customers(w):
     cleaned = silver.clean_customer(w.table("bronze_orders"))
-    return latest_attributes(cleaned, ["customer_id"], silver.VERSION).select("customer_id", "customer_street")
+    return latest_rows(cleaned, ["customer_id"], silver.VERSION).select("customer_id", "customer_street")
 
 
 @key(

@@ -35,19 +35,22 @@ def stable(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.withColumns(doubles) if doubles else df
 
 
-def _text_to_integral(c: Column | str, kind: str) -> Column:
-    c = _col(c)
-    # Whole numbers never pass through double, so 64-bit keys keep all their digits.
-    return F.coalesce(c.try_cast(kind), F.round(c.cast("double")).cast(kind))
+def _whole(d: Column) -> Column:
+    # Rounding a double goes through a decimal; values that are whole already skip it.
+    return F.when(d == F.rint(d), d).otherwise(F.round(d))
 
 
 def text_to_int(c: Column | str) -> Column:
     """Text to integer; '2.5' becomes 3 (half away from zero), text that is no number raises."""
-    return _text_to_integral(c, "int")
+    return _whole(_col(c).cast("double")).cast("int")
 
 
 def text_to_bigint(c: Column | str) -> Column:
-    return _text_to_integral(c, "bigint")
+    """Like `text_to_int`; keys too long for a double are read as integers, so they keep all digits."""
+    c = _col(c)
+    d = c.cast("double")
+    whole = _whole(d).cast("bigint")
+    return F.when(F.abs(d) < 2.0**53, whole).otherwise(F.coalesce(c.try_cast("bigint"), whole))
 
 
 def double_to_int(c: Column | str) -> Column:

@@ -121,6 +121,8 @@ def train_models(
 ) -> TrainingRun:
     """Split, prepare on training rows, select, fit, choose thresholds on validation, score on test."""
     parts = stratified_split(labelled(rows, label), "label", keys, seed=effort.seed)
+    # Stored once: medians, scales, codes and the preparation each read it, not the joins behind it.
+    parts = parts.select("split", "label", *numeric, *text).checkpoint()
     train = parts.filter("split = 'train'")
     preprocessor = fit_preprocessor(train, numeric, text)
     names = [*numeric, *text]

@@ -52,7 +52,7 @@ def clean_customer(feed: DataFrame) -> DataFrame:
 
 
 def stg_customer(feed: DataFrame) -> DataFrame:
-    return _stamped(latest_attributes(clean_customer(feed), ["customer_id"], VERSION))
+    return _stamped(latest_rows(clean_customer(feed), ["customer_id"], VERSION))
 
 
 def clean_department(feed: DataFrame) -> DataFrame:
@@ -152,4 +152,4 @@ def clean_product(feed: DataFrame) -> DataFrame:
 
 
 def stg_product(feed: DataFrame) -> DataFrame:
-    return _stamped(latest_attributes(clean_product(feed), ["product_card_id"], VERSION))
+    return _stamped(latest_rows(clean_product(feed), ["product_card_id"], VERSION))
