@@ -38,27 +38,27 @@ def read_csv(spark: SparkSession, path: str | list[str], dataset: Dataset, malfo
     return reader.csv(path)
 
 
-def relative_file(folder: str) -> Column:
+def relative_file(folder: str, path: str = "_metadata.file_path") -> Column:
     """Path of the row's file below `folder`: what identifies a source file."""
     # The hidden path column is percent-encoded, a plus sign excepted.
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
     below = re.escape(urlsplit(folder).path.rstrip("/"))
     return F.regexp_replace(decoded, f"^.*?{below}/+", "")
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """path, length, modificationTime and file of every file; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path", "length", "modificationTime", relative_file(folder).alias("file"))
-    )
+    """file and length of every file; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    sizes = files.select(relative_file(folder).alias("file"), "length")
+    # A scan leaves empty files out; the listing behind it, which the driver holds anyway, has them.
+    names = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    listed = names.select(relative_file(folder, "path").alias("file"))
+    return listed.join(sizes, "file", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
 
 
 def validate_files(spark: SparkSession, folder: str, expected: Sequence[str] = ()) -> DataFrame:
     """One row per file, and per expected file that is missing: file, length, valid, reason."""
-    found = list_files(spark, folder).select("file", "length")
+    found = list_files(spark, folder)
     if expected:
         names = spark.createDataFrame([(n,) for n in expected], "file string")
         found = found.join(names, "file", "full")
