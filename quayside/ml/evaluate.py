@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import flag_sum, ratio
-from quayside.operators.running import running_totals
+from quayside.operators.running import range_bounds, running_totals
 
 BINS = 20
 
@@ -21,15 +21,17 @@ def score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def precision_recall(totals: DataFrame) -> DataFrame:
     """threshold, precision, recall for every distinct score: rows at or above it count as positive."""
-    curve = running_totals(totals, "score", ["pos", "neg"], descending=True)
-    positives = totals.agg(F.sum("pos").alias("positives"))
-    # One row of one number joins the curve.
-    return curve.join(F.broadcast(positives)).select(
+    totals = totals.checkpoint()  # the cuts, the curve and the number of positives all read it
+    curve = running_totals(
+        totals, "score", ["pos", "neg"], descending=True, bounds=range_bounds(totals, "score")
+    )
+    positives = totals.agg(F.sum("pos")).scalar()
+    return curve.select(
         F.col("score").alias("threshold"),
         F.col("cum_pos").alias("true_positives"),
         F.col("cum_neg").alias("false_positives"),
         ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-        ratio(F.col("cum_pos"), F.col("positives")).alias("recall"),
+        ratio(F.col("cum_pos"), positives).alias("recall"),
     )
 
 
@@ -79,9 +81,8 @@ def rates(confusion: DataFrame) -> DataFrame:
 def classification_metrics(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
     """One row: accuracy, precision, recall, f1 at the threshold, and AUC."""
     confusion = rates(df.agg(*confusion_columns(label, score, threshold)))
-    measured = confusion.select("accuracy", "precision", "recall", "f1")
-    # Two one-row results side by side.
-    return measured.join(F.broadcast(auc(score_totals(df, label, score))))
+    area = auc(score_totals(df, label, score)).scalar()
+    return confusion.select("accuracy", "precision", "recall", "f1", area.alias("auc"))
 
 
 def leaderboard(metrics: DataFrame) -> DataFrame:
