@@ -27,13 +27,16 @@ def build_session(app_name: str = "quayside", master: str | None = None, **conf:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    workspace_root(spark)
+    return spark
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Bring a session made elsewhere to the settings the library expects."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    workspace_root(spark)
     return spark
 
 
@@ -43,11 +46,13 @@ def workspace_root(spark: SparkSession) -> str:
     Only a local session that names none gets a temporary folder: on a cluster a folder of one
     machine would be lost with that machine.
     """
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if not current:
+            context.setCheckpointDir(named)
         return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
     if not context.master.startswith("local"):
