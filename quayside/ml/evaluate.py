@@ -11,22 +11,26 @@ from quayside.operators.running import range_bounds, running_totals
 BINS = 20
 
 
-def score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
-    """score, pos, neg: rows folded to distinct scores, however many share one."""
+def score_totals(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
+    """score, pos, neg (per `by`): rows folded to distinct scores, however many share one."""
     y = F.col(label).cast("int")
-    return df.groupBy(F.col(score).alias("score")).agg(
+    return df.groupBy(*([by] if by else []), F.col(score).alias("score")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")
     )
 
 
-def precision_recall(totals: DataFrame) -> DataFrame:
+def precision_recall(totals: DataFrame, by: str | None = None) -> DataFrame:
     """threshold, precision, recall for every distinct score: rows at or above it count as positive."""
     totals = totals.checkpoint()  # the cuts, the curve and the number of positives all read it
-    curve = running_totals(
-        totals, "score", ["pos", "neg"], descending=True, bounds=range_bounds(totals, "score")
-    )
-    positives = totals.agg(F.sum("pos")).scalar()
+    bounds = range_bounds(totals.select("score").distinct() if by else totals, "score")
+    curve = running_totals(totals, "score", ["pos", "neg"], descending=True, partition=by, bounds=bounds)
+    if by:
+        curve = curve.join(totals.groupBy(by).agg(F.sum("pos").alias("positives")), by)
+        positives = F.col("positives")
+    else:
+        positives = totals.agg(F.sum("pos")).scalar()
     return curve.select(
+        *([by] if by else []),
         F.col("score").alias("threshold"),
         F.col("cum_pos").alias("true_positives"),
         F.col("cum_neg").alias("false_positives"),
@@ -35,18 +39,20 @@ def precision_recall(totals: DataFrame) -> DataFrame:
     )
 
 
-def best_threshold(totals: DataFrame) -> DataFrame:
-    """One row: the threshold where precision and recall are closest, the lowest one on a tie."""
+def best_threshold(totals: DataFrame, by: str | None = None) -> DataFrame:
+    """One row (per `by`): the threshold where precision and recall are closest, the lowest on a tie."""
     gap = F.abs(F.col("precision") - F.col("recall"))
     best = F.min(F.struct(gap.alias("gap"), "threshold", "precision", "recall")).alias("best")
-    return precision_recall(totals).agg(best).select("best.threshold", "best.precision", "best.recall")
+    keys = [by] if by else []
+    curve = precision_recall(totals, by)
+    return curve.groupBy(*keys).agg(best).select(*keys, "best.threshold", "best.precision", "best.recall")
 
 
-def auc(totals: DataFrame) -> DataFrame:
-    """Rank-sum AUC; tied scores count half."""
-    curve = running_totals(totals, "score", ["neg"])
+def auc(totals: DataFrame, by: str | None = None) -> DataFrame:
+    """Rank-sum AUC (per `by`); tied scores count half."""
+    curve = running_totals(totals, "score", ["neg"], partition=by)
     below = F.col("cum_neg") - F.col("neg")
-    return curve.agg(
+    return curve.groupBy(*([by] if by else [])).agg(
         ratio(
             F.sum(F.col("pos") * (below + F.col("neg") / 2)), F.sum("pos").cast("double") * F.sum("neg")
         ).alias("auc")
@@ -85,6 +91,13 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
     return confusion.select("accuracy", "precision", "recall", "f1", area.alias("auc"))
 
 
+def metrics_by_model(df: DataFrame, label: str, score: str, threshold: Column, by: str = "model") -> DataFrame:
+    """`classification_metrics` of many models at once, each at its own threshold."""
+    confusion = rates(df.groupBy(by).agg(*confusion_columns(label, score, threshold)))
+    areas = auc(score_totals(df, label, score, by), by)
+    return confusion.join(areas, by).select(by, "accuracy", "precision", "recall", "f1", "auc")
+
+
 def leaderboard(metrics: DataFrame) -> DataFrame:
     """Models by F1, best first."""
     return metrics.orderBy(F.desc_nulls_last("f1"), F.asc("model"))

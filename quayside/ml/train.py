@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.config import LABEL
-from quayside.ml.evaluate import best_threshold, classification_metrics, score_totals
+from quayside.ml.evaluate import best_threshold, metrics_by_model, score_totals
 from quayside.ml.prepare import fit_preprocessor, prepared
 from quayside.ml.split import class_ratio, stratified_split
 
@@ -136,19 +137,24 @@ def train_models(
     slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=[names.index(n) for n in selected])
     sliced = weighted(slicer.transform(ready).drop("features"), positive_weight).checkpoint()
 
-    models, thresholds, metrics = {}, {}, []
-    for name, estimator in candidates(effort).items():
-        if only is not None and name not in only:
-            continue
-        model = Pipeline(stages=[estimator]).fit(sliced.filter("split = 'train'")).stages[0]
-        scored = model.transform(sliced.filter("split <> 'train'")).select(
-            "split", F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("score")
+    chosen = {n: e for n, e in candidates(effort).items() if only is None or n in only}
+    fit_on = sliced.filter("split = 'train'")
+    models = {name: estimator.fit(fit_on) for name, estimator in chosen.items()}
+    held_out = sliced.filter("split <> 'train'")
+    scores = [
+        model.transform(held_out).select(
+            F.lit(name).alias("model"),
+            "split",
+            F.col("label").cast("int").alias("label"),
+            vector_to_array("probability")[1].alias("score"),
         )
-        scored = scored.checkpoint()
-        threshold = best_threshold(score_totals(scored.filter("split = 'validation'"), "label", "score"))
-        threshold = threshold.first()["threshold"]
-        test = classification_metrics(scored.filter("split = 'test'"), "label", "score", threshold).first()
-        models[name], thresholds[name] = model, threshold
-        metrics.append({"model": name, **test.asDict()})
-    metrics.sort(key=lambda m: -(m["f1"] or 0.0))
+        for name, model in models.items()
+    ]
+    # All models are evaluated together: one curve, one confusion matrix and one AUC per model.
+    scored = reduce(DataFrame.unionByName, scores).checkpoint()
+    validation = score_totals(scored.filter("split = 'validation'"), "label", "score", by="model")
+    thresholds = {r["model"]: r["threshold"] for r in best_threshold(validation, by="model").collect()}
+    own = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])[F.col("model")]
+    test = metrics_by_model(scored.filter("split = 'test'"), "label", "score", own)
+    metrics = sorted((r.asDict() for r in test.collect()), key=lambda m: -(m["f1"] or 0.0))
     return TrainingRun(preprocessor, names, importance, selected, models, thresholds, metrics, sizes)
