@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayside.llm.stored import placed, stored
 from quayside.session import apply_settings, new_folder
 
 #: Entries in a bucket of the index: about 1 MB.
@@ -61,11 +62,11 @@ def _slot(h: Column, depth: int) -> Column:
 
 
 def _rows(docs: DataFrame, hash_bits: int) -> DataFrame:
-    text = docs["text"].cast("string")
+    text = F.col("text").cast("string")
     norm = normalised(text)
-    return docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"),
-        F.monotonically_increasing_id().alias("place"),
+    return placed(docs, "_place").select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("_place").alias("place"),
         F.char_length(F.coalesce(text, F.lit(""))).alias("chars"),
         F.shiftleft(F.xxhash64(norm), 64 - hash_bits).alias("h"),
         norm.alias("norm"),
@@ -80,18 +81,18 @@ def build_index(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES, hash_bits
     """
     spark = apply_settings(docs.sparkSession)
     folder = new_folder(spark, "exact-index")
-    rows = _rows(docs, hash_bits)
-    # Largest first: chars, then the smaller id, ids before null, then the earlier row.
-    rank = F.struct("chars", (-F.col("doc_id")).alias("minus_id"), (-F.col("place")).alias("minus_place"))
+    rows = _rows(stored(docs), hash_bits)
+    # Most code points first, then the smallest id, null last, then the earliest row.
+    rank = F.struct((-F.col("chars")).alias("minus_chars"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "place")
     entries = (
         rows.groupBy("h", "norm")
-        .agg(F.count(F.lit(1)).alias("copies"), F.max(rank).alias("best"))
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(rank).alias("best"))
         .select(
             "h",
             F.sha2(F.col("norm"), 256).alias("digest"),
             "copies",
-            (-F.col("best.minus_id")).alias("keep_id"),
-            (-F.col("best.minus_place")).alias("keep_place"),
+            F.col("best.doc_id").alias("keep_id"),
+            F.col("best.place").alias("keep_place"),
         )
     )
     entries.write.parquet(f"{folder}/heap")
@@ -138,6 +139,8 @@ def build_index(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES, hash_bits
 
 def mark_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES, hash_bits: int = 64) -> DataFrame:
     """One row per row of `docs`: doc_id, place, keep_id, group_size, kept, text_sha256."""
+    apply_settings(docs.sparkSession)
+    docs = stored(docs)
     index = build_index(docs, bucket_entries, hash_bits)
     rows = _rows(docs, hash_bits).select("doc_id", "place", "h", F.sha2(F.col("norm"), 256).alias("digest"))
     found = rows.withColumn("slot", _slot(F.col("h"), index.depth)).join(index.slots().select("slot", "bucket"), "slot")
@@ -153,7 +156,7 @@ def mark_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES, hash_
 
 def drop_duplicates(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
     """The rows of `docs`, all columns, that stay."""
-    place = "_place_of_row"
+    apply_settings(docs.sparkSession)
+    docs, place = stored(docs), "_place_of_row"
     stay = mark_duplicates(docs, bucket_entries).filter("kept").select(F.col("place").alias(place))
-    numbered = docs.withColumn(place, F.monotonically_increasing_id())
-    return numbered.join(stay, place, "left_semi").drop(place)
+    return placed(docs, place).join(stay, place, "left_semi").drop(place)
