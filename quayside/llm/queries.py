@@ -81,3 +81,48 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.mixing import mix_sources
 
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@key("op2_ngram_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("place")
+
+
+@key("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.quality_rules import judge
+
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )
+
+
+def remainder(divisor: int):
+    """crc32 of the id as text, modulo a divisor; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+@key("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.language_id import identify
+
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, docs.filter(remainder(4) != 2).select("text", "lang"))
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@key("op8_html_extract")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@key("op9_lm_score")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.lm_score import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), remainder(7) != 2)
