@@ -17,13 +17,14 @@ language to learn from. Equal code lengths go to the language that sorts first.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.lookup import KeyTable
 from quayside.llm.textarrays import Slice, slices
 from quayside.session import apply_settings, new_folder
 
@@ -48,49 +49,13 @@ def grams(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     return out, part.offsets
 
 
-@dataclass
-class GramTable:
-    """Rows of known numbers: open addressing, looked up for a whole array at once."""
-
-    keys: np.ndarray
-    bits: int = 0
-    slots: np.ndarray = field(default=None, repr=False)
-
-    def __post_init__(self) -> None:
-        self.bits = max(4, int(np.ceil(np.log2(max(len(self.keys), 1) * 4))))
-        self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
-        left = np.arange(len(self.keys))
-        at = self._home(self.keys)
-        while len(left):
-            free = self.slots[at] < 0
-            self.slots[at[free]] = left[free]  # the last of those that share a slot gets it
-            placed = self.slots[at] == left
-            left, at = left[~placed], (at[~placed] + 1) & (len(self.slots) - 1)
-
-    def _home(self, codes: np.ndarray) -> np.ndarray:
-        return ((codes.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(32 - self.bits)).astype(np.int64)
-
-    def find(self, codes: np.ndarray) -> np.ndarray:
-        """Index of each number among the keys, -1 where it is none."""
-        at = self._home(codes)
-        found = self.slots[at]
-        if not len(self.keys):
-            return found
-        open_ = np.flatnonzero((found >= 0) & (self.keys[found] != codes))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
-            found[open_] = self.slots[at[open_]]
-            open_ = open_[(found[open_] >= 0) & (self.keys[found[open_]] != codes[open_])]
-        return found
-
-
 @dataclass
 class Level:
     """Costs in bits by language: of a known byte in its context, and of escaping from a known context."""
 
-    grams: GramTable
+    grams: KeyTable
     cost: np.ndarray
-    contexts: GramTable
+    contexts: KeyTable
     escape: np.ndarray
 
 
@@ -151,7 +116,7 @@ def build_model(languages: list[str], codes: list[np.ndarray], counts: list[np.n
             seen = np.searchsorted(every, key)
             of = np.searchsorted(context, key >> np.uint32(8))
             cost[seen, k] = np.log2((total + followers)[of] / n)
-        levels.append(Level(GramTable(every), cost, GramTable(contexts), escape))
+        levels.append(Level(KeyTable(every), cost, KeyTable(contexts), escape))
     return Model(languages, levels)
 
 
@@ -174,10 +139,13 @@ def fit(labelled: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
     rows = labelled.select(labelled["lang"].cast("string").alias("lang"), labelled["text"].cast("string").alias("text")).filter(
         "lang IS NOT NULL AND octet_length(text) > 0"
     )
-    totals = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    share = F.lit(float(sample_bytes)) / F.col("bytes")
+    # One row per language, and the model holds a tree for each; texts stay where they are.
+    totals = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
+    share = F.lit(1.0)
+    for row in totals:
+        share = F.when(F.col("lang") == row["lang"], sample_bytes / row["bytes"]).otherwise(share)
     uniform = F.xxhash64("text").cast("double") / F.lit(2.0**64) + F.lit(0.5)
-    rows.join(totals, "lang").filter(uniform < share).select("lang", "text").mapInArrow(
+    rows.filter(uniform < share).mapInArrow(
         _count, "lang string, gram bigint, n bigint"
     ).groupBy("lang", "gram").agg(F.sum("n").alias("n")).write.parquet(folder)
     found = labelled.sparkSession.read.parquet(folder).orderBy("lang", "gram").toPandas()

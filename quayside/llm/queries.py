@@ -126,3 +126,32 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.lm_score import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"), remainder(7) != 2)
+
+
+@key("op4_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from quayside.llm.bpe import decode_documents, encode_documents, read_ranks
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return decode_documents(encoded, ranks).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@key("op5_warc")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.warc import read_chunks, records, write_archives
+
+    return records(read_chunks(write_archives(table(spark, sf_dir, "pages")), with_chunks=False))
+
+
+@key("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.quality_classifier import classify
+
+    labels = table(spark, sf_dir, "labels").filter(remainder(3) != 1).select("doc_id", "quality")
+    found = classify(table(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
