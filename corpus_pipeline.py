@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.llm.bpe import encode_documents, read_ranks
 from quayside.llm.exact_dedup import drop_duplicates
 from quayside.llm.mixing import mixed_documents
+from quayside.llm.ngram_join import drop_near_duplicates
+from quayside.llm.quality_rules import keep_documents
 from quayside.session import apply_settings, new_folder
 
+RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and the isolation forest keep."""
-    from quayside.llm.quality_rules import keep_documents
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the isolation forest keep."""
     return keep_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -22,25 +26,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies."""
-    from quayside.llm.ngram_join import drop_near_duplicates
-
+    """One row of each class of near copies."""
     return drop_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources ask for."""
+    """Documents as often as the weights of their sources ask for; the one at the end of a budget stays whole."""
     return mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
-    from quayside.llm.bpe import encode_documents, read_ranks
-
-    import public_tokenizers
-
-    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    """doc_id, lang, source, n_tokens and ids (little-endian unsigned 32-bit integers) of each document."""
+    ranks = read_ranks(public_tokenizers.path(RANKS_FILE))
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, ("doc_id", "lang", "source"))
 
 
 STAGES = [
@@ -61,7 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for step, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{folder}/{step}-{name}")
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{step}-{name}")
         docs = spark.read.parquet(f"{folder}/{step}-{name}")
     return docs
