@@ -34,6 +34,7 @@ from quayside.ml.score import predicted_late
 from quayside.operators.latest import latest_attributes, latest_rows, latest_rows_by_window
 from quayside.operators.quality import orphan_keys
 from quayside.plans import questions, silver, star
+from quayside.sources.lake import preview
 
 
 def src(name: str):
@@ -595,11 +596,10 @@ def _auc_sql(score: str) -> str:
     f"UNION ALL SELECT 'score_c', {r('auc', 6)} FROM {_auc_sql('score_c')}",
 )
 def _w03(w):
-    rows, result = scored(w), None
-    for name in ("score_a", "score_b", "score_c"):
-        one = evaluate.auc(evaluate.score_totals(rows, "label", name)).select(F.lit(name).alias("score"), "auc")
-        result = one if result is None else result.unionByName(one)
-    return stable(result, 6)
+    """All three scores in one pass: one row per item and score, folded before any shuffle."""
+    rows = scored(w).unpivot(["label"], ["score_a", "score_b", "score_c"], "name", "value")
+    areas = evaluate.auc(evaluate.score_totals(rows, "label", "value", by="name"), by="name")
+    return stable(areas.select(F.col("name").alias("score"), "auc"), 6)
 
 
 # --- O ---------------------------------------------------------------------------------------
@@ -624,9 +624,10 @@ def _o02(w):
     return stable(questions.top(sums, 15, "revenue", "product_card_id"))
 
 
-@key("o03_preview_100")
+@key("o03_preview_100", f"SELECT order_item_id, order_id, {r('sales')} AS sales FROM fact_order_items ORDER BY order_item_id LIMIT 100")
 def _o03(w):
-    return w.table("fact_order_items").limit(100)
+    head = preview(w.table("fact_order_items"), 100, by=["order_item_id"])
+    return stable(head.select("order_item_id", "order_id", "sales"))
 
 
 @key(

@@ -231,14 +231,17 @@ def _s13(w):
 
 @key(
     "s14_keyed_upsert",
-    f"""SELECT user_id, event_type, event_id, ts, {r('value')} AS value FROM (SELECT *, ROW_NUMBER() OVER (
-  PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn FROM events) WHERE rn = 1""",
+    f"""WITH sides AS (
+  SELECT 0 AS side, event_id, CAST(ts AS DATE) AS day, user_id, event_type, {r('value')} AS value FROM events WHERE event_id % 2 = 0
+  UNION ALL SELECT 1, event_id, CAST(ts AS DATE), user_id, event_type, {r('value')} FROM events WHERE event_id % 2 = 1)
+SELECT user_id, event_type, event_id, day, value FROM (SELECT *, ROW_NUMBER() OVER (
+  PARTITION BY user_id, event_type ORDER BY day DESC, side DESC, event_id) AS rn FROM sides) WHERE rn = 1""",
 )
 def _s14(w):
-    events = w.source("events").select("event_id", "ts", "user_id", "event_type", "value")
-    middle = F.lit("2024-01-15").cast("timestamp_ntz")
-    merged = upsert(events.filter(F.col("ts") < middle), events.filter(F.col("ts") >= middle), ["user_id", "event_type"], "ts")
-    return stable(merged)
+    """Events of odd number are the new side; by day, both sides often have the last one of a key."""
+    events = w.source("events").select("event_id", F.to_date("ts").alias("day"), "user_id", "event_type", "value")
+    odd = F.col("event_id") % 2 == 1
+    return stable(upsert(events.filter(~odd), events.filter(odd), ["user_id", "event_type"], "day"))
 
 
 def _load_logs(w):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.fixtures import landed_clickstream, landed_order_feed
+from quayside.plans.models import MODELS
 from quayside.session import apply_settings, new_folder
 from quayside.sources.bronze import write_bronze
 from quayside.sources.lake import Lake
@@ -21,11 +22,16 @@ class Workspace(Lake):
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def table(self, name: str) -> DataFrame:
+        """The table; one that is missing is built first, with those it reads."""
         feeds = {"bronze_orders": landed_order_feed, "bronze_clickstream": landed_clickstream}
-        if name in feeds and name not in self._bronze:
-            path = self.path(name)
-            write_bronze(feeds[name](self.spark, self.sf_dir), path)
-            self.attach_bronze(name, path)
+        if not self.present(name):
+            if name in feeds:
+                path = f"{self.root}/bronze/{name}"
+                write_bronze(feeds[name](self.spark, self.sf_dir), path)
+                self.attach_bronze(name, path)
+            elif name in MODELS:
+                self.rebuild(name)
+                self.publish()
         return super().table(name)
 
     def scratch(self, label: str) -> str:

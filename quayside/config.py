@@ -12,7 +12,7 @@ LINEAGE_COLUMNS = (
     "_record_status",
 )
 
-# Columns of the wide order feed.
+# Columns of the wide order feed that the layers read. A file may have more; its header tells.
 ORDER_FEED_COLUMNS = (
     "Type",
     "Days for shipping (real)",
@@ -68,6 +68,8 @@ DICTIONARY_COLUMNS = ("FIELDS", "DESCRIPTION")
 
 @dataclass(frozen=True)
 class Dataset:
+    """A landed feed. Its columns come from its files; `columns` are those of an empty landing folder."""
+
     name: str
     prefix: str
     encoding: str
@@ -97,6 +99,7 @@ ACCEPTED_VALUES = {
     "is_cross_border": [0, 1],
 }
 
+# Tables of each layer, in the order they are built.
 LAYER_TABLES = {
     "silver": ("stg_customer", "stg_department", "stg_order", "stg_order_items", "stg_product"),
     "dimensions": ("dim_customer", "dim_date", "dim_order", "dim_product"),
@@ -147,6 +150,7 @@ TEMPLATE_TEXT = (
     "customer_segment",
     "customer_country",
 )
+# Further numeric inputs of the full feature set.
 FULL_NUMERIC = TEMPLATE_NUMERIC + (
     "order_item_quantity",
     "days_scheduled",

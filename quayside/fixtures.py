@@ -67,12 +67,6 @@ FROM {lines}
 """
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that is a single split; a table of many splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def typed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item version: the feed's columns with their natural types, plus `_ingested_at`."""
     t = {n: source_table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "part", "nation", "region")}
@@ -88,7 +82,7 @@ def typed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("market"),
     )
     lines = (
-        _spread(t["lineitem"])
+        t["lineitem"]
         .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import flag_sum, ratio
-from quayside.operators.running import range_bounds, running_totals
+from quayside.operators.running import running_totals
 
 BINS = 20
 
@@ -21,9 +21,8 @@ def score_totals(df: DataFrame, label: str, score: str, by: str | None = None) -
 
 def precision_recall(totals: DataFrame, by: str | None = None) -> DataFrame:
     """threshold, precision, recall for every distinct score: rows at or above it count as positive."""
-    totals = totals.checkpoint()  # the cuts, the curve and the number of positives all read it
-    bounds = range_bounds(totals.select("score").distinct() if by else totals, "score")
-    curve = running_totals(totals, "score", ["pos", "neg"], descending=True, partition=by, bounds=bounds)
+    totals = totals.checkpoint()  # the curve and the number of positives read it
+    curve = running_totals(totals, "score", ["pos", "neg"], descending=True, partition=by)
     if by:
         curve = curve.join(totals.groupBy(by).agg(F.sum("pos").alias("positives")), by)
         positives = F.col("positives")

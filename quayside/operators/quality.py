@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,20 +65,35 @@ class Rule:
         return f"{self.kind}_{self.table}_{self.column}"
 
 
-def _rules(table: str, unique: str = "", not_null: str = "", accepted: str = "", parents: Mapping = {}) -> list[Rule]:
+def _rules(
+    table: str,
+    unique: Sequence[str] = (),
+    not_null: Sequence[str] = (),
+    accepted: Sequence[str] = (),
+    parents: Mapping[str, tuple[str, str]] = {},
+) -> list[Rule]:
     return [
-        *[Rule(table, "unique", c) for c in unique.split()],
-        *[Rule(table, "not_null", c) for c in not_null.split()],
-        *[Rule(table, "accepted_values", c) for c in accepted.split()],
+        *[Rule(table, "unique", c) for c in unique],
+        *[Rule(table, "not_null", c) for c in not_null],
+        *[Rule(table, "accepted_values", c) for c in accepted],
         *[Rule(table, "relationships", c, p, k) for c, (p, k) in parents.items()],
     ]
 
 
+# The declared tests of the silver tables.
 SILVER_RULES = [
     *_rules(
         "stg_order_items",
-        unique="order_item_id",
-        not_null="order_item_id order_id product_card_id department_id order_item_quantity sales order_profit",
+        unique=("order_item_id",),
+        not_null=(
+            "order_item_id",
+            "order_id",
+            "product_card_id",
+            "department_id",
+            "order_item_quantity",
+            "sales",
+            "order_profit",
+        ),
         parents={
             "order_id": ("stg_order", "order_id"),
             "product_card_id": ("stg_product", "product_card_id"),
@@ -86,39 +102,57 @@ SILVER_RULES = [
     ),
     *_rules(
         "stg_order",
-        unique="order_id",
-        not_null="order_id customer_id payment_type order_date shipping_date order_status late_delivery_risk "
-        "is_actual_late is_label_violation",
+        unique=("order_id",),
+        not_null=(
+            "order_id",
+            "customer_id",
+            "payment_type",
+            "order_date",
+            "shipping_date",
+            "order_status",
+            "late_delivery_risk",
+            "is_actual_late",
+            "is_label_violation",
+        ),
         parents={"customer_id": ("stg_customer", "customer_id")},
     ),
     *_rules(
         "stg_customer",
-        unique="customer_id",
-        not_null="customer_id customer_full_name customer_segment customer_city customer_country",
+        unique=("customer_id",),
+        not_null=("customer_id", "customer_full_name", "customer_segment", "customer_city", "customer_country"),
     ),
     *_rules(
         "stg_product",
-        unique="product_card_id",
-        not_null="product_card_id product_name product_price product_status category_id category_name department_id",
+        unique=("product_card_id",),
+        not_null=(
+            "product_card_id",
+            "product_name",
+            "product_price",
+            "product_status",
+            "category_id",
+            "category_name",
+            "department_id",
+        ),
         parents={"department_id": ("stg_department", "department_id")},
     ),
-    *_rules("stg_department", unique="department_id", not_null="department_id department_name"),
+    *_rules("stg_department", unique=("department_id",), not_null=("department_id", "department_name")),
 ]
 
+# The declared tests of the gold tables.
 GOLD_RULES = [
-    *_rules("dim_customer", unique="customer_id", not_null="customer_id customer_full_name"),
+    *_rules("dim_customer", unique=("customer_id",), not_null=("customer_id", "customer_full_name")),
     *_rules(
         "dim_product",
-        unique="product_card_id",
-        not_null="product_card_id product_name",
-        accepted="product_status_label",
+        unique=("product_card_id",),
+        not_null=("product_card_id", "product_name"),
+        accepted=("product_status_label",),
     ),
-    *_rules("dim_order", unique="order_id", not_null="order_id order_date"),
-    *_rules("dim_date", unique="date_key date_day", not_null="date_key date_day"),
+    *_rules("dim_order", unique=("order_id",), not_null=("order_id", "order_date")),
+    *_rules("dim_date", unique=("date_key", "date_day"), not_null=("date_key", "date_day")),
     *_rules(
         "fact_order_items",
-        unique="order_item_id",
-        not_null="order_item_id order_id product_card_id customer_id",
+        unique=("order_item_id",),
+        not_null=("order_item_id", "order_id", "product_card_id", "customer_id"),
         parents={
             "order_id": ("dim_order", "order_id"),
             "product_card_id": ("dim_product", "product_card_id"),
@@ -127,24 +161,45 @@ GOLD_RULES = [
             "shipping_date_key": ("dim_date", "date_key"),
         },
     ),
-    *_rules("mart_product_category_sales", unique="category_name"),
-    *_rules("mart_product_discount_impact", unique="order_item_discount_rate"),
-    *_rules("mart_supply_chain_shipping_mode", unique="shipping_mode"),
-    *_rules("mart_supply_chain_region_delay", unique="order_region"),
-    *_rules("mart_ai_monitoring_risk_by_region", unique="order_region"),
+    *_rules("mart_product_category_sales", unique=("category_name",)),
+    *_rules("mart_product_discount_impact", unique=("order_item_discount_rate",)),
+    *_rules("mart_supply_chain_shipping_mode", unique=("shipping_mode",)),
+    *_rules("mart_supply_chain_region_delay", unique=("order_region",)),
+    *_rules("mart_ai_monitoring_risk_by_region", unique=("order_region",)),
     *_rules(
         "feat_delivery_risk",
-        not_null="order_item_quantity order_item_product_price sales payment_type market order_region order_country "
-        "shipping_mode days_scheduled is_weekend order_month order_quarter ship_day_of_week is_urgent_shipping "
-        "late_delivery_risk",
-        accepted="payment_type shipping_mode customer_segment is_weekend order_quarter is_urgent_shipping "
-        "late_delivery_risk",
+        not_null=(
+            "order_item_quantity",
+            "order_item_product_price",
+            "sales",
+            "payment_type",
+            "market",
+            "order_region",
+            "order_country",
+            "shipping_mode",
+            "days_scheduled",
+            "is_weekend",
+            "order_month",
+            "order_quarter",
+            "ship_day_of_week",
+            "is_urgent_shipping",
+            "late_delivery_risk",
+        ),
+        accepted=(
+            "payment_type",
+            "shipping_mode",
+            "customer_segment",
+            "is_weekend",
+            "order_quarter",
+            "is_urgent_shipping",
+            "late_delivery_risk",
+        ),
     ),
     *_rules(
         "feat_customer",
-        unique="customer_id",
-        not_null="customer_id customer_segment customer_country total_orders is_cross_border",
-        accepted="customer_segment is_cross_border",
+        unique=("customer_id",),
+        not_null=("customer_id", "customer_segment", "customer_country", "total_orders", "is_cross_border"),
+        accepted=("customer_segment", "is_cross_border"),
     ),
 ]
 
@@ -163,28 +218,58 @@ def _scan_rules(df: DataFrame, rules: Sequence[Rule], accepted: Mapping) -> Data
     return counts.unpivot([], [r.name for r in rules], "test_name", "failures")
 
 
+def _keys_of(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """test_name, key: the given column of each test, from one scan; NULL keys drop out."""
+    return (
+        df.select(*[F.col(c).cast("string").alias(name) for name, c in columns.items()])
+        .unpivot([], list(columns), "test_name", "key")
+        .filter(F.col("key").isNotNull())
+    )
+
+
+def _key_rules(tables: Lookup, rules: Sequence[Rule]) -> DataFrame:
+    """All uniqueness and relationship rules, of all tables, through one shuffle of their keys.
+
+    Keys fold to one row per test and key below the shuffle, so a key that many rows carry travels once per task.
+    Every child is scanned once, and every parent once.
+    """
+    children = [
+        _keys_of(tables(table), {r.name: r.column for r in rules if r.table == table})
+        for table in dict.fromkeys(r.table for r in rules)
+    ]
+    counted = reduce(DataFrame.unionByName, children).groupBy("test_name", "key").agg(F.count(F.lit(1)).alias("row_count"))
+    related = [r for r in rules if r.kind == "relationships"]
+    found = F.lit(False)
+    if related:
+        parents = [
+            _keys_of(tables(parent), {r.name: r.parent_column for r in related if r.parent == parent})
+            for parent in dict.fromkeys(r.parent for r in related)
+        ]
+        known = reduce(DataFrame.unionByName, parents).distinct().withColumn("_known", F.lit(True))
+        counted = counted.join(known, ["test_name", "key"], "left")
+        found = F.coalesce("_known", F.lit(False))
+    unique = F.col("test_name").isin([r.name for r in rules if r.kind == "unique"])
+    failing = F.when(unique, (F.col("row_count") > 1).cast("bigint")).otherwise(F.when(found, 0).otherwise(F.col("row_count")))
+    return counted.groupBy("test_name").agg(F.sum(failing).alias("failures"))
+
+
 def run_suite(tables: Lookup, rules: Sequence[Rule], accepted: Mapping | None = None) -> DataFrame:
     """One row per rule: test_name, table_name, test_kind, column_name, failures, passed."""
+    if not rules:
+        raise ValueError("no rules to run: none of their tables is there")
     accepted = {**ACCEPTED_VALUES, **(accepted or {})}
-    parts: list[DataFrame] = []
-    for table in dict.fromkeys(r.table for r in rules):
-        df = tables(table)
-        own = [r for r in rules if r.table == table]
-        scanned = [r for r in own if r.kind in ("not_null", "accepted_values")]
-        if scanned:
-            parts.append(_scan_rules(df, scanned, accepted))
-        for rule in own:
-            if rule.kind == "unique":
-                failing = duplicate_keys(df, rule.column).agg(F.count(F.lit(1)).alias("failures"))
-            elif rule.kind == "relationships":
-                orphans = orphan_keys(df, rule.column, tables(rule.parent), rule.parent_column)
-                failing = orphans.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("failures"))
-            else:
-                continue
-            parts.append(failing.select(F.lit(rule.name).alias("test_name"), "failures"))
-    results = parts[0]
-    for part in parts[1:]:
-        results = results.unionByName(part)
+    scanned = [r for r in rules if r.kind in ("not_null", "accepted_values")]
+    keyed = [r for r in rules if r.kind in ("unique", "relationships")]
+    parts = [
+        _scan_rules(tables(table), [r for r in scanned if r.table == table], accepted)
+        for table in dict.fromkeys(r.table for r in scanned)
+    ]
+    if keyed:
+        # A table without keys has no row here, so each rule begins with none.
+        none = tables(keyed[0].table).sparkSession.createDataFrame([(r.name, 0) for r in keyed], "test_name string, failures bigint")
+        both = none.unionByName(_key_rules(tables, keyed))
+        parts.append(both.groupBy("test_name").agg(F.sum("failures").alias("failures")))
+    results = reduce(DataFrame.unionByName, parts)
     meta = {r.name: r for r in rules}
 
     def label(attribute: str):

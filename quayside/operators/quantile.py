@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.running import running_totals
 
+# Error of the sketch as a share of the rows.
 ACCURACY = 10_000
 
 

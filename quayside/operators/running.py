@@ -4,37 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
-SAMPLE = 16 * RANGES
+#: Distinct keys that one range holds on average.
+RANGE_ROWS = 100_000
 
 
-def range_bounds(values: DataFrame, column: str, ranges: int = RANGES) -> list:
-    """Up to `ranges - 1` cut values of a column of distinct, non-NULL values; none if they are few.
+def ranged(totals: DataFrame, key: str) -> DataFrame:
+    """`totals` with `_range`, a number that grows with the key; as many ranges as its rows ask for.
 
-    The values with the smallest hashes are a repeatable uniform sample. Their number is fixed, so
-    the driver gets at most `SAMPLE` values; the cuts only balance the work and never change a result.
+    Spark samples the keys and deals them out. The number of a row's range is stored with the row, so that a
+    repeated task cannot cut the ranges elsewhere.
     """
-    sampled = values.select(column).orderBy(F.xxhash64(column)).limit(SAMPLE).collect()
-    if len(sampled) < SAMPLE:
-        return []  # these are all values there are: one range holds them
-    ordered = sorted(row[0] for row in sampled)
-    step = max(1, len(ordered) // ranges)
-    return ordered[step::step][: ranges - 1]
-
-
-def range_index(column: Column, bounds: Sequence) -> Column:
-    """Number of bounds <= value, as a balanced tree of comparisons (8 deep for 256 ranges)."""
-
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(column < F.lit(bounds[middle]), tree(low, middle)).otherwise(tree(middle + 1, high))
-
-    return tree(0, len(bounds))
+    ranges = max(1, -(-totals.count() // RANGE_ROWS))
+    dealt = totals.repartitionByRange(ranges, F.col(key).asc())
+    return dealt.withColumn("_range", F.spark_partition_id()).checkpoint()
 
 
 def running_totals(
@@ -43,32 +28,23 @@ def running_totals(
     measures: Sequence[str],
     descending: bool = False,
     partition: str | None = None,
-    bounds: Sequence | None = None,
 ) -> DataFrame:
     """Add `cum_<m>`: the total of each measure over this key and all before it.
 
     `totals` holds one row per (partition and) key, so a value that a third of all rows share is one
     row. Keys are cut into ranges; each range is summed on its own, and the totals of earlier ranges
-    (at most 256 rows per partition) are added on top.
+    (a row per range and partition) are added on top.
     """
     group = [partition] if partition else []
-    if bounds is None:
-        # Read three times below; stored once instead of recomputed from the source each time.
-        totals = totals.checkpoint()
-        bounds = range_bounds(totals.select(key).distinct() if partition else totals, key)
+    cut = ranged(totals.checkpoint(), key)
     direction = F.desc if descending else F.asc
-    upto = (Window.unboundedPreceding, Window.currentRow)
-    if not bounds:
-        window = Window.partitionBy(*group).orderBy(direction(key)).rowsBetween(*upto)
-        return totals.select("*", *[F.sum(m).over(window).alias(f"cum_{m}") for m in measures])
-    ranged = totals.withColumn("_range", range_index(F.col(key), bounds))
     before = Window.partitionBy(*group).orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy(*group, "_range").orderBy(direction(key)).rowsBetween(*upto)
-    per_range = ranged.groupBy(*group, "_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
+    within = Window.partitionBy(*group, "_range").orderBy(direction(key)).rowsBetween(Window.unboundedPreceding, 0)
+    per_range = cut.groupBy(*group, "_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     offsets = per_range.select(
         *group, "_range", *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in measures]
     )
-    summed = ranged.select("*", *[F.sum(m).over(within).alias(f"_in_{m}") for m in measures])
+    summed = cut.select("*", *[F.sum(m).over(within).alias(f"_in_{m}") for m in measures])
     joined = summed.join(offsets, [*group, "_range"])
     return joined.select(
         *totals.columns, *[(F.col(f"_off_{m}") + F.col(f"_in_{m}")).alias(f"cum_{m}") for m in measures]

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import csv
+import hashlib
+import io
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from datetime import datetime
+from functools import reduce
 from urllib.parse import urlsplit
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.config import LINEAGE_COLUMNS, Dataset
+from quayside.session import new_folder
+from quayside.sources import files
 
 MALFORMED = "_malformed"
-MD5_LIMIT = 256 * 1024 * 1024
+#: A name ending that counts as a feed file, in any case.
+CSV_GLOB = "*.[cC][sS][vV]"
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def feed_schema(columns: Sequence[str], malformed: bool = False) -> T.StructType:
@@ -22,20 +33,46 @@ def feed_schema(columns: Sequence[str], malformed: bool = False) -> T.StructType
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_csv(spark: SparkSession, path: str | list[str], dataset: Dataset, malformed: bool = False) -> DataFrame:
-    """All-text read with header check. `malformed` adds the raw line of rows that do not fit."""
+def column_names(header: str) -> list[str]:
+    """Names of a header line: a repeated name gets a number, an empty one its position."""
+    found: list[str] = []
+    for place, name in enumerate(next(csv.reader(io.StringIO(header)), [])):
+        name = name or f"Unnamed: {place}"
+        known, k = name, 0
+        while name in found:
+            k += 1
+            name = f"{known}.{k}"
+        found.append(name)
+    return found
+
+
+def read_files(
+    spark: SparkSession,
+    path: str,
+    dataset: Dataset,
+    columns: Sequence[str],
+    paths: Sequence[str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """All-text rows of the files that have this header, and the raw text of rows that do not fit it.
+
+    `multi_line` reads files whose quoted fields hold line breaks, each by one task. `paths` picks files; the filter on the hidden path column prunes the file listing, so the others are not opened.
+    """
     reader = (
-        spark.read.schema(feed_schema(dataset.columns, malformed))
+        spark.read.schema(feed_schema(columns, malformed=True))
         .option("header", True)
-        .option("enforceSchema", False)
         .option("encoding", dataset.encoding)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-    )
-    if malformed:
+        .option("pathGlobFilter", CSV_GLOB)
         # Every column is parsed: with pruning a short line would pass unnoticed.
-        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
-    return reader.csv(path)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)
+    )
+    rows = reader.csv(path)
+    return rows if paths is None else rows.filter(F.col("_metadata.file_path").isin(list(paths)))
 
 
 def relative_file(folder: str, path: str = "_metadata.file_path") -> Column:
@@ -48,10 +85,10 @@ def relative_file(folder: str, path: str = "_metadata.file_path") -> Column:
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """file and length of every file; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    sizes = files.select(relative_file(folder).alias("file"), "length")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    sizes = found.select(relative_file(folder).alias("file"), "length")
     # A scan leaves empty files out; the listing behind it, which the driver holds anyway, has them.
-    names = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    names = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string")
     listed = names.select(relative_file(folder, "path").alias("file"))
     return listed.join(sizes, "file", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
 
@@ -70,59 +107,98 @@ def validate_files(spark: SparkSession, folder: str, expected: Sequence[str] = (
     return found.select("file", "length", reason.isNull().alias("valid"), reason.alias("reason"))
 
 
-def malformed_counts(spark: SparkSession, folder: str, dataset: Dataset) -> DataFrame:
-    """Rows and malformed rows per file."""
-    rows = read_csv(spark, folder, dataset, malformed=True)
-    return (
-        rows.select(relative_file(folder).alias("file"), F.col(MALFORMED), F.col(f"`{dataset.columns[0]}`"))
-        .groupBy("file")
-        .agg(
-            # Always true, but keeps a parsed column in the scan: the reader refuses the raw line alone.
-            F.count_if(F.length(F.coalesce(F.col(f"`{dataset.columns[0]}`"), F.lit(""))) >= 0).alias("row_count"),
-            F.count(MALFORMED).alias("malformed_count"),
+def _fold_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per split: lines, a polynomial in the lines' hashes for each of two bases, and the header where it begins a file."""
+    held: tuple | None = None  # path, start, lines, sums, lines with an open quote, header
+
+    def packed() -> pa.RecordBatch:
+        path, start, lines, sums, odd, header = held
+        values = ([path], [start], [lines], [int(sums[0].view(np.int64)[0])], [int(sums[1].view(np.int64)[0])], [odd], [header])
+        kinds = (pa.string(), *[pa.int64()] * 5, pa.binary())
+        names = ["path", "start", "lines", "p0", "p1", "odd", "header"]
+        return pa.record_batch([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
+
+    for batch in batches:
+        paths, starts = batch.column("path"), batch.column("start").to_numpy()
+        hashes = [batch.column(c).to_numpy().view(np.uint64) for c in ("h0", "h1")]
+        odd = batch.column("odd").to_numpy()
+        coded = paths.dictionary_encode().indices.to_numpy()
+        cuts = np.flatnonzero((np.diff(coded) != 0) | (np.diff(starts) != 0)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if lo == hi:
+                continue
+            path, start = paths[int(lo)].as_py(), int(starts[lo])
+            if held is None or held[:2] != (path, start):
+                if held is not None:
+                    yield packed()
+                header = batch.column("value")[int(lo)].as_py() if start == 0 else None
+                held = (path, start, 0, [np.zeros(1, np.uint64), np.zeros(1, np.uint64)], 0, header)
+            sums = held[3]
+            for k, base in enumerate(_BASES):
+                powers = np.cumprod(np.full(hi - lo, base, dtype=np.uint64))
+                sums[k] += np.sum(hashes[k][lo:hi] * powers) * np.uint64(pow(base, held[2], 1 << 64))
+            held = (*held[:2], held[2] + int(hi - lo), sums, held[4] + int(odd[lo:hi].sum()), held[5])
+    if held is not None:
+        yield packed()
+
+
+def _fold_splits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of a file from its length and its splits in order, wherever it was cut."""
+    for batch in batches:
+        marks = []
+        for length, splits in zip(batch.column("length").to_pylist(), batch.column("splits").to_pylist()):
+            lines, sums = 0, [0, 0]
+            for split in splits:
+                for k, base in enumerate(_BASES):
+                    sums[k] = (sums[k] + split[f"p{k}"] * pow(base, lines, 1 << 64)) % (1 << 64)
+                lines += split["lines"]
+            marks.append(hashlib.md5(f"{length}|{lines}|{sums[0]}|{sums[1]}".encode()).hexdigest())
+        yield pa.record_batch(
+            [batch.column("path"), batch.column("length"), pa.array(marks, pa.string()), batch.column("odd"), batch.column("header")],
+            names=["path", "length", "file_hash", "odd", "header"],
         )
-    )
 
 
-def file_fingerprints(spark: SparkSession, folder: str, md5_limit: int = MD5_LIMIT) -> DataFrame:
-    """path, length, file, file_hash of every file.
+def file_marks(spark: SparkSession, folder: str, encoding: str = "UTF-8", paths: Sequence[str] | None = None) -> DataFrame:
+    """path, length, file, file_hash, header, multi_line of every feed file (or of `paths`) that is not empty, from one scan.
 
-    Files up to `md5_limit` bytes get the MD5 of their bytes. A longer file would be one huge value in
-    one task, so its lines are hashed where they are read and folded: length, line count, sum and xor
-    of 64-bit hashes. That tells any change of content; only the order of lines is not seen, and no
-    table built from the feed depends on it.
+    One rule for files of any size: the hash covers the length and every line at its place. A split's part is
+    a polynomial in its lines' hashes; parts of consecutive splits combine, so the result does not depend
+    on how files are cut, and a long file is hashed by many tasks.
     """
-    whole = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .filter(F.col("length") <= md5_limit)
-        .select("path", "length", relative_file(folder).alias("file"), F.md5("content").alias("file_hash"))
-    )
+    chosen = F.lit(True) if paths is None else F.col("_metadata.file_path").isin(list(paths))
     lines = (
         spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", CSV_GLOB)
         .text(folder)
-        .filter(F.col("_metadata.file_size") > md5_limit)
+        .filter(chosen)
         .select(
             F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_size").alias("length"),
-            relative_file(folder).alias("file"),
-            F.xxhash64("value").alias("h"),
-            F.xxhash64(F.lit(1), "value").alias("h2"),
+            F.input_file_block_start().alias("start"),
+            F.xxhash64("value").alias("h0"),
+            F.xxhash64(F.lit(1), "value").alias("h1"),
+            ((F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))) % 2).alias("odd"),
+            # The first line of a file is in the split that starts it.
+            F.when(F.input_file_block_start() == 0, F.col("value").cast("binary")).alias("value"),
         )
     )
-    folded = lines.groupBy("path", "length", "file").agg(
-        F.md5(
-            F.concat_ws(
-                "|",
-                F.col("length"),
-                F.count(F.lit(1)),
-                F.sum(F.col("h").cast("decimal(38,0)")),
-                F.bit_xor("h2"),
-            ).cast("binary")
-        ).alias("file_hash")
+    parts = lines.mapInArrow(_fold_lines, "path string, start bigint, lines bigint, p0 bigint, p1 bigint, odd bigint, header binary")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB)
+    lengths = listed.load(folder).filter(chosen).select(F.col("_metadata.file_path").alias("path"), "length")
+    joined = (
+        parts.groupBy("path")
+        # A row per split of the file.
+        .agg(
+            F.sort_array(F.collect_list(F.struct("start", "lines", "p0", "p1"))).alias("splits"),
+            F.sum("odd").alias("odd"),
+            F.max("header").alias("header"),
+        )
+        .join(lengths, "path")
+        .select("path", "length", "splits", "odd", "header")
     )
-    return whole.unionByName(folded)
+    hashed = joined.mapInArrow(_fold_splits, "path string, length bigint, file_hash string, odd bigint, header binary")
+    header = F.regexp_replace(F.decode("header", encoding), "^﻿|\r$", "")
+    return hashed.select("path", "length", relative_file(folder, "path").alias("file"), "file_hash", header.alias("header"), (F.col("odd") > 0).alias("multi_line"))
 
 
 def changed_files(fingerprints: DataFrame, state: DataFrame) -> DataFrame:
@@ -134,34 +210,105 @@ def changed_files(fingerprints: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
+def read_feed(spark: SparkSession, folder: str, dataset: Dataset, marks: DataFrame | None = None) -> DataFrame:
+    """All-text rows of the marked files (all by default), `_file` and `_malformed`; columns by name from each file's header.
+
+    Files are read together per header, so their order of columns may differ, and a file may have more or fewer.
+    """
+    every = marks is None
+    marks = file_marks(spark, folder, dataset.encoding) if every else marks
+    # As many paths as the file listing on the driver holds anyway; one entry per distinct header.
+    headers = marks.groupBy("header", "multi_line").agg(F.collect_list("path").alias("paths")).collect()
+    parts = []
+    for row in sorted(headers, key=lambda r: (r["header"], r["multi_line"])):
+        columns = column_names(row["header"])
+        chosen = None if every and len(headers) == 1 else row["paths"]
+        rows = read_files(spark, folder, dataset, columns, chosen, row["multi_line"])
+        parts.append(rows.select("*", relative_file(folder).alias("_file")))
+    if not parts:
+        return spark.createDataFrame([], feed_schema([*dataset.columns, MALFORMED, "_file"]))
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = [c for c in merged.columns if c not in (MALFORMED, "_file")]
+    return merged.select(*[F.col(f"`{c}`") for c in names], MALFORMED, "_file")
+
+
+def read_csv(spark: SparkSession, folder: str, dataset: Dataset) -> DataFrame:
+    """Rows of all feed files of a folder that fit their header."""
+    rows = read_feed(spark, folder, dataset)
+    return rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED, "_file")
+
+
+def malformed_counts(spark: SparkSession, folder: str, dataset: Dataset) -> DataFrame:
+    """Rows and malformed rows per file."""
+    rows = read_feed(spark, folder, dataset)
+    # Always true, but keeps a parsed column in the scan: the reader refuses the raw text alone.
+    parsed = F.length(F.coalesce(F.col(f"`{rows.columns[0]}`"), F.lit(""))) >= 0
+    return rows.groupBy(F.col("_file").alias("file")).agg(
+        F.count_if(parsed).alias("row_count"), F.count(MALFORMED).alias("malformed_count")
+    )
+
+
 def new_run_id() -> str:
     return str(uuid.uuid4())
 
 
-def with_lineage(df: DataFrame, source_file: Column | str, dataset_name: str, run_id: str) -> DataFrame:
+def with_lineage(
+    df: DataFrame, source_file: Column | str, dataset_name: str, run_id: str, loaded_at: datetime | None = None
+) -> DataFrame:
+    """Lineage columns; `loaded_at` is one time for all rows of a run, however many jobs write them."""
     source = F.lit(source_file) if isinstance(source_file, str) else source_file
-    values = (F.current_timestamp(), source, F.lit(dataset_name), F.lit(run_id), F.lit("ACTIVE"))
+    now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
+    values = (now, source, F.lit(dataset_name), F.lit(run_id), F.lit("ACTIVE"))
     return df.withColumns(dict(zip(LINEAGE_COLUMNS, values)))
 
 
-def write_bronze(df: DataFrame, root: str, ingested_date: Column | str | None = None) -> None:
-    """`root/ingested_date=D/source_stem=S/`: a rerun on the same day replaces only its own file's rows."""
+def write_bronze(df: DataFrame, root: str, ingested_date: Column | str | None = None) -> DataFrame:
+    """Add rows below `root/ingested_date=D/`; returns what was added, as stored.
+
+    A file that is loaded again on a day replaces its rows of that day. Rows are parsed once, into a folder
+    of their own; a day without such a file is only appended to, so a load costs what it adds.
+    """
+    spark = df.sparkSession
     if "ingested_date" not in df.columns:
         day = F.current_date() if ingested_date is None else F.to_date(F.lit(ingested_date))
         df = df.withColumn("ingested_date", day)
+    stage = new_folder(spark, "landing")
+    df.write.parquet(stage)
+    added = spark.read.schema(df.schema).parquet(stage)
+    # Files and days of this load: few rows per file.
+    loads = added.select("ingested_date", "_source_file").distinct().checkpoint()
+    if files.exists(spark, root):
+        present = read_bronze(spark, root)
+        again = present.select("ingested_date", "_source_file").join(loads, ["ingested_date", "_source_file"], "left_semi")
+        days = again.select("ingested_date").distinct().checkpoint()
+        if not days.isEmpty():
+            kept = present.join(days, "ingested_date", "left_semi").join(loads, ["ingested_date", "_source_file"], "left_anti")
+            whole = kept.unionByName(added.join(days, "ingested_date", "left_semi"), allowMissingColumns=True)
+            merged = new_folder(spark, "merged-days")
+            whole.write.parquet(merged)
+            _write(spark.read.schema(whole.schema).parquet(merged), root, "overwrite")
+            _write(added.join(days, "ingested_date", "left_anti"), root, "append")
+            return added
+    _write(added, root, "append")
+    return added
+
+
+def _write(df: DataFrame, root: str, mode: str) -> None:
     (
-        df.withColumn("source_stem", F.regexp_replace("_source_file", r"\.[^./]*$", ""))
-        .write.mode("overwrite")
+        df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy("ingested_date", "source_stem")
+        .partitionBy("ingested_date")
         .parquet(root)
     )
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """All loads, `ingested_date` as a date column; filters on it prune folders."""
-    return spark.read.parquet(root).drop("source_stem")
+    """All loads, `ingested_date` as a date column; filters on it prune folders.
+
+    Loads may differ in columns, so the schemas of the files are merged.
+    """
+    return spark.read.option("mergeSchema", True).parquet(root)
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
@@ -169,6 +316,9 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
         df.write.mode("overwrite")
         .option("header", True)
         .option("encoding", encoding)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         # Blanks belong to the data.
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,51 +10,68 @@ from pyspark.sql import functions as F
 
 from quayside.config import LAYER_TABLES
 from quayside.plans.models import MODELS
+from quayside.sources import files
 from quayside.sources.bronze import read_bronze
 
 LAYER_OF = {name: layer for layer, names in LAYER_TABLES.items() for name in names}
 
 
 class Lake:
-    """Tables below one root folder; a table is written once, then read back by name."""
+    """Tables below one root folder, found through pointer files; any process that knows the root finds the same tables.
+
+    A build writes a new folder and becomes the table when its pointer is replaced, which `publish` does for all
+    tables built since. Until then only this object sees them, so a failed build or test leaves the last good tables.
+    Reading never builds.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._stored: set[str] = set()
-        self._bronze: dict[str, str] = {}
+        self._built: dict[str, str] = {}
+
+    def _pointer(self, name: str) -> str:
+        return f"{self.root}/_tables/{name}"
+
+    def folder(self, name: str) -> str | None:
+        """Where the table's files are: its unpublished build, else what its pointer names."""
+        return self._built.get(name) or files.read_text(self.spark, self._pointer(name))
+
+    def present(self, name: str) -> bool:
+        return self.folder(name) is not None
 
     def attach_bronze(self, name: str, path: str) -> DataFrame:
         """Make a partitioned bronze folder readable by name."""
-        self._bronze[name] = path
+        files.replace_text(self.spark, self._pointer(name), path)
         return self.table(name)
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{LAYER_OF.get(name, 'bronze')}/{name}"
-
     def store(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        self._stored.add(name)
-        return self.read(name)
+        """Write a build of the table; `publish` makes it the table."""
+        path = f"{self.root}/{LAYER_OF.get(name, 'other')}/{name}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self._built[name] = path
+        return self.table(name)
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    def publish(self) -> list[str]:
+        """Names of the builds that are the tables from now on."""
+        names = list(self._built)
+        for name in names:
+            files.replace_text(self.spark, self._pointer(name), self._built[name])
+        self._built.clear()
+        return names
 
-    def present(self, name: str) -> bool:
-        return name in self._stored
+    def discard(self) -> None:
+        """Forget the builds that were not published."""
+        self._built.clear()
 
     def table(self, name: str) -> DataFrame:
-        """The stored table; it and the tables it reads are written first where they are missing."""
-        if name in self._bronze:
-            return read_bronze(self.spark, self._bronze[name])
-        if name not in self._stored:
-            if name not in MODELS:
-                raise KeyError(f"no table named {name!r}; known: {', '.join(sorted(MODELS))}")
-            self.store(name, MODELS[name](self.table))
-        return self.read(name)
+        path = self.folder(name)
+        if path is None:
+            known = "it has not been built" if name in MODELS else f"known: {', '.join(sorted(MODELS))}"
+            raise KeyError(f"no table named {name!r} in {self.root}; {known}")
+        return read_bronze(self.spark, path) if name not in MODELS else self.spark.read.parquet(path)
 
     def rebuild(self, name: str) -> DataFrame:
-        """Write one table anew from the stored tables below it."""
+        """Build one table anew from the tables below it."""
         return self.store(name, MODELS[name](self.table))
 
 

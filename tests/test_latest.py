@@ -79,3 +79,12 @@ def test_upsert_last_write_wins(spark):
         (2, "kept"),
         (3, "added"),
     ]
+
+
+def test_the_new_side_wins_ties(spark):
+    t = dt.datetime(2024, 1, 1)
+    old = spark.createDataFrame([(1, "A", 1.0, t), (2, "x", 1.0, dt.datetime(2024, 1, 3)), (3, "x", 1.0, None)], SCHEMA)
+    new = spark.createDataFrame([(1, "Z", 9.0, t), (2, "y", 2.0, t), (3, "y", 2.0, None), (4, "y", 2.0, t)], SCHEMA)
+    merged = upsert(old, new, ["k"], "t")
+    assert merged.columns == ["k", "a", "b", "t"]
+    assert {r["k"]: r["a"] for r in merged.collect()} == {1: "Z", 2: "x", 3: "y", 4: "y"}

@@ -7,21 +7,13 @@ from pyspark.sql import functions as F
 from quayside.ml import evaluate
 from quayside.operators import running
 from quayside.operators.quantile import exact_medians
-from quayside.operators.running import dense_codes, range_bounds, range_index, running_totals
+from quayside.operators.running import dense_codes, ranged, running_totals
 
 
 @pytest.fixture
 def many_ranges(monkeypatch):
-    """Make a small table take the path of a large one."""
-    monkeypatch.setattr(running, "SAMPLE", 64)
-    monkeypatch.setattr(running, "RANGES", 8)
-    monkeypatch.setattr(running.range_bounds, "__defaults__", (8,))
-
-
-def test_range_index_counts_bounds_below(spark):
-    bounds = [2.0, 3.5, 7.0]
-    got = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, 3.5, 6.9, 7.0, 9.0)], "x double")
-    assert [r[0] for r in got.select(range_index(F.col("x"), bounds)).collect()] == [0, 1, 1, 2, 2, 3, 3]
+    """Make a small table take many ranges."""
+    monkeypatch.setattr(running, "RANGE_ROWS", 40)
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -29,7 +21,8 @@ def test_running_totals_over_ranges(spark, many_ranges, descending):
     random.seed(1)
     data = {round(random.random() ** 3, 6): random.randint(0, 9) for _ in range(500)}
     df = spark.createDataFrame(list(data.items()), "k double, m int")
-    assert len(range_bounds(df, "k")) == 7
+    cut = ranged(df, "k").groupBy("_range").agg(F.min("k").alias("a"), F.max("k").alias("b")).orderBy("_range").collect()
+    assert len(cut) > 8 and all(x["b"] < y["a"] for x, y in zip(cut, cut[1:]))
     expected, total = {}, 0
     for k in sorted(data, reverse=descending):
         total += data[k]
@@ -40,7 +33,7 @@ def test_running_totals_over_ranges(spark, many_ranges, descending):
 
 def test_few_values_take_one_range(spark):
     df = spark.createDataFrame([(1.0, 2), (2.0, 3)], "k double, m int")
-    assert range_bounds(df, "k") == []
+    assert ranged(df, "k").select("_range").distinct().count() == 1
     assert {r["k"]: r["cum_m"] for r in running_totals(df, "k", ["m"]).collect()} == {1.0: 2, 2.0: 5}
 
 

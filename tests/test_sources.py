@@ -38,10 +38,32 @@ def test_latin_1_text_and_blanks_survive(spark, tmp_path):
     assert (row["Order City"], row["Order Region"]) == ("São Paulo", "West of USA ")
 
 
-def test_a_wrong_header_is_refused(spark, tmp_path):
-    (tmp_path / "x.csv").write_text("a,b\n1,2\n")
-    with pytest.raises(Exception):
-        bronze.read_csv(spark, str(tmp_path), Dataset("x", "x", "UTF-8", ("a", "c"), "")).collect()
+def feed_rows(spark, folder):
+    return bronze.read_feed(spark, str(folder), Dataset("x", "x", "UTF-8", ("a", "b"), ""))
+
+
+def test_columns_come_from_each_header(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "turned.csv").write_text("b,a\n4,3\n")
+    (tmp_path / "MORE.CSV").write_text("\ufeffa,c,b\r\n5,x,6\r\n")
+    (tmp_path / "only_header.csv").write_text("a,b\n")
+    rows = feed_rows(spark, tmp_path)
+    assert rows.columns[-2:] == [bronze.MALFORMED, "_file"] and sorted(rows.columns[:-2]) == ["a", "b", "c"]
+    got = {r["_file"]: (r["a"], r["b"], r["c"], r[bronze.MALFORMED]) for r in rows.collect()}
+    assert got == {"one.csv": ("1", "2", None, None), "turned.csv": ("3", "4", None, None), "MORE.CSV": ("5", "6", "x", None)}
+
+
+def test_header_names():
+    assert bronze.column_names('a,"b, c",a,,a') == ["a", "b, c", "a.1", "Unnamed: 3", "a.2"]
+
+
+def test_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b\n"say ""hi"" now","x, y"\n"two\nlines",2\n')
+    (tmp_path / "plain.csv").write_text("a,b\n1,2\n")
+    rows = feed_rows(spark, tmp_path).collect()
+    assert {(r["a"], r["b"]) for r in rows} == {('say "hi" now', "x, y"), ("two\nlines", "2"), ("1", "2")}
+    marks = bronze.file_marks(spark, str(tmp_path)).collect()
+    assert {r["file"]: r["multi_line"] for r in marks} == {"q.csv": True, "plain.csv": False}
 
 
 def test_validation(spark, tmp_path):
@@ -63,29 +85,96 @@ def test_malformed_rows_are_counted(spark, tmp_path):
     assert (row["row_count"], row["malformed_count"]) == (4, 2)
 
 
-@pytest.mark.parametrize("limit", [bronze.MD5_LIMIT, 0])
-def test_fingerprints_tell_changed_files(spark, tmp_path, limit):
+def test_marks_tell_changed_files(spark, tmp_path):
     folder = str(tmp_path)
     (tmp_path / "same.csv").write_text("x\n1\n2\n")
-    (tmp_path / "other.csv").write_text("x\n1\n2\n")
+    (tmp_path / "other.CSV").write_text("x\n1\n2\n")
+    (tmp_path / "notes.txt").write_text("x")
 
     def marks():
-        rows = bronze.file_fingerprints(spark, folder, limit).withColumn("dataset_name", F.lit("d")).collect()
-        return spark.createDataFrame(rows)
+        return spark.createDataFrame(bronze.file_marks(spark, folder).withColumn("dataset_name", F.lit("d")).collect())
 
     first = marks()
-    assert first.count() == 2
+    assert {(r["file"], r["header"]) for r in first.collect()} == {("same.csv", "x"), ("other.CSV", "x")}
     state = first.withColumnRenamed("file", "source_file")
-    (tmp_path / "other.csv").write_text("x\n1\n3\n")
-    changed = bronze.changed_files(marks(), state)
-    assert [f["file"] for f in changed.collect()] == ["other.csv"]
+    for text in ("x\n1\n3\n", "x\n2\n1\n", "x\n1\n2\n\n"):  # other bytes, other order, one more line
+        (tmp_path / "other.CSV").write_text(text)
+        assert [f["file"] for f in bronze.changed_files(marks(), state).collect()] == ["other.CSV"]
+
+
+def test_a_mark_does_not_depend_on_splits(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("a,b\n" + "".join(f"{i},{i * i % 97}\n" for i in range(20_000)))
+    found = set()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "50000", "7001"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            row = bronze.file_marks(spark, str(tmp_path)).first()
+            found.add((row["file_hash"], row["header"]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 1
+
+
+def test_ingest_sets_malformed_rows_aside_and_keeps_new_columns(spark, tmp_path):
+    lake = Lake(spark, new_folder(spark, "real"))
+    (tmp_path / "a.CSV").write_text('event_id,ts,note\n1,t,"x ""y"""\n2,t\n3,t,n,more\n')
+    (tmp_path / "empty_feed.csv").write_text("event_id,ts\n")
+    r.run_bronze(lake, {"clickstream": str(tmp_path)}, "2024-05-01")
+    log = {x["source_file"]: x for x in runlog.history(spark, meta_root(lake), "ingestion_logs").collect()}
+    assert (log["a.CSV"]["status"], log["a.CSV"]["rows_ingested"], log["a.CSV"]["rows_rejected"]) == ("SUCCESS", 1, 2)
+    assert log["a.CSV"]["error_message"] == "2 malformed rows set aside"
+    assert (log["empty_feed.csv"]["status"], log["empty_feed.csv"]["rows_ingested"]) == ("SUCCESS", 0)
+    broken = runlog.history(spark, meta_root(lake), "rejected_rows").collect()
+    assert {(x["source_file"], x["line"]) for x in broken} == {("a.CSV", "2,t"), ("a.CSV", "3,t,n,more")}
+    (tmp_path / "b.csv").write_text("ts,event_id,other\nt,9,z\n")
+    r.run_bronze(lake, {"clickstream": str(tmp_path)}, "2024-05-02")
+    rows = {x["event_id"]: x for x in lake.table("bronze_clickstream").collect()}
+    assert rows["1"]["note"] == 'x "y"' and rows["9"]["other"] == "z" and rows["1"]["other"] is None
+
+
+def test_csv_copy_and_parquet_share_the_load_time(spark, tmp_path):
+    lake = Lake(spark, new_folder(spark, "times"))
+    write_feed(tmp_path / "in", "orders.csv", ROWS)
+    run = r.run_bronze(lake, {"orders": str(tmp_path / "in")}, "2024-05-01")
+    copy = spark.read.option("header", True).csv(f"{lake.root}/bronze/orders_csv/orders/run={run}")
+    times = {x[0] for x in copy.select(F.to_timestamp("_ingested_at")).collect()}
+    assert times == {x[0] for x in lake.table("bronze_orders").select("_ingested_at").collect()} and len(times) == 1
 
 
-def test_md5_is_the_md5_of_the_bytes(spark, tmp_path):
-    import hashlib
+def test_a_lake_outlives_its_process(spark, tmp_path):
+    root = new_folder(spark, "reopened")
+    write_feed(tmp_path / "in", "orders.csv", ROWS)
+    landing = {"orders": str(tmp_path / "in")}
+    accepted = {}
+    first = r.refresh(Lake(spark, root), landing, "2024-05-01", accepted)
+    again = Lake(spark, root)
+    second = r.refresh(again, landing, "2024-05-02", accepted)
+    key = lambda df: sorted((x["dataset_name"], x["row_count"]) for x in df.collect())
+    assert key(first) == key(second)
+    third = Lake(spark, root)
+    assert query(third, "SELECT count(*) AS n FROM fact_order_items", ["facts"]).first()["n"] == 6
+    assert third.table("bronze_orders").count() == 6
+    assert r.gate(third, r.GOLD_RULES, "run-x").filter("NOT passed").count() == 0
+    assert r.refresh(third, {}, stages=["silver"]).count() == len(LAYER_TABLES["silver"])
+
+
+def test_a_failed_build_leaves_the_last_good_table(spark, tmp_path):
+    from quayside.operators.quality import QualityError
 
-    (tmp_path / "a.csv").write_bytes(b"x\n\xe9\n")
-    assert bronze.file_fingerprints(spark, str(tmp_path)).first()["file_hash"] == hashlib.md5(b"x\n\xe9\n").hexdigest()
+    lake = Lake(spark, new_folder(spark, "good"))
+    write_feed(tmp_path / "in", "orders.csv", ROWS)
+    r.run_bronze(lake, {"orders": str(tmp_path / "in")}, "2024-05-01")
+    r.run_silver(lake)
+    write_feed(tmp_path / "in", "bad.csv", [{"Order Item Id": "77", "Order Id": "770", "Order Customer Id": "5"}])
+    r.run_bronze(lake, {"orders": str(tmp_path / "in")}, "2024-05-02")
+    with pytest.raises(QualityError):
+        r.run_silver(lake)
+    assert lake.table("stg_order_items").count() == 6 and Lake(spark, lake.root).table("stg_order_items").count() == 6
+    with pytest.raises(KeyError, match="has not been built"):
+        lake.table("dim_order")
+    with pytest.raises(ValueError):
+        r.gate(Lake(spark, new_folder(spark, "nothing")), [], "run")
 
 
 def test_ingest_skips_unchanged_files_and_replaces_a_rerun(spark, tmp_path):
@@ -153,6 +242,10 @@ def test_stream_equals_batch(spark, tmp_path):
         "b.csv": 3,
     }
     assert {x["_ingestion_run_id"] for x in streamed.filter("_source_file = 'a.csv'").collect()} == {"run-1"}
+    write_feed(folder, "c.CSV", ROWS[:2])
+    load_new_files(spark, folder, ORDERS, root, checkpoint, "run-3")
+    streamed = bronze.read_bronze(spark, root)
+    assert streamed.filter("_source_file = 'c.CSV'").select("ingested_date").distinct().count() == 1
     batch = bronze.read_csv(spark, folder, ORDERS)
     columns = [F.col(f"`{c}`") for c in ORDER_FEED_COLUMNS]
     assert sorted(streamed.select(*columns).collect()) == sorted(batch.select(*columns).collect())
