@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contract.keys_ops import scored
@@ -12,13 +15,20 @@ from quayside.config import FEATURE_SETS, LABEL
 from quayside.functions import round_to, stable
 from quayside.ml import evaluate, explain, prepare, runs, score
 from quayside.ml.split import class_ratio, stratified_split
-from quayside.ml.train import Effort, train_models
+from quayside.ml.train import Effort, candidates, train_models
 from quayside.operators.quantile import exact_medians
 from quayside.plans.features import feat_delivery_risk
 
 NUMERIC, TEXT = FEATURE_SETS["template"]
-# Sizes for a check run; the library's defaults are the full ones.
-SMALL = Effort(boosting_rounds=2, selection_rounds=2, forest_trees=3, logistic_iterations=20)
+# Full sizes; only the rows that the classifiers are fitted on are bounded.
+FIT_ROWS = 2_000
+NAMES = [*NUMERIC, *TEXT]
+
+
+def values(*columns: str, rows: list[tuple[str, ...]]) -> str:
+    """Constant rows of SQL text."""
+    lines = ", ".join("(" + ", ".join(row) + ")" for row in rows)
+    return f"SELECT * FROM (VALUES {lines}) AS t({', '.join(columns)})"
 
 
 def items(w):
@@ -29,7 +39,7 @@ def items(w):
 
 def training(w):
     if not hasattr(w, "_training"):
-        w._training = train_models(items(w), ["order_item_id"], NUMERIC, TEXT, effort=SMALL)
+        w._training = train_models(items(w), ["order_item_id"], NUMERIC, TEXT, effort=Effort(fit_rows=FIT_ROWS))
     return w._training
 
 
@@ -42,10 +52,19 @@ def _m01(w):
     return stable(class_ratio(w.table("feat_delivery_risk"), LABEL))
 
 
-@key("m02_stratified_split")
+@key(
+    "m02_stratified_split",
+    """SELECT late_delivery_risk, split, count(*) AS class_rows, TRUE AS share_holds
+FROM feat_items CROSS JOIN (VALUES ('train'), ('validation'), ('test')) AS s(split) GROUP BY 1, 2""",
+)
 def _m02(w):
-    parts = stratified_split(items(w), LABEL, ["order_item_id"])
-    return parts.groupBy(LABEL, "split").agg(F.count(F.lit(1)).alias("row_count"))
+    """The share of each split in each class, up to a hundredth."""
+    parts = stratified_split(items(w), LABEL, ["order_item_id"]).groupBy(LABEL, "split").agg(F.count(F.lit(1)).alias("rows"))
+    share = F.when(F.col("split") == "train", 0.6).otherwise(0.2)
+    classes = parts.groupBy(F.col(LABEL).alias("class")).agg(F.sum("rows").alias("class_rows"))
+    joined = parts.join(classes, F.col(LABEL) == F.col("class"))
+    holds = (F.abs(F.col("rows") / F.col("class_rows") - share) < 0.01).alias("share_holds")
+    return joined.select(LABEL, "split", "class_rows", holds)
 
 
 _SPARSE = {
@@ -112,23 +131,65 @@ def _m05(w):
     return rows.select("order_id", *columns.values())
 
 
-@key("m06_feature_selection")
+@key(
+    "m06_feature_selection",
+    values("feature", "in_range", "sum_is_one", "selected_by_rule", rows=[(f"'{n}'", "TRUE", "TRUE", "TRUE") for n in NAMES]),
+)
 def _m06(w):
+    """Every importance is a share, they add up to one, and those above the cutoff are selected."""
     run = training(w)
     rows = explain.importance_table(w.spark, run.importance, len(run.names))
-    return rows.withColumn("selected", F.col("feature").isin(run.selected))
+    total = F.sum("importance").over(Window.partitionBy())  # one row per feature
+    return rows.select(
+        "feature",
+        F.col("importance").between(0, 1).alias("in_range"),
+        (F.abs(total - 1) < 1e-9).alias("sum_is_one"),
+        (F.col("feature").isin(run.selected) == (F.col("importance") > 0.005)).alias("selected_by_rule"),
+    )
 
 
-@key("o05_top_features")
+@key("o05_top_features", values("place", "falls", rows=[(f"{k}::BIGINT", "TRUE") for k in range(1, 21)]))
 def _o05(w):
-    return explain.importance_table(w.spark, training(w).importance, 20)
+    """The top 20 features: as many, and none above the one before it."""
+    top = explain.importance_table(w.spark, training(w).importance, 20)
+    order = Window.partitionBy().orderBy(F.desc("importance"), "feature")  # 20 rows
+    falls = F.coalesce(F.lag("importance").over(order) >= F.col("importance"), F.lit(True))
+    return top.select(F.row_number().over(order).cast("bigint").alias("place"), falls.alias("falls"))
+
+
+_CHECKED_SQL = """WITH own AS (SELECT model, label, score, CASE WHEN score >= threshold THEN 1 ELSE 0 END AS p FROM scores),
+c AS (SELECT model, CAST(sum(p * label) AS DOUBLE) AS tp, CAST(sum(p * (1 - label)) AS DOUBLE) AS fp,
+  CAST(sum((1 - p) * label) AS DOUBLE) AS fn, CAST(sum((1 - p) * (1 - label)) AS DOUBLE) AS tn FROM own GROUP BY model),
+a AS (SELECT x.model, sum(CASE WHEN x.score > y.score THEN 1.0D WHEN x.score = y.score THEN 0.5D ELSE 0.0D END * x.n * y.n) AS won,
+  sum(CAST(x.n * y.n AS DOUBLE)) AS pairs
+  FROM (SELECT model, round(score, 2) AS score, count(*) AS n FROM own WHERE label = 1 GROUP BY 1, 2) x
+  JOIN (SELECT model, round(score, 2) AS score, count(*) AS n FROM own WHERE label = 0 GROUP BY 1, 2) y ON x.model = y.model
+  GROUP BY x.model)
+SELECT c.model, (tp + tn) / (tp + fp + fn + tn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+  coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, won / pairs AS auc
+FROM c JOIN a ON c.model = a.model"""
 
 
-@key("m07_five_classifiers")
+@key(
+    "m07_five_classifiers",
+    values(
+        "model", "metric", "agrees", "beats_chance",
+        rows=[(f"'{m}'", f"'{k}'", "TRUE", "TRUE") for m in candidates(Effort()) for k in runs.METRICS],
+    ),
+)
 def _m07(w):
+    """The metrics of the run, against SQL over the stored test scores; the area there comes from scores of two digits."""
     run = training(w)
-    log = runs.run_rows(w.spark, "run-1", 1, None, run.metrics)
-    return log.select("model", "metric", "value")
+    thresholds = w.spark.createDataFrame(list(run.thresholds.items()), "model string, threshold double")
+    scores = run.scores.filter("split = 'test'").join(thresholds, "model")
+    wide = w.spark.sql(_CHECKED_SQL.replace("FROM scores", "FROM {scores}"), scores=scores)
+    recomputed = wide.unpivot("model", list(runs.METRICS), "metric", "expected")
+    logged = runs.run_rows(w.spark, "run-1", 1, None, run.metrics)
+    gap = F.abs(F.col("value") - F.col("expected"))
+    agrees = gap < F.when(F.col("metric") == "auc", 0.01).otherwise(0.0001)
+    areas = {m["model"]: m["auc"] for m in run.metrics}
+    beats = F.col("model").isin([m for m, area in areas.items() if area > 0.5])
+    return logged.join(recomputed, ["model", "metric"]).select("model", "metric", agrees.alias("agrees"), beats.alias("beats_chance"))
 
 
 @key(
@@ -149,7 +210,10 @@ _THRESHOLDS = {"score_a": 0.5, "score_b": 0.45, "score_c": 0.6}
 
 def _metrics_sql(name: str, threshold: float) -> str:
     return f"""SELECT '{name}' AS model, (tp + tn) / (tp + tn + fp + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS pr,
-  coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM (
+  coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+  (SELECT (sum(CASE WHEN label = 1 THEN rk END) - p * (p + 1) / 2) / (CAST(p AS DOUBLE) * n) FROM (
+    SELECT label, rank() OVER (ORDER BY {name}) + (count(*) OVER (PARTITION BY {name}) - 1) / 2 AS rk,
+      sum(label) OVER () AS p, count(*) OVER () - sum(label) OVER () AS n FROM scored) GROUP BY p, n) AS auc FROM (
   SELECT CAST(sum(CASE WHEN {name} >= {threshold}::DOUBLE AND label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS tp,
     CAST(sum(CASE WHEN {name} >= {threshold}::DOUBLE AND label = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS fp,
     CAST(sum(CASE WHEN {name} < {threshold}::DOUBLE AND label = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS fn,
@@ -159,24 +223,51 @@ def _metrics_sql(name: str, threshold: float) -> str:
 _ALL_METRICS_SQL = " UNION ALL ".join(_metrics_sql(n, t) for n, t in _THRESHOLDS.items())
 
 
+def _long_scores(w):
+    return scored(w).unpivot(["label"], list(_THRESHOLDS), "model", "score")
+
+
 def _metrics(w):
-    rows, result = scored(w), None
-    for name, threshold in _THRESHOLDS.items():
-        confusion = rows.agg(*evaluate.confusion_columns("label", name, threshold))
-        one = evaluate.rates(confusion).select(
-            F.lit(name).alias("model"), F.lit(threshold).alias("threshold"), "accuracy", "precision", "recall", "f1"
-        )
-        result = one if result is None else result.unionByName(one)
-    return result
+    """Through the functions that training uses."""
+    own = F.create_map(*[F.lit(x) for pair in _THRESHOLDS.items() for x in pair])[F.col("model")]
+    return evaluate.metrics_by_model(_long_scores(w), "label", "score", own)
 
 
 @key(
     "m09_metrics_leaderboard",
     f"""SELECT model, {r('accuracy', 6)} AS accuracy, {r('pr', 6)} AS "precision", {r('recall', 6)} AS recall,
-  {r('f1', 6)} AS f1 FROM ({_ALL_METRICS_SQL})""",
+  {r('f1', 6)} AS f1, {r('auc', 6)} AS auc FROM ({_ALL_METRICS_SQL})""",
 )
 def _m09(w):
-    return stable(evaluate.leaderboard(_metrics(w).drop("threshold")), 6)
+    return stable(evaluate.leaderboard(_metrics(w)), 6)
+
+
+@key(
+    "m09_classification_metrics",
+    f"""SELECT {r('accuracy', 6)} AS accuracy, {r('pr', 6)} AS "precision", {r('recall', 6)} AS recall,
+  {r('f1', 6)} AS f1, {r('auc', 6)} AS auc FROM ({_metrics_sql('score_b', 0.45)})""",
+)
+def _m09_one(w):
+    return stable(evaluate.classification_metrics(scored(w), "label", "score_b", 0.45), 6)
+
+
+def _threshold_sql(name: str) -> str:
+    return f"""(SELECT '{name}' AS model, threshold, pr, re FROM (
+  SELECT threshold, tp / (tp + fp) AS pr, tp / p AS re FROM (
+    SELECT {name} AS threshold, CAST(sum(pos) OVER (ORDER BY {name} DESC) AS DOUBLE) AS tp,
+      sum(neg) OVER (ORDER BY {name} DESC) AS fp, sum(pos) OVER () AS p
+    FROM (SELECT {name}, sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY 1)))
+ORDER BY abs(pr - re), threshold LIMIT 1)"""
+
+
+@key(
+    "m09_thresholds_by_model",
+    f"""SELECT model, {r('threshold', 6)} AS threshold, {r('pr', 6)} AS "precision", {r('re', 6)} AS recall
+FROM ({' UNION ALL '.join(_threshold_sql(n) for n in _THRESHOLDS)})""",
+)
+def _m09_thresholds(w):
+    totals = evaluate.score_totals(_long_scores(w), "label", "score", by="model")
+    return stable(evaluate.best_threshold(totals, by="model"), 6)
 
 
 @key(
@@ -184,19 +275,46 @@ def _m09(w):
     f"SELECT model, {r('f1', 6)} AS f1 FROM ({_ALL_METRICS_SQL}) ORDER BY f1 DESC LIMIT 1",
 )
 def _m09_best(w):
-    return stable(evaluate.best_model(_metrics(w)).select("model", "f1"), 6)
+    own = F.create_map(*[F.lit(x) for pair in _THRESHOLDS.items() for x in pair])[F.col("model")]
+    return stable(evaluate.best_model(_metrics(w).withColumn("threshold", own)).select("model", "f1"), 6)
+
 
+def _margin(scorer, x):
+    """Intercept and coefficients of the linear model, applied in SQL to the selected features."""
+    terms = [F.lit(c) * x[i] for i, c in enumerate(scorer.model.coefficients.toArray().tolist())]
+    return reduce(lambda a, b: a + b, terms, F.lit(float(scorer.model.intercept)))
 
-@key("m10_batch_scoring")
+
+@key("m10_batch_scoring", "SELECT order_item_id, TRUE AS agrees, TRUE AS flag_agrees FROM feat_items")
 def _m10(w):
-    """A saved and reloaded pipeline scores rows that lack two columns and hold text for a number."""
-    run = training(w)
+    """A stored and reloaded scorer scores rows that lack two columns and hold text for a number.
+
+    Its scores are computed again from the stored medians, scales, codes and coefficients, by joins and arithmetic.
+    """
     path = w.scratch("model")
-    run.scorer("logistic").save(path)
-    model = PipelineModel.load(path)
+    training(w).scorer("logistic").save(path)
+    scorer = score.Scorer.load(w.spark, path)
     rows = items(w).drop("order_city", "unit_price").withColumn("sales", F.col("sales").cast("string"))
-    scored_rows = score.score(model, rows, NUMERIC, TEXT, run.thresholds["logistic"])
-    return scored_rows.select("order_item_id", round_to("prob_late", 4).alias("prob_late"), "predicted_late")
+    scored_rows = score.score(scorer, rows).select("order_item_id", "prob_late", "predicted_late")
+
+    own, codes = scorer.preprocessor, w.spark.read.parquet(f"{path}/codes")
+    full = items(w).withColumns({"order_city": F.lit("Unknown"), "unit_price": F.lit(None).cast("double")})
+    features = {}
+    for name in own.numeric:
+        mean, sigma = own.scale[name]
+        features[name] = (F.coalesce(F.col(name).cast("double"), F.lit(own.medians[name])) - F.lit(mean)) / F.lit(sigma)
+    for name in own.text:
+        one = codes.filter(F.col("column_name") == name).select(F.col("value").alias(f"v_{name}"), F.col("code").alias(f"c_{name}"))
+        full = full.join(one, F.coalesce(F.col(name), F.lit("Unknown")) == F.col(f"v_{name}"), "left")
+        features[name] = F.coalesce(f"c_{name}", F.lit(-1)).cast("double")
+    expected = 1 / (1 + F.exp(-_margin(scorer, [features[n] for n in scorer.selected])))
+    again = full.select(F.col("order_item_id").alias("item"), expected.alias("expected"))
+    joined = scored_rows.join(again, F.col("order_item_id") == F.col("item"))
+    return joined.select(
+        "order_item_id",
+        (F.abs(F.col("prob_late") - F.col("expected")) < 1e-9).alias("agrees"),
+        (F.col("predicted_late") == (F.col("prob_late") >= scorer.threshold).cast("int")).alias("flag_agrees"),
+    )
 
 
 def _predicted(w):
@@ -222,27 +340,48 @@ def _m12(w):
     return evaluate.with_correct(_predicted(w).withColumnRenamed("label", "actual_late"))
 
 
-@key("m13_row_drivers")
-def _m13(w):
-    from pyspark.ml.feature import VectorSlicer
+def _selected(w, *extra):
+    """Item rows with the selected features of the logistic model."""
+    scorer = training(w).scorer("logistic")
+    ready = scorer.transform(items(w))
+    return scorer, ready.select("order_item_id", *extra, "selected", "rawPrediction")
 
-    run = training(w)
-    ready = run.preprocessor.transform(items(w)).select("order_item_id", "features")
-    slots = [run.names.index(n) for n in run.selected]
-    rows = VectorSlicer(inputCol="features", outputCol="selected", indices=slots).transform(ready)
-    return explain.linear_contributions(rows, run.models["logistic"], run.selected, ["order_item_id"])
 
+@key("m13_row_drivers", "SELECT order_item_id, TRUE AS adds_up, TRUE AS falls FROM feat_items")
+def _m13(w):
+    """Contributions of all features add up to the margin over that of the means; the top ones come first."""
+    scorer, rows = _selected(w)
+    parts = explain.linear_contributions(
+        rows, scorer.model, scorer.selected, scorer.means, ["order_item_id"], k=len(scorer.selected)
+    )
+    sizes = F.transform(F.sort_array(F.collect_list(F.struct("rank", "contribution"))), lambda x: F.abs(x["contribution"]))
+    summed = parts.groupBy("order_item_id").agg(F.sum("contribution").alias("total"), sizes.alias("sizes"))
+    margin = vector_to_array("rawPrediction")[1]
+    at_means = _margin(scorer, [F.lit(m) for m in scorer.means])
+    joined = summed.join(rows.select("order_item_id", margin.alias("margin")), "order_item_id")
+    return joined.select(
+        "order_item_id",
+        (F.abs(F.col("total") - F.col("margin") + at_means) < 1e-6).alias("adds_up"),
+        (F.sort_array("sizes", asc=False) == F.col("sizes")).alias("falls"),
+    )
 
-@key("m13_permutation_importance")
-def _m13_permutation(w):
-    from pyspark.ml.feature import VectorSlicer
 
-    run = training(w)
-    ready = run.preprocessor.transform(items(w)).select(F.col(LABEL).cast("int").alias("label"), "features")
-    slots = [run.names.index(n) for n in run.selected]
-    rows = VectorSlicer(inputCol="features", outputCol="selected", indices=slots).transform(ready)
-    loss = explain.permutation_importance(rows, run.models["logistic"], run.selected, "label")
-    return explain.importance_table(w.spark, loss)
+@key("m13_permutation_importance", "SELECT TRUE AS within_range, TRUE AS repeatable, TRUE AS unused_lose_nothing")
+def _m13_permutation(w):
+    """Losses of AUC: at most one in size, equal in a second run, none for a constant feature."""
+    scorer, rows = _selected(w, F.col(LABEL).cast("int").alias("label"))
+    rows = rows.checkpoint()
+    first, second = (
+        explain.permutation_importance(rows, scorer.model, scorer.selected, "label", ["order_item_id"]) for _ in range(2)
+    )
+    constant = F.transform(vector_to_array("selected"), lambda x, i: F.when(i == 0, F.lit(scorer.means[0])).otherwise(x))
+    flat = explain.permutation_importance(
+        rows.withColumn("selected", array_to_vector(constant)), scorer.model, scorer.selected, "label", ["order_item_id"]
+    )
+    within = all(-1 <= loss <= 1 for _, loss in first)
+    return w.spark.createDataFrame(
+        [(within, first == second, flat[0][1] == 0)], "within_range boolean, repeatable boolean, unused_lose_nothing boolean"
+    )
 
 
 _METRIC_NAMES = dict(enumerate(runs.METRICS))

@@ -2,76 +2,97 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contract.keys_tables import feed_columns, feed_sql
 from contract.oracle import big, r
-from contract.registry import key
-from quayside.config import ACCEPTED_VALUES, CLICKSTREAM_COLUMNS, DATASETS, LAYER_TABLES
+from contract.registry import ORACLE, key
+from quayside.config import ACCEPTED_VALUES, DATASETS, GOLD_LAYERS, LAYER_TABLES, Dataset
 from quayside.functions import round_to, stable
 from quayside.operators import quality
 from quayside.operators.upsert import upsert
-from quayside.plans.refresh import refresh
+from quayside.plans.refresh import gate, meta_root, refresh, run_bronze
 from quayside.sources import bronze, lake, runlog
 from quayside.streaming.incremental import load_new_files
 from quayside.fixtures import order_feed
 
 ORDERS = DATASETS["orders"]
+ALL_TABLES = [n for names in LAYER_TABLES.values() for n in names]
+
+
+def table_sql(name: str) -> str:
+    """The table in SQL; the feature table there has the item id besides."""
+    return "(SELECT * EXCLUDE (order_item_id) FROM feat_items)" if name == "feat_delivery_risk" else name
 
 
 def src(name: str):
     return F.col(f"`{name}`")
 
 
+_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def landing(w) -> str:
-    """The order feed as latin-1 text files, one folder per load year; written once per workspace."""
+    """The order feed as latin-1 text files, one folder per load year; written once per workspace.
+
+    From 1996 on, the columns come in another order and with two more, one of them full of quotes, commas and line breaks.
+    """
     if not hasattr(w, "_landing"):
         folder = w.scratch("landing")
         feed = order_feed(w.spark, w.sf_dir).withColumn("load_year", F.year("_ingested_at")).drop("_ingested_at")
-        (
-            feed.write.partitionBy("load_year")
-            .option("header", True)
-            .option("encoding", ORDERS.encoding)
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(folder)
+        late = F.col("load_year") >= 1996
+        said = F.concat(F.lit('say "'), src("Product Name"), F.lit('",\nthen more'))
+        wider = feed.select(
+            F.lit("a@b.c").alias("Customer Email"),
+            *[src(c) for c in reversed(feed.columns)],
+            # Line breaks are rare, as in real feeds.
+            F.when(src("Order Item Id") % 50 == 0, said).otherwise(F.regexp_replace(said, "\n", " ")).alias("Product Description"),
         )
+        for rows in (feed.filter(~late), wider.filter(late)):
+            writer = rows.write.mode("append").partitionBy("load_year").options(**_BLANKS)
+            writer.option("header", True).option("encoding", ORDERS.encoding).option("escape", '"').csv(folder)
         w._landing = folder
     return w._landing
 
 
 @key(
     "s01_csv_scan",
-    f"""SELECT order_item_id, order_id, order_city, order_region_raw AS order_region, customer_last_name_raw AS last_name,
-  customer_zipcode_raw AS zipcode, {r('sales')} AS sales, strftime(order_date, '%m/%d/%Y %H:%M') AS order_date FROM wide""",
+    f"""SELECT {feed_sql()}, CASE WHEN year(_ingested_at) >= 1996 THEN 'say "' || product_name || '",' ||
+    CASE WHEN order_item_id % 50 = 0 THEN chr(10) ELSE ' ' END || 'then more' END AS description,
+  CASE WHEN year(_ingested_at) >= 1996 THEN 'a@b.c' END AS email FROM wide""",
 )
 def _s01(w):
     rows = bronze.read_csv(w.spark, landing(w), ORDERS)
     return stable(
-        rows.select(
-            src("Order Item Id").cast("bigint").alias("order_item_id"),
-            src("Order Id").cast("bigint").alias("order_id"),
-            src("Order City").alias("order_city"),
-            src("Order Region").alias("order_region"),
-            src("Customer Lname").alias("last_name"),
-            src("Customer Zipcode").alias("zipcode"),
-            src("Sales").cast("double").alias("sales"),
-            src("order date (DateOrders)").alias("order_date"),
-        )
+        rows.select(*feed_columns(), src("Product Description").alias("description"), src("Customer Email").alias("email"))
     )
 
 
 @key(
     "s02_source_validation",
-    "SELECT TRUE AS all_valid, count(*) AS row_count, 0::BIGINT AS malformed_count FROM lineitem",
+    """SELECT TRUE AS all_valid, count(*) AS row_count, sum(CASE WHEN event_id % 100 < 2 THEN 1 ELSE 0 END)::BIGINT AS malformed_count,
+  sum(CASE WHEN event_id % 100 >= 2 THEN event_id END)::BIGINT AS good_ids FROM events""",
 )
 def _s02(w):
-    files = bronze.validate_files(w.spark, landing(w))
-    counts = bronze.malformed_counts(w.spark, landing(w), ORDERS)
-    return files.join(counts, "file", "left").agg(
+    """Of a hundred lines one lacks a field and one has a field too many."""
+    folder, line = w.scratch("malformed"), F.concat_ws(",", "event_id", "event_type", "user_id")
+    short = F.concat_ws(",", "event_id", "event_type")
+    of_hundred = F.col("event_id") % 100
+    lines = w.source("events").select(
+        F.when(of_hundred == 0, short).when(of_hundred == 1, F.concat(line, F.lit(",more"))).otherwise(line).alias("event_id,event_type,user_id")
+    )
+    lines.write.option("header", True).option("sep", "\u0001").csv(folder)
+    dataset = Dataset("events", "events", "UTF-8", (), "")
+    valid = bronze.validate_files(w.spark, folder).join(bronze.malformed_counts(w.spark, folder, dataset), "file")
+    good = bronze.read_csv(w.spark, folder, dataset).agg(F.sum(F.col("event_id").cast("bigint")).alias("good_ids"))
+    return valid.agg(
         F.every("valid").alias("all_valid"),
         F.sum("row_count").alias("row_count"),
         F.sum("malformed_count").alias("malformed_count"),
-    )
+    ).withColumn("good_ids", good.scalar())
 
 
 @key(
@@ -82,7 +103,7 @@ FROM wide GROUP BY 1, 2""",
 )
 def _s03(w):
     year = F.regexp_extract("path", r"load_year=(\d+)", 1)
-    marks = bronze.file_fingerprints(w.spark, landing(w)).withColumn("dataset_name", F.concat(F.lit("orders_"), year))
+    marks = bronze.file_marks(w.spark, landing(w), ORDERS.encoding).withColumn("dataset_name", F.concat(F.lit("orders_"), year))
     # The stored state knows the files of the older loads and other bytes for the newer ones.
     state = marks.select(
         "dataset_name",
@@ -90,9 +111,8 @@ def _s03(w):
         F.when(year < "1999", F.col("file_hash")).otherwise("other bytes").alias("file_hash"),
     )
     changed = bronze.changed_files(marks, state).select("dataset_name", F.lit("CHANGED").alias("status")).distinct()
-    path = F.col("_metadata.file_path")
-    rows = bronze.read_csv(w.spark, landing(w), ORDERS).select(
-        F.concat(F.lit("orders_"), F.regexp_extract(path, r"load_year=(\d+)", 1)).alias("dataset_name"),
+    rows = bronze.read_feed(w.spark, landing(w), ORDERS).select(
+        F.concat(F.lit("orders_"), F.regexp_extract("_file", r"load_year=(\d+)", 1)).alias("dataset_name"),
         src("Order Item Id"),
     )
     counts = rows.groupBy("dataset_name").agg(F.count(F.lit(1)).alias("row_count"))
@@ -100,30 +120,52 @@ def _s03(w):
     return joined.select("dataset_name", F.coalesce("status", F.lit("SKIPPED")).alias("status"), "row_count")
 
 
+def _landed(w):
+    """A lake that has loaded the landing folder once, and the id of the run."""
+    if not hasattr(w, "_first_load"):
+        fresh = lake.Lake(w.spark, w.scratch("loaded"))
+        w._first_load = (fresh, run_bronze(fresh, {"orders": landing(w)}, "2024-01-01"))
+    return w._first_load
+
+
 @key(
     "s04_lineage_columns",
-    """SELECT 'orders.csv' AS _source_file, 'orders' AS _dataset_name, 'run-1' AS _ingestion_run_id,
-  'ACTIVE' AS _record_status, count(*) AS row_count, 1::BIGINT AS ingest_times FROM orders""",
+    """SELECT year(_ingested_at) AS load_year, 'orders' AS _dataset_name, 'ACTIVE' AS _record_status, count(*) AS row_count,
+  count(*) AS copied, TRUE AS same_run, 1::BIGINT AS load_times FROM wide GROUP BY 1""",
 )
 def _s04(w):
-    rows = bronze.with_lineage(w.source("orders"), "orders.csv", "orders", "run-1")
-    return rows.groupBy("_source_file", "_dataset_name", "_ingestion_run_id", "_record_status").agg(
-        F.count(F.lit(1)).alias("row_count"), F.countDistinct("_ingested_at").alias("ingest_times")
+    """The Parquet rows and their CSV copy carry the same lineage, one load time for all."""
+    loaded, run_id = _landed(w)
+    rows = loaded.table("bronze_orders")
+    copy = w.spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(
+        f"{loaded.root}/bronze/orders_csv/orders/run={run_id}"
     )
+    year = F.regexp_extract("_source_file", r"load_year=(\d+)", 1).cast("bigint").alias("load_year")
+    keys = [year, "_dataset_name", "_record_status"]
+    same = F.every(F.col("_ingestion_run_id") == run_id)
+    stored = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), same.alias("same_run"), F.collect_set("_ingested_at").alias("times"))
+    copied = copy.groupBy(*keys).agg(F.count(F.lit(1)).alias("copied"), F.collect_set(F.to_timestamp("_ingested_at")).alias("copy_times"))
+    joined = stored.join(copied, ["load_year", "_dataset_name", "_record_status"])
+    times = F.size(F.array_union("times", "copy_times")).cast("bigint").alias("load_times")
+    return joined.select("load_year", "_dataset_name", "_record_status", "row_count", "copied", "same_run", times)
 
 
 @key(
     "s05_partitioned_sink",
-    f"SELECT CAST(ts AS DATE) AS ingested_date, count(*) AS row_count, {r('sum(value)')} AS total FROM events GROUP BY 1",
+    f"""SELECT CAST(ts AS DATE) AS ingested_date, event_type || '.csv' AS _source_file, count(*) AS row_count,
+  {r("sum(CASE WHEN event_type = 'click' AND CAST(ts AS DATE) >= DATE '2024-01-15' THEN value + 1 ELSE value END)")} AS total
+FROM events GROUP BY 1, 2""",
 )
 def _s05(w):
-    """Written twice: the rerun of a day replaces that day's rows."""
-    path, clicks = w.scratch("sink"), w.table("bronze_clickstream")
+    """A file per event type; one of them is loaded again for some days, with other values: only its rows of those days change."""
+    path = w.scratch("sink")
+    clicks = w.table("bronze_clickstream").withColumn("_source_file", F.concat("event_type", F.lit(".csv")))
     bronze.write_bronze(clicks, path)
-    bronze.write_bronze(clicks.filter("ingested_date >= '2024-01-15'"), path)
+    again = clicks.filter("ingested_date >= '2024-01-15' AND event_type = 'click'")
+    bronze.write_bronze(again.withColumn("value", F.col("value") + 1), path)
     back = bronze.read_bronze(w.spark, path)
     return stable(
-        back.groupBy("ingested_date").agg(F.count(F.lit(1)).alias("row_count"), F.sum("value").alias("total"))
+        back.groupBy("ingested_date", "_source_file").agg(F.count(F.lit(1)).alias("row_count"), F.sum("value").alias("total"))
     )
 
 
@@ -135,7 +177,7 @@ def _s06(w):
     path = w.scratch("csv")
     clicks = w.table("bronze_clickstream").drop("ingested_date")
     bronze.write_csv(clicks, path)
-    back = w.spark.read.schema(bronze.feed_schema(clicks.columns)).option("header", True).csv(path)
+    back = w.spark.read.schema(bronze.feed_schema(clicks.columns)).option("header", True).option("escape", '"').csv(path)
     return stable(
         back.groupBy("event_type").agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -167,14 +209,14 @@ def _s09(w):
 
 
 _LAYER_SQL = " UNION ALL ".join(
-    f"SELECT '{n}' AS view_name, count(*) AS row_count FROM {n}"
-    for n in (*LAYER_TABLES["silver"], *LAYER_TABLES["dimensions"])
+    f"SELECT '{n}' AS view_name, count(*) AS row_count FROM {table_sql(n)}"
+    for n in ALL_TABLES
 )
 
 
 @key("s10_layer_views", _LAYER_SQL)
 def _s10(w):
-    names = lake.register_views(w, ["silver", "dimensions"])
+    names = lake.register_views(w, list(LAYER_TABLES))
     listed = lake.list_tables(w.spark).filter("isTemporary").select(F.col("tableName").alias("view_name"))
     counts = None
     for name in names:
@@ -213,20 +255,28 @@ def _s12(w):
     )
 
 
-_PROFILED = (*LAYER_TABLES["dimensions"], *LAYER_TABLES["facts"])
-_WIDTHS = {"dim_customer": 10, "dim_date": 10, "dim_order": 20, "dim_product": 9, "fact_order_items": 14}
+_GOLD_TABLES = [n for layer in GOLD_LAYERS for n in LAYER_TABLES[layer]]
+# DuckDB's name of each type, and Spark's.
+_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz", "HUGEINT": "bigint",
+}
 
 
-@key(
-    "s13_layer_profile",
-    " UNION ALL ".join(
-        f"SELECT '{n}' AS dataset_name, 'gold' AS layer, count(*) AS row_count, {_WIDTHS[n]} AS column_count, "
-        f"count(*) > 0 AS has_rows FROM {n}"
-        for n in _PROFILED
-    ),
-)
+def _profile_sql(name: str) -> str:
+    kind = "CASE column_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _TYPES.items()) + " END"
+    listed = f"(SELECT string_agg(column_name || ' ' || {kind}, ',' ORDER BY column_name) FROM (DESCRIBE SELECT * FROM {table_sql(name)}))"
+    return (
+        f"SELECT '{name}' AS dataset_name, 'gold' AS layer, count(*) AS row_count, count(*) > 0 AS has_rows, "
+        f"{listed} AS columns FROM {table_sql(name)}"
+    )
+
+
+@key("s13_layer_profile", " UNION ALL ".join(_profile_sql(n) for n in _GOLD_TABLES))
 def _s13(w):
-    return lake.profile({n: w.table(n) for n in _PROFILED}, "gold").drop("column_names", "column_types")
+    profiled = lake.profile({n: w.table(n) for n in _GOLD_TABLES}, "gold")
+    pairs = F.transform(F.arrays_zip("column_names", "column_types"), lambda x: F.concat_ws(" ", x["column_names"], x["column_types"]))
+    return profiled.select("dataset_name", "layer", "row_count", "has_rows", F.concat_ws(",", F.array_sort(pairs)).alias("columns"))
 
 
 @key(
@@ -441,18 +491,61 @@ def _c05_gold(w):
 
 # --- L ---------------------------------------------------------------------------------------
 
-_ALL_TABLES = [n for names in LAYER_TABLES.values() for n in names]
+# A column of each table whose sum stands for its content.
+_MEASURES = {
+    "stg_customer": "customer_id", "stg_department": "department_id", "stg_order": "days_actual", "stg_order_items": "sales",
+    "stg_product": "product_price", "dim_customer": "customer_id", "dim_date": "date_key", "dim_order": "days_diff",
+    "dim_product": "product_price", "fact_order_items": "order_profit", "mart_executive_summary": "total_sales",
+    "mart_customer_summary": "total_customers", "mart_customer_segment_revenue": "avg_revenue_per_customer",
+    "mart_product_category_sales": "total_sales", "mart_product_discount_impact": "avg_sales",
+    "mart_product_discount_impact_by_category": "avg_sales", "mart_supply_chain_shipping_mode": "total_orders",
+    "mart_supply_chain_region_delay": "avg_delay", "mart_ai_monitoring_summary": "violations",
+    "mart_ai_monitoring_risk_by_region": "risk_orders", "mart_ai_monitoring_risk_by_mode_region": "actual_late",
+    "mart_trend_monthly": "avg_delay", "feat_customer": "avg_days_late", "feat_delivery_risk": "profit_margin",
+}
+_DAY = "2024-01-01"
 
 
 @key(
     "l01_full_refresh",
     " UNION ALL ".join(
-        f"SELECT '{n}' AS dataset_name, count(*) AS row_count FROM {'feat_items' if n == 'feat_delivery_risk' else n}"
-        for n in _ALL_TABLES
-    ),
+        f"SELECT '{n}' AS dataset_name, count(*) AS row_count, {r(f'sum({c})', 2)} AS total FROM {table_sql(n)}"
+        for n, c in _MEASURES.items()
+    )
+    + f""" UNION ALL SELECT 'bronze_orders', count(*), {r('sum(sales)', 2)} FROM wide
+UNION ALL SELECT 'bronze_clickstream', count(*), {r('sum(value)', 2)} FROM events
+UNION ALL SELECT 'dictionary', count(*), NULL FROM region
+UNION ALL SELECT 'failed tests', 0, NULL UNION ALL SELECT 'files of the second run', 0, NULL""",
 )
 def _l01(w):
-    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    fresh = lake.Lake(w.spark, w.scratch("refresh"))
-    profiled = refresh(fresh, {"orders": landing(w)}, "2024-01-01", accepted={"customer_segment": segments})
-    return profiled.select("dataset_name", "row_count")
+    """Three feeds land and are modelled; a second lake object on the same root finds nothing new, queries and tests the tables."""
+    segments = {"customer_segment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]}
+    clicks, dictionary, root = w.scratch("clicks"), w.scratch("dictionary"), w.scratch("refresh")
+    w.source("events").write.option("header", True).csv(clicks)
+    fields = w.source("region").select(F.col("r_name").alias("FIELDS"), F.lit("a, b").alias("DESCRIPTION"))
+    fields.write.option("header", True).csv(dictionary)
+    folders = {"orders": landing(w), "clickstream": clicks, "dictionary": dictionary}
+    refresh(lake.Lake(w.spark, root), folders, _DAY, segments)
+
+    second = lake.Lake(w.spark, root)
+    refresh(second, folders, "2024-01-02", segments)
+    logs = runlog.history(w.spark, meta_root(second), "ingestion_logs")
+    runs = runlog.current(w.spark, meta_root(second), "pipeline_runs").orderBy(F.desc("started_at")).limit(1)
+    anew = logs.join(runs.select("run_id"), "run_id").filter("status <> 'SKIPPED'")
+    failed = gate(second, [*quality.SILVER_RULES, *quality.GOLD_RULES], "check", segments).filter("NOT passed")
+    entries = runlog.current(w.spark, meta_root(second), "metadata_catalog").filter("dataset_name = 'dictionary'")
+
+    def line(name: str, df, total=F.lit(None).cast("double"), rows=F.count(F.lit(1))):
+        return df.agg(rows.alias("row_count"), total.alias("total")).select(F.lit(name).alias("dataset_name"), "row_count", "total")
+
+    lake.register_views(second, list(LAYER_TABLES))
+    parts = [line(n, second.table(n), round_to(F.sum(c), 2)) for n, c in _MEASURES.items()]
+    for name, column in (("bronze_orders", "Sales"), ("bronze_clickstream", "value")):
+        parts.append(line(name, second.table(name), round_to(F.sum(src(column).cast("double")), 2)))
+    parts.append(line("dictionary", entries, rows=F.sum("row_count")))
+    parts += [line("failed tests", failed), line("files of the second run", anew)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# One load, one load time: versions of a row are ties there.
+ORACLE["l01_full_refresh"] = ORACLE["l01_full_refresh"].replace("l_shipdate AS _ingested_at", f"DATE '{_DAY}' AS _ingested_at")

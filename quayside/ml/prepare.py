@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.quantile import exact_medians
 from quayside.operators.running import dense_codes
+from quayside.session import new_folder
 
 UNKNOWN = "Unknown"
 
@@ -33,7 +34,7 @@ def standardised(df: DataFrame, scale: Mapping[str, tuple[float, float]]) -> Dat
 
 def ordinal_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """column_name, value, code: sorted distinct training values per column, numbered from 0."""
-    filled = train.select(*[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in columns])
+    filled = train.select(*[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) for c in columns])
     # Folded per row set first: each value of each column travels once per map task.
     values = filled.unpivot([], list(columns), "column_name", "value").distinct()
     return dense_codes(values, "value", partition="column_name")
@@ -42,58 +43,53 @@ def ordinal_codes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 def encode(df: DataFrame, column: str, codes: Mapping | DataFrame, output: str) -> DataFrame:
     """Join the codes of one column; values not seen in training become -1."""
     own = codes.filter(F.col("column_name") == column).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-    joined = df.join(own, F.coalesce(F.col(column), F.lit(UNKNOWN)) == F.col("_value"), "left")
+    joined = df.join(own, F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(UNKNOWN)) == F.col("_value"), "left")
     return joined.withColumn(output, F.coalesce("_code", F.lit(-1))).drop("_value", "_code")
 
 
-def _quoted(name: str) -> str:
-    return f"`{name}`"
+@dataclass
+class Preprocessor:
+    """Raw columns to `features`, one slot per column in the given order, as fitted on training rows.
 
-
-def fit_preprocessor(train: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> PipelineModel:
-    """A stored pipeline that turns raw columns into `features`, one slot per column in the given order.
-
-    Numbers: median for NULL, then (x - mean) / population sigma. Text: 'Unknown' for NULL, then the
-    position among the sorted training values, -1 for values not seen. The numeric and the remapping
-    steps are SQL expressions, so scoring stays inside the JVM.
+    Numbers: median for NULL, then (x - mean) / population sigma. Text: 'Unknown' for NULL, then the position among
+    the sorted training values, -1 for values not seen. The codes are a table that is joined, so a column may have any
+    number of values.
     """
+
+    numeric: list[str]
+    text: list[str]
+    medians: dict[str, float]
+    scale: dict[str, tuple[float, float]]
+    codes: DataFrame | None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """All columns of `df` and `features`."""
+        slots = []
+        for c in self.numeric:
+            mean, sigma = self.scale[c]
+            number = F.coalesce(F.col(f"`{c}`").try_cast("double"), F.lit(self.medians[c]))
+            slots.append((number - F.lit(mean)) / F.lit(sigma))
+        coded = df
+        for c in self.text:
+            coded = encode(coded, c, self.codes, f"{c}__code")
+            slots.append(F.col(f"`{c}__code`").cast("double"))
+        return coded.select(*[F.col(f"`{c}`") for c in df.columns], array_to_vector(F.array(*slots)).alias("features"))
+
+    def settings(self) -> dict:
+        return {"numeric": self.numeric, "text": self.text, "medians": self.medians, "scale": self.scale}
+
+
+def fit_preprocessor(train: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> Preprocessor:
     medians = {c: (m if m is not None else 0.0) for c, m in exact_medians(train, numeric).items()}
-    scale = population_scale(imputed(train.select(*numeric), medians), numeric)
-    fill = SQLTransformer(
-        statement="SELECT *, "
-        + ", ".join(
-            [
-                f"(coalesce(try_cast({_quoted(c)} AS DOUBLE), {medians[c]!r}D) - ({m!r}D)) / {s!r}D AS {_quoted(c + '__num')}"
-                for c, (m, s) in scale.items()
-            ]
-            + [f"coalesce(CAST({_quoted(c)} AS STRING), '{UNKNOWN}') AS {_quoted(c + '__txt')}" for c in text]
-        )
-        + " FROM __THIS__"
-    )
-    stages: list = [fill]
-    slots = [f"{c}__num" for c in numeric]
+    scale = population_scale(imputed(train.select(*numeric), medians), numeric) if numeric else {}
+    codes = None
     if text:
-        indexer = StringIndexer(
-            inputCols=[f"{c}__txt" for c in text],
-            outputCols=[f"{c}__idx" for c in text],
-            stringOrderType="alphabetAsc",
-            handleInvalid="keep",
-        )
-        indexed = indexer.fit(fill.transform(train))
-        known = [len(labels) for labels in indexed.labelsArray]
-        remap = SQLTransformer(
-            statement="SELECT *, "
-            + ", ".join(
-                f"if({_quoted(c + '__idx')} >= {n}, -1D, {_quoted(c + '__idx')}) AS {_quoted(c + '__code')}"
-                for c, n in zip(text, known)
-            )
-            + " FROM __THIS__"
-        )
-        stages += [indexed, remap]
-        slots += [f"{c}__code" for c in text]
-    stages.append(VectorAssembler(inputCols=slots, outputCol="features"))
-    return PipelineModel(stages=stages)
-
-
-def prepared(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        # A stored table has a size that Spark knows when it plans the joins.
+        path = new_folder(train.sparkSession, "codes")
+        ordinal_codes(train, text).write.parquet(path)
+        codes = train.sparkSession.read.parquet(path)
+    return Preprocessor(list(numeric), list(text), medians, scale, codes)
+
+
+def prepared(model: Preprocessor, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return model.transform(df).select(*keep, "features")

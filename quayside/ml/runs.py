@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import round_to
+from quayside.sources import files
 
 METRICS = ("accuracy", "precision", "recall", "f1", "auc")
 SCHEMA = "run_id string, version int, start_time timestamp, model string, metric string, value double"
+PARAMETER_SCHEMA = "run_id string, name string, value string"
 
 
 def run_rows(spark: SparkSession, run_id: str, version: int, start_time, metrics: Sequence[dict]) -> DataFrame:
@@ -19,10 +21,21 @@ def run_rows(spark: SparkSession, run_id: str, version: int, start_time, metrics
     return spark.createDataFrame(rows, SCHEMA).withColumn("value", round_to("value", 4))
 
 
+def parameter_rows(spark: SparkSession, run_id: str, parameters: Mapping[str, str]) -> DataFrame:
+    """Row counts, feature counts, cutoff and best model of a run."""
+    return spark.createDataFrame([(run_id, k, v) for k, v in parameters.items()], PARAMETER_SCHEMA)
+
+
 def append_run(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def next_version(spark: SparkSession, path: str) -> int:
+    if not files.exists(spark, path):
+        return 1
+    return (spark.read.schema(SCHEMA).parquet(path).agg(F.max("version")).first()[0] or 0) + 1
+
+
 def run_history(log: DataFrame, runs: int = 50, by: Sequence[str] = ("run_id", "version", "start_time", "model")) -> DataFrame:
     """Wide metrics of the latest runs; rows without any metric drop out."""
     last = log.select("run_id", "start_time").distinct().orderBy(F.desc("start_time"), F.asc("run_id")).limit(runs)

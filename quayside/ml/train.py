@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from quayside.config import LABEL
 from quayside.ml.evaluate import best_threshold, metrics_by_model, score_totals
-from quayside.ml.prepare import fit_preprocessor, prepared
+from quayside.ml.prepare import Preprocessor, fit_preprocessor, prepared
+from quayside.ml.score import Scorer
 from quayside.ml.split import class_ratio, stratified_split
 
 IMPORTANCE_CUTOFF = 0.005
@@ -23,20 +25,29 @@ IMPORTANCE_CUTOFF = 0.005
 
 @dataclass(frozen=True)
 class Effort:
-    """Sizes of the candidates; the defaults are the full ones."""
+    """Sizes of the candidates. `fit_rows` bounds the training rows that classifiers are fitted on (all by default).
+
+    The bound is on rows, chosen by a hash of their key; medians, scales, codes, thresholds and metrics always come from all rows.
+    """
 
     boosting_rounds: int = 1000
     selection_rounds: int = 100
     forest_trees: int = 300
+    forest_depth: int = 30  # MLlib's greatest
     logistic_iterations: int = 5000
     learning_rate: float = 0.03
+    fit_rows: int | None = None
     seed: int = 42
 
 
+#: Rows of a partition that a boosting round reads.
+PARTITION_ROWS = 50_000
+
+
 def candidates(effort: Effort) -> dict:
-    """Three boosted variants that differ in tree size, a forest and a linear model, all weighted."""
+    """Three boosted variants, a forest and a linear model, all weighted."""
 
-    def boosted(depth: int) -> GBTClassifier:
+    def boosted(depth: int, sampled: float = 1.0) -> GBTClassifier:
         return GBTClassifier(
             featuresCol="selected",
             labelCol="label",
@@ -44,18 +55,20 @@ def candidates(effort: Effort) -> dict:
             maxDepth=depth,
             maxIter=effort.boosting_rounds,
             stepSize=effort.learning_rate,
+            subsamplingRate=sampled,
             seed=effort.seed,
         )
 
     return {
         "boosted_depth_8": boosted(8),
-        "boosted_leaves_40": boosted(5),
-        "boosted_depth_6": boosted(6),
+        "boosted_leaves_40": boosted(6),
+        "boosted_depth_8_sampled": boosted(8, 0.8),
         "random_forest": RandomForestClassifier(
             featuresCol="selected",
             labelCol="label",
             weightCol="weight",
             numTrees=effort.forest_trees,
+            maxDepth=effort.forest_depth,
             seed=effort.seed,
         ),
         "logistic": LogisticRegression(
@@ -89,7 +102,7 @@ def selected_features(importance: Sequence[tuple[str, float]], cutoff: float = I
 
 @dataclass
 class TrainingRun:
-    preprocessor: PipelineModel
+    preprocessor: Preprocessor
     names: list[str]
     importance: list[tuple[str, float]]
     selected: list[str]
@@ -97,18 +110,34 @@ class TrainingRun:
     thresholds: dict[str, float]
     metrics: list[dict]
     sizes: dict[str, int]
+    means: list[float]
+    #: model, split, label and score of every held-out row.
+    scores: DataFrame
 
     @property
     def best(self) -> str:
         return max(self.metrics, key=lambda m: m["f1"])["model"]
 
-    def scorer(self, name: str | None = None) -> PipelineModel:
-        """Raw rows in, scored rows out; can be saved and loaded as one pipeline."""
-        slicer = VectorSlicer(inputCol="features", outputCol="selected", names=[], indices=self._slots())
-        return PipelineModel(stages=[*self.preprocessor.stages, slicer, self.models[name or self.best]])
+    def scorer(self, name: str | None = None) -> Scorer:
+        """Raw rows in, scored rows out; can be stored and loaded."""
+        name = name or self.best
+        return Scorer(self.preprocessor, self.selected, self.models[name], self.thresholds[name], self.means)
 
-    def _slots(self) -> list[int]:
-        return [self.names.index(n) for n in self.selected]
+    def parameters(self) -> dict[str, str]:
+        return {
+            **{f"{split}_rows": str(n) for split, n in sorted(self.sizes.items())},
+            "n_features_original": str(len(self.names)),
+            "n_features_selected": str(len(self.selected)),
+            "feature_importance_cutoff": str(IMPORTANCE_CUTOFF),
+            "best_model": self.best,
+        }
+
+
+def bounded(rows: DataFrame, total: int, fit_rows: int | None) -> DataFrame:
+    """At most about `fit_rows` of the rows, by the hash mark they carry, in partitions that suit their number."""
+    if fit_rows is not None and total > fit_rows:
+        rows, total = rows.filter(F.col("_mark") < int(-(2**63) + 2**64 * fit_rows / total)), fit_rows
+    return rows.coalesce(max(1, -(-total // PARTITION_ROWS)))
 
 
 def train_models(
@@ -122,25 +151,33 @@ def train_models(
 ) -> TrainingRun:
     """Split, prepare on training rows, select, fit, choose thresholds on validation, score on test."""
     parts = stratified_split(labelled(rows, label), "label", keys, seed=effort.seed)
+    # Another hash than the split's, else the bound would take one end of it.
+    mark = F.xxhash64(F.lit("fit"), *keys, F.lit(effort.seed)).alias("_mark")
     # Stored once: medians, scales, codes and the preparation each read it, not the joins behind it.
-    parts = parts.select("split", "label", *numeric, *text).checkpoint()
-    train = parts.filter("split = 'train'")
-    preprocessor = fit_preprocessor(train, numeric, text)
+    parts = parts.select("split", "label", mark, *numeric, *text).checkpoint()
+    preprocessor = fit_preprocessor(parts.filter("split = 'train'"), numeric, text)
     names = [*numeric, *text]
-    # Every boosting round reads the prepared rows again; they are stored once, lineage cut.
-    ready = prepared(preprocessor, parts, ["split", "label"]).checkpoint()
+    ready = prepared(preprocessor, parts, ["split", "label", "_mark"]).checkpoint()
     sizes = {r["split"]: r["count"] for r in ready.groupBy("split").count().collect()}
-    fit_on = ready.filter("split = 'train'")
     positive_weight = class_ratio(parts, "label").first()["class_ratio"]
+    fit_on = bounded(ready.filter("split = 'train'"), sizes["train"], effort.fit_rows).checkpoint()
     importance = feature_importance(fit_on, names, effort)
     selected = selected_features(importance) or names
     slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=[names.index(n) for n in selected])
-    sliced = weighted(slicer.transform(ready).drop("features"), positive_weight).checkpoint()
+
+    def sliced(df: DataFrame) -> DataFrame:
+        return weighted(slicer.transform(df).drop("features"), positive_weight)
 
     chosen = {n: e for n, e in candidates(effort).items() if only is None or n in only}
-    fit_on = sliced.filter("split = 'train'")
-    models = {name: estimator.fit(fit_on) for name, estimator in chosen.items()}
-    held_out = sliced.filter("split <> 'train'")
+    # Every round of every candidate reads these rows; they are stored once, lineage cut.
+    fit_on = sliced(fit_on).checkpoint()
+    # Each candidate is a chain of small jobs; run side by side they share the cluster.
+    with ThreadPoolExecutor(len(chosen)) as pool:
+        models = dict(zip(chosen, pool.map(lambda estimator: estimator.fit(fit_on), chosen.values())))
+    x = vector_to_array("selected")
+    everything = sliced(ready)
+    means = everything.filter("split = 'train'").agg(*[F.avg(x[i]) for i in range(len(selected))]).first()
+    held_out = everything.filter("split <> 'train'")
     scores = [
         model.transform(held_out).select(
             F.lit(name).alias("model"),
@@ -157,4 +194,4 @@ def train_models(
     own = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])[F.col("model")]
     test = metrics_by_model(scored.filter("split = 'test'"), "label", "score", own)
     metrics = sorted((r.asDict() for r in test.collect()), key=lambda m: -(m["f1"] or 0.0))
-    return TrainingRun(preprocessor, names, importance, selected, models, thresholds, metrics, sizes)
+    return TrainingRun(preprocessor, names, importance, selected, models, thresholds, metrics, sizes, list(means), scored)

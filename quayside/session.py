@@ -18,6 +18,14 @@ SETTINGS = {
     # HotSpot never compiles a method above 8000 bytes of code. The wide projections here exceed
     # that when fused into one method; past this limit Spark generates them in small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Rows go to Python in batches of so many bytes, however long their texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+}
+
+# Set when the context starts, never later.
+STATIC = {
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -25,7 +33,7 @@ def build_session(app_name: str = "quayside", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **STATIC, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     workspace_root(spark)

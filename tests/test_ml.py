@@ -3,14 +3,13 @@ import random
 import statistics
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quayside.functions import stable
 from quayside.ml import evaluate, explain, prepare, runs, score
 from quayside.ml.split import class_ratio, stratified_split
-from quayside.ml.train import Effort, TrainingRun, candidates, selected_features, train_models
+from quayside.ml.train import Effort, TrainingRun, bounded, candidates, selected_features, train_models
 
 NUMERIC, TEXT = ["x1", "x2"], ["kind"]
 
@@ -28,7 +27,7 @@ def rows(spark):
 
 @pytest.fixture(scope="module")
 def run(rows) -> TrainingRun:
-    effort = Effort(boosting_rounds=2, selection_rounds=2, forest_trees=3, logistic_iterations=30)
+    effort = Effort(boosting_rounds=2, selection_rounds=2, forest_trees=3, logistic_iterations=30, fit_rows=600)
     return train_models(rows, ["id"], NUMERIC, TEXT, label="late", effort=effort)
 
 
@@ -89,49 +88,57 @@ def test_selection_cutoff():
 
 
 def test_saved_model_scores_the_same(run, rows, tmp_path):
-    model = run.scorer("logistic")
-    model.save(str(tmp_path / "m"))
-    loaded = PipelineModel.load(str(tmp_path / "m"))
-    kept = [score.score(m, rows, NUMERIC, TEXT, 0.5).orderBy("id").collect() for m in (model, loaded)]
+    scorer = run.scorer("logistic")
+    scorer.save(str(tmp_path / "m"))
+    loaded = score.Scorer.load(rows.sparkSession, str(tmp_path / "m"))
+    assert (loaded.threshold, loaded.means, loaded.selected) == (scorer.threshold, scorer.means, scorer.selected)
+    kept = [score.score(m, rows).orderBy("id").collect() for m in (scorer, loaded)]
     assert kept[0] == kept[1]
+    with pytest.raises(FileNotFoundError):
+        score.Scorer.load(rows.sparkSession, str(tmp_path / "gone"))
 
 
 def test_input_contract(spark, run):
     partial = spark.createDataFrame([(1, "2.5"), (2, "n/a")], "id int, x1 string")
-    scored = score.score(run.scorer("logistic"), partial, NUMERIC, TEXT, 0.0)
+    scored = score.score(run.scorer("logistic"), partial, 0.0)
     assert [r["predicted_late"] for r in scored.collect()] == [1, 1]
     assert scored.columns == ["id", "x1", "prob_late", "predicted_late"]
     with pytest.raises(ValueError, match="x2, kind"):
-        score.score(run.scorer("logistic"), partial, NUMERIC, TEXT, 0.5, strict=True)
+        score.score(run.scorer("logistic"), partial, 0.5, strict=True)
     with pytest.raises(ValueError, match="missing"):
-        score.score(run.scorer("logistic"), partial.select("id"), NUMERIC, TEXT, 0.5)
+        score.score(run.scorer("logistic"), partial.select("id"), 0.5)
 
 
 def test_row_drivers_add_up_to_the_margin(run, rows):
-    ready = run.preprocessor.transform(rows).select("id", "features")
-    model = run.models["logistic"]
-    from pyspark.ml.feature import VectorSlicer
-
-    slots = [run.names.index(n) for n in run.selected]
-    sliced = VectorSlicer(inputCol="features", outputCol="selected", indices=slots).transform(ready).checkpoint()
-    parts = explain.linear_contributions(sliced, model, run.selected, ["id"])
+    scorer = run.scorer("logistic")
+    sliced = scorer.transform(rows).select("id", "selected", "rawPrediction").checkpoint()
+    parts = explain.linear_contributions(sliced, scorer.model, run.selected, run.means, ["id"])
     sums = {r["id"]: r["s"] for r in parts.groupBy("id").agg(F.sum("contribution").alias("s")).collect()}
-    margins = {r["id"]: float(r["rawPrediction"][1]) for r in model.transform(sliced).collect()}
-    base = statistics.mean(margins.values())
+    margins = {r["id"]: float(r["rawPrediction"][1]) for r in sliced.collect()}
+    base = scorer.model.intercept + sum(c * m for c, m in zip(scorer.model.coefficients, run.means))
     assert all(sums[i] == pytest.approx(margins[i] - base, abs=1e-6) for i in list(margins)[:50])
+    # One row alone has the same drivers.
+    alone = explain.linear_contributions(sliced.filter("id = 1"), scorer.model, run.selected, run.means, ["id"])
     first = parts.filter("id = 1").orderBy("rank").collect()
+    assert alone.orderBy("rank").collect() == first
     sizes = [abs(r["contribution"]) for r in first]
-    assert sizes == sorted(sizes, reverse=True)
+    assert sizes == sorted(sizes, reverse=True) and sizes[0] > 0
 
 
 def test_permutation_importance_ranks_the_signal_first(run, rows):
-    from pyspark.ml.feature import VectorSlicer
+    scorer = run.scorer("logistic")
+    sliced = scorer.transform(rows).select("id", F.col("late").cast("int").alias("label"), "selected")
+    loss, again = (
+        explain.permutation_importance(df, scorer.model, run.selected, "label", ["id"]) for df in (sliced, sliced.repartition(3))
+    )
+    assert max(loss, key=lambda p: p[1])[0] == "x1" and loss == again
+
 
-    ready = run.preprocessor.transform(rows).select(F.col("late").cast("int").alias("label"), "features")
-    slots = [run.names.index(n) for n in run.selected]
-    sliced = VectorSlicer(inputCol="features", outputCol="selected", indices=slots).transform(ready)
-    loss = explain.permutation_importance(sliced, run.models["logistic"], run.selected, "label")
-    assert max(loss, key=lambda p: p[1])[0] == "x1"
+def test_bounded_fit_rows(spark, rows):
+    marked = rows.withColumn("_mark", F.xxhash64("id"))
+    few = bounded(marked, 1500, 300)
+    assert 200 < few.count() < 400 and few.rdd.getNumPartitions() == 1
+    assert bounded(marked, 1500, 2000).count() == 1500
 
 
 def test_summaries_and_flags(spark):
@@ -160,3 +167,26 @@ def test_run_log(spark, tmp_path):
     assert history.first()["accuracy"] == 0.1235
     assert runs.run_history(log, runs=2).count() == 1
     assert runs.production_version(log).first()["version"] == 3
+
+
+def test_training_in_the_flow(spark, lake):
+    from quayside.plans import refresh as r
+    from quayside.session import new_folder
+    from quayside.sources.lake import Lake
+
+    own = Lake(spark, new_folder(spark, "trained"))
+    with pytest.raises(KeyError):
+        r.production_scorer(own)
+    for name in ("fact_order_items", "dim_order", "dim_product", "dim_customer"):
+        own.store(name, lake.table(name))
+    own.publish()
+    effort = Effort(boosting_rounds=1, selection_rounds=2, forest_trees=2, forest_depth=4, logistic_iterations=20)
+    paths = [r.run_training(own, effort, only=["logistic", "random_forest"]) for _ in range(2)]
+    scorer = r.production_scorer(Lake(spark, own.root))
+    assert len(set(paths)) == 2 and len(scorer.means) == len(scorer.selected)
+    log = spark.read.parquet(f"{own.root}/meta/model_metrics")
+    assert runs.production_version(log).first()["version"] == 2 and log.select("model").distinct().count() == 2
+    parameters = spark.read.parquet(f"{own.root}/meta/model_parameters").filter(F.col("run_id") == paths[0].split("/")[-1])
+    found = {x["name"]: x["value"] for x in parameters.collect()}
+    assert found["best_model"] in ("logistic", "random_forest") and found["n_features_original"] == "31"
+    assert sum(int(found[f"{s}_rows"]) for s in ("train", "validation", "test")) == lake.table("feat_delivery_risk").count()
