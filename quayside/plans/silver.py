@@ -104,13 +104,22 @@ def stg_order(feed: DataFrame, lenient: bool = False) -> DataFrame:
     return _stamped(latest_rows(clean_order(feed, lenient), ["order_id"], VERSION))
 
 
-def unreadable_orders(feed: DataFrame) -> DataFrame:
-    """Feed rows whose dates cannot be read: the reject table of the lenient mode."""
+def _unreadable() -> Column:
     bad = [
         _src(c).isNotNull() & feed_time(_src(c), lenient=True).isNull()
         for c in ("order date (DateOrders)", "shipping date (DateOrders)")
     ]
-    return feed.filter(bad[0] | bad[1])
+    return bad[0] | bad[1]
+
+
+def unreadable_orders(feed: DataFrame) -> DataFrame:
+    """Feed rows whose dates cannot be read."""
+    return feed.filter(_unreadable())
+
+
+def readable_orders(feed: DataFrame) -> DataFrame:
+    """The other rows."""
+    return feed.filter(~_unreadable())
 
 
 def clean_order_items(feed: DataFrame) -> DataFrame:

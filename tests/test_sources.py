@@ -263,6 +263,19 @@ def test_gate_stops_the_refresh(spark, tmp_path):
     assert log.filter("schema_name = 'test' AND status = 'fail'").count() == 1
 
 
+def test_unreadable_dates_fail_or_are_set_aside(spark, tmp_path):
+    lake = Lake(spark, new_folder(spark, "dates"))
+    bad = {"Order Item Id": "50", "Order Id": "50", "order date (DateOrders)": "13/31/2018 22:56"}
+    write_feed(tmp_path / "in", "orders.csv", [*ROWS, bad])
+    r.run_bronze(lake, {"orders": str(tmp_path / "in")})
+    with pytest.raises(Exception):
+        r.run_silver(lake)
+    r.run_silver(lake, lenient=True)
+    assert lake.table("stg_order_items").count() == 6 and lake.table("stg_order").count() == 3
+    line = runlog.history(spark, meta_root(lake), "rejected_rows").first()
+    assert line["source_file"] == "orders.csv" and json.loads(line["line"])["Order Id"] == "50"
+
+
 def test_views_sql_preview_and_profile(lake, spark):
     assert register_views(lake, ["dimensions"]) == list(LAYER_TABLES["dimensions"])
     rows = query(lake, "SELECT count(*) AS n FROM dim_order WHERE market = :market", ["dimensions"], {"market": "ASIA"})
