@@ -22,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
     turn, before = 0, None
     while True:
         path = f"{folder}/{turn}"
-        _small_star(_large_star(current)).write.parquet(path)
+        current = _small_star(_large_star(current, f"{path}-large"), f"{path}-small")
+        current.write.parquet(path)
         current = spark.read.parquet(path)
         after = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if after == before:
@@ -33,14 +34,20 @@ def components(links: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _least(links: DataFrame, path: str) -> DataFrame:
+    """Smallest neighbour of each node; stored, so that the join with it is of two plain shuffles and splits a hub."""
+    links.groupBy("a").agg(F.min("b").alias("m")).write.parquet(path)
+    return links.sparkSession.read.parquet(path)
+
+
+def _large_star(links: DataFrame, path: str) -> DataFrame:
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = _least(both, path).select("a", F.least("a", "m").alias("m"))
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, path: str) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = _least(down, path)
     moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()

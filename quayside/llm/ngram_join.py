@@ -120,25 +120,34 @@ def _placed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _buckets(sets: DataFrame, levels: int, bucket_sets: int) -> DataFrame:
-    """key, run, n, set_id: memberships of buckets that need no more splitting, with two sets at least."""
-    out = None
-    live = sets.select("set_id", F.posexplode("level0").alias("run", "tokens")).select(
-        "set_id", "run", F.explode("tokens").alias("token")
-    )
+def _buckets(sets: DataFrame, levels: int, bucket_sets: int, folder: str) -> DataFrame:
+    """key, run, n, set_id: memberships of buckets that need no more splitting, with two sets at least.
+
+    Memberships and bucket sizes of a level are stored: the next level starts from them, and the join of both
+    is of two plain shuffles, in which Spark can split a hot bucket.
+    """
+    spark = sets.sparkSession
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    tokens = sets.select("set_id", F.posexplode("level0").alias("run", "tokens"))
+    live = tokens.select(F.explode("tokens").alias("token"), "run", "set_id")
     live = live.select(F.xxhash64("run", "token").alias("key"), "run", "set_id")
+    out = None
     for level in range(levels):
-        counts = live.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        counted = live.join(counts, "key")
+        live = kept(f"live{level}", live)
+        counts = kept(f"counts{level}", live.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+        counted = kept(f"counted{level}", live.join(counts, "key"))
         last = level == levels - 1
         done = counted if last else counted.filter(F.col("n") <= bucket_sets)
         out = done if out is None else out.unionByName(done)
         if not last:
-            tokens = F.expr(f"level{level + 1}[run]")
             live = (
                 counted.filter(F.col("n") > bucket_sets)
                 .join(sets.select("set_id", f"level{level + 1}"), "set_id")
-                .select("key", "run", "set_id", F.explode(tokens).alias("token"))
+                .select("key", "run", "set_id", F.explode(F.expr(f"level{level + 1}[run]")).alias("token"))
                 .select(F.xxhash64("key", "token").alias("key"), "run", "set_id")
             )
     return out
@@ -147,6 +156,9 @@ def _buckets(sets: DataFrame, levels: int, bucket_sets: int) -> DataFrame:
 def _shared_earlier(key: int, keys: list[np.ndarray]) -> np.ndarray:
     """Which pairs of members meet in a bucket with a smaller key than this one."""
     earlier = [k[k < key] for k in keys]
+    if len(keys) == 2:
+        met = not set(earlier[0].tolist()).isdisjoint(earlier[1].tolist())
+        return np.array([[False, met], [met, False]])
     flat = np.concatenate(earlier)
     owner = np.repeat(np.arange(len(keys)), [len(e) for e in earlier])
     _, which, count = np.unique(flat, return_inverse=True, return_counts=True)
@@ -215,6 +227,9 @@ def _propose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections, over one range of tokens after the other."""
+    if len(sets) == 2:
+        common = float(np.isin(sets[0], sets[1], assume_unique=True).sum())
+        return np.array([[0.0, common], [common, 0.0]])
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, which, count = np.unique(flat, return_inverse=True, return_counts=True)
@@ -236,6 +251,12 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 def _runs_shared(links: np.ndarray, keys: list[np.ndarray], runs: list[np.ndarray]) -> np.ndarray:
     """In how many runs each linked pair meets."""
     out = np.zeros(links.shape, dtype=np.int16)
+    a, b = np.nonzero(links)
+    if len(a) <= 4 * len(links):  # few links: pair by pair
+        of = [dict(zip(k.tolist(), r.tolist())) for k, r in zip(keys, runs)]
+        for x, y in zip(a.tolist(), b.tolist()):
+            out[x, y] = len({of[x][k] for k in of[x].keys() & of[y].keys()})
+        return out
     for run in sorted({int(r) for own in runs for r in own}):
         own = [k[r == run] for k, r in zip(keys, runs)]
         out += _shared_earlier(np.iinfo(np.int64).max, own)
@@ -315,10 +336,9 @@ def _links(docs: DataFrame, folder: str, runs: int, levels: int, bucket_sets: in
     signed = spark.read.parquet(f"{folder}/signed").filter("set_id IS NOT NULL")
     holders = signed.groupBy("set_id").agg(F.min("place").alias("place"))
     sets = signed.join(holders, ["set_id", "place"], "left_semi")
-    _buckets(sets, levels, bucket_sets).write.parquet(f"{folder}/buckets")
     # Bounded lists: a set is in about 1.25 buckets per run and level.
     lists = (
-        spark.read.parquet(f"{folder}/buckets")
+        _buckets(sets, levels, bucket_sets, folder)
         .groupBy("set_id")
         .agg(F.sort_array(F.collect_list(F.struct("key", "run", "n"))).alias("own"))
         .join(sets.select("set_id", "place", "size", "sketch"), "set_id")
