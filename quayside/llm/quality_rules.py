@@ -247,7 +247,7 @@ def fit(stats: DataFrame, labels: DataFrame, trees: int = TREES, sample_rows: in
     part = passed
     if total > sample_rows:  # hashes are uniform, so this many rows up to chance
         part = passed.filter(F.xxhash64(*STATISTICS, "doc_id") < int(-(2**63) + 2**64 * sample_rows / total))
-    rows = part.select(*STATISTICS).orderBy(*STATISTICS).toPandas()
+    rows = part.select(*STATISTICS).toPandas().sort_values(list(STATISTICS))
     forest = grow_forest(excess(ratios({n: rows[n].to_numpy() for n in STATISTICS}), bounds), trees)
     forest.bounds = bounds
     labelled = _scored(labelled, spark.sparkContext.broadcast(forest))
