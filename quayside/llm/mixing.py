@@ -23,7 +23,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 
 #: Rows that one range of a source holds on average.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 10_000
 
 
 def sized(docs: DataFrame) -> DataFrame:
