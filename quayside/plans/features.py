@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.functions import flag, flag_sum, iso_day, ratio, round_to
 from quayside.plans.star import ITEM_MEASURES
 
-# Known only after delivery, identifying, or a coordinate: never a feature.
+# Order columns of the training input: known when the order is placed, and the label.
 ORDER_FEATURES = (
     "payment_type",
     "market",
