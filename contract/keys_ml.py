@@ -15,7 +15,7 @@ from quayside.config import FEATURE_SETS, LABEL
 from quayside.functions import round_to, stable
 from quayside.ml import evaluate, explain, prepare, runs, score
 from quayside.ml.split import class_ratio, stratified_split
-from quayside.ml.train import Effort, candidates, train_models
+from quayside.ml.train import CANDIDATES, Effort, train_models
 from quayside.operators.quantile import exact_medians
 from quayside.plans.features import feat_delivery_risk
 
@@ -174,7 +174,7 @@ FROM c JOIN a ON c.model = a.model"""
     "m07_five_classifiers",
     values(
         "model", "metric", "agrees", "beats_chance",
-        rows=[(f"'{m}'", f"'{k}'", "TRUE", "TRUE") for m in candidates(Effort()) for k in runs.METRICS],
+        rows=[(f"'{m}'", f"'{k}'", "TRUE", "TRUE") for m in CANDIDATES for k in runs.METRICS],
     ),
 )
 def _m07(w):

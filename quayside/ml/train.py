@@ -44,8 +44,11 @@ class Effort:
 PARTITION_ROWS = 50_000
 
 
+CANDIDATES = ("boosted_depth_8", "boosted_leaves_40", "boosted_depth_8_sampled", "random_forest", "logistic")
+
+
 def candidates(effort: Effort) -> dict:
-    """Three boosted variants, a forest and a linear model, all weighted."""
+    """Three boosted variants, a forest and a linear model, all weighted; by the names of CANDIDATES."""
 
     def boosted(depth: int, sampled: float = 1.0) -> GBTClassifier:
         return GBTClassifier(
