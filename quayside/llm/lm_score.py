@@ -44,7 +44,7 @@ FOLD = 4_000_000
 END = np.uint64(0x0123456789ABCDEF)
 _PAIR = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _SINGLE = np.uint64(0xA24BAED4963EE407)
-_LEVEL = np.uint64(0xD1B54A32D192ED03)
+_LEVEL = 0xD1B54A32D192ED03
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -109,7 +109,7 @@ class Layout:
 
     def places(self, gram: np.ndarray, level: int) -> Iterator[np.ndarray]:
         """Bits, within its segment, of each gram at a level."""
-        own = mix(gram + np.uint64(level) * _LEVEL)
+        own = mix(gram + np.uint64(level * _LEVEL % 2**64))
         step = (own >> np.uint64(32)) | np.uint64(1)
         for k in range(PROBES):
             yield ((own + np.uint64(k) * step) & np.uint64(self.segment_bits - 1)).astype(np.int64)
@@ -229,16 +229,18 @@ def _segment_builder(shape: Layout):
     return build
 
 
-def build_filter(rows: DataFrame, vocabulary: DataFrame, train_tokens: int) -> Filter:
-    """Filter of the tokens of `vocabulary` (h, n) and of all pairs in the training rows (text, train)."""
+def build_filter(rows: DataFrame, vocabulary: DataFrame, train_tokens: int, folder: str) -> Filter:
+    """Filter of the tokens of `vocabulary` (h, n) and of all pairs in the training rows (text, train).
+
+    The driver takes the stored segments, MAX_BITS in all, a partition of files at a time.
+    """
     shape = layout(train_tokens)
     packed = rows.select("text", "train").mapInArrow(_pair_packer(shape), _PACKED)
     packed = packed.unionByName(vocabulary.select("h", "n").mapInArrow(_single_packer(shape), _PACKED))
-    segments = (
-        packed.repartition("segment").sortWithinPartitions("segment").mapInArrow(_segment_builder(shape), "segment bigint, bits binary")
-    )
+    built = packed.repartition("segment").sortWithinPartitions("segment")
+    built.mapInArrow(_segment_builder(shape), "segment bigint, bits binary").write.parquet(f"{folder}/filter")
     bits = np.zeros((shape.segments, shape.segment_bits // 8), dtype=np.uint8)
-    for row in segments.toLocalIterator():
+    for row in rows.sparkSession.read.parquet(f"{folder}/filter").toLocalIterator():
         bits[row["segment"]] = np.frombuffer(row["bits"], dtype=np.uint8)
     return Filter(shape, bits.reshape(-1))
 
@@ -322,7 +324,7 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
     vocabulary = spark.read.parquet(f"{folder}/vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
 
-    bloom = build_filter(rows, vocabulary, total)
+    bloom = build_filter(rows, vocabulary, total, folder)
     # At most HEAD_TOKENS tokens can reach this count each.
     least = max(1.0, total / HEAD_TOKENS)
     head = vocabulary.filter(F.col("n") >= least).toPandas()

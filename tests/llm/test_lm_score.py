@@ -68,7 +68,7 @@ def test_filter_never_errs_downwards():
     level = random.integers(1, 6, len(gram))
     bits = np.zeros(4 * 4096, dtype=bool)
     for g, q in zip(gram, level):
-        for k in range(1, q + 1):
+        for k in range(1, int(q) + 1):
             for place in shape.places(np.array([g]), k):
                 bits[place + shape.segment(np.array([g])) * 4096] = True
     got = Filter(shape, np.packbits(bits, bitorder="little")).counts(gram)
