@@ -28,7 +28,7 @@ from quayside.llm.lookup import KeyTable
 from quayside.llm.textarrays import slices
 from quayside.session import apply_settings
 
-RUN_BYTES = 32 << 20
+RUN_BYTES = 8 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,7 +56,7 @@ class Vocabulary:
         self.pattern = regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.size = max(ranks.values()) + 1
-        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         pairs = [
             (ranks[token[:k]] * self.size + ranks[token[k:]], rank)
             for token, rank in ranks.items()
@@ -64,11 +64,11 @@ class Vocabulary:
             if token[:k] in ranks and token[k:] in ranks
         ]
         self.pairs = KeyTable(np.array([p for p, _ in pairs], dtype=np.uint64))
-        self.merged = np.array([*[r for _, r in pairs], -1], dtype=np.int64)
+        self.merged = np.array([*[r for _, r in pairs], -1], dtype=np.int32)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it doesn't merge."""
-        return self.merged[self.pairs.find((left * self.size + right).astype(np.uint64))]
+        return self.merged[self.pairs.find(left.astype(np.uint64) * np.uint64(self.size) + right.astype(np.uint64))]
 
     def merge_one(self, piece: bytes) -> list[int]:
         """Ids of a piece: the leftmost pair of the lowest rank, one at a time."""
@@ -106,11 +106,12 @@ class Vocabulary:
         starts = ends - lengths
         filled = lengths > 0
         token = self.of_byte[data]
-        after, before = np.arange(1, n + 2), np.arange(-1, n)  # place n stands for none
+        # Place n stands for none; a run is far shorter than 2^31 bytes.
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         after[ends[filled] - 1] = n
         before[starts[filled]] = n
-        current = np.full(n + 1, -1, dtype=np.int64)
-        inner = np.flatnonzero(after[:n] < n)
+        current = np.full(n + 1, -1, dtype=np.int32)
+        inner = np.flatnonzero(after[:n] < n).astype(np.int32)
         current[inner] = self.rank_of(token[inner], token[inner + 1])
         alive = np.ones(n + 1, dtype=bool)
         index: dict[int, list[np.ndarray]] = {}
@@ -127,7 +128,7 @@ class Vocabulary:
                     index[r] = [own]
                     heapq.heappush(ranks, r)
 
-        first = np.flatnonzero(current >= 0)
+        first = np.flatnonzero(current >= 0).astype(np.int32)
         if len(first):
             enter(first, current[first])
         disordered: set[int] = set()

@@ -410,6 +410,8 @@ def near_duplicates(
     first = classed.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "place")).alias("first")
     )
+    first.write.parquet(f"{folder}/first")  # so that the join can split a large class
+    first = spark.read.parquet(f"{folder}/first")
     return classed.join(first, "root").select(
         "doc_id",
         "place",
