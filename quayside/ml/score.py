@@ -31,7 +31,7 @@ class Scorer:
         names = [*self.preprocessor.numeric, *self.preprocessor.text]
         slots = [names.index(n) for n in self.selected]
         ready = self.preprocessor.transform(df).withColumn("_x", vector_to_array("features"))
-        chosen = array_to_vector(F.array(*[F.col("_x")[i] for i in slots]))
+        chosen = array_to_vector(F.transform(F.lit(slots), lambda i: F.get(F.col("_x"), i)))
         return self.model.transform(ready.withColumn("selected", chosen).drop("_x"))
 
     def save(self, path: str) -> None:

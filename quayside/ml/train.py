@@ -59,6 +59,9 @@ def candidates(effort: Effort) -> dict:
             maxIter=effort.boosting_rounds,
             stepSize=effort.learning_rate,
             subsamplingRate=sampled,
+            # Cuts the lineage of the rounds; more often, writing would take longer than a round.
+            checkpointInterval=50,
+            maxMemoryInMB=1024,
             seed=effort.seed,
         )
 
@@ -72,6 +75,7 @@ def candidates(effort: Effort) -> dict:
             weightCol="weight",
             numTrees=effort.forest_trees,
             maxDepth=effort.forest_depth,
+            maxMemoryInMB=1024,
             seed=effort.seed,
         ),
         "logistic": LogisticRegression(
