@@ -7,12 +7,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from quayside.llm.textarrays import released
+
 
 def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with equal `keys` (numbers without nulls); a run may go on in the next batch."""
     held: list[pa.RecordBatch] = []
     last = None
-    for batch in batches:
+    for batch in released(batches):
         if not batch.num_rows:
             continue
         columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]

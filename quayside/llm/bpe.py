@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from quayside.llm.lookup import KeyTable
-from quayside.llm.textarrays import slices
+from quayside.llm.textarrays import release, released, slices
 from quayside.session import apply_settings
 
 RUN_BYTES = 8 << 20
@@ -204,7 +204,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, car
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(*shared.value)
-        for batch in batches:
+        for batch in released(batches):
             for part in slices(batch.column("text"), RUN_BYTES):
                 ids = list(vocabulary.encode(part.text(i) for i in range(part.count)))
                 own = batch.slice(part.first, part.count)
@@ -212,6 +212,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, car
                     [*[own.column(c) for c in carry], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=[*carry, "n_tokens", "ids"],
                 )
+                release()
 
     kinds = dict(docs.dtypes)
     rows = docs.select(*[docs[c] for c in carry], docs["text"].cast("string").alias("text"))
@@ -225,7 +226,7 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value.__getitem__
-        for batch in batches:
+        for batch in released(batches):
             texts = [b"".join(map(token, np.frombuffer(x.as_py() or b"", dtype="<u4").tolist())) for x in batch.column("ids")]
             yield batch.append_column("decoded", pa.array(texts, pa.binary()))
 

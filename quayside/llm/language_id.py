@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.lookup import KeyTable
-from quayside.llm.textarrays import Slice, slices
+from quayside.llm.textarrays import Slice, released, slices
 from quayside.session import apply_settings, new_folder
 
 ORDER = 3
@@ -121,7 +121,7 @@ def build_model(languages: list[str], codes: list[np.ndarray], counts: list[np.n
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         lang = batch.column("lang").to_pylist()
         for name in sorted(set(lang)):
             chosen = batch.column("text").filter(pa.array([x == name for x in lang]))
@@ -184,7 +184,7 @@ def identify(docs: DataFrame, labelled: DataFrame, sample_bytes: int = SAMPLE_BY
     model = spark.sparkContext.broadcast(fit(labelled, sample_bytes))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             names, scores = [], []
             for part in slices(batch.column("text"), SLICE_BYTES):
                 own = identify_slice(model.value, part)

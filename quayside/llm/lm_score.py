@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.arrowgroups import sorted_groups
 from quayside.llm.stored import PLACE_TYPE, placed, stored
-from quayside.llm.textarrays import Slice, mix, slices, word_hashes, words
+from quayside.llm.textarrays import Slice, mix, released, slices, word_hashes, words
 from quayside.session import apply_settings, new_folder
 
 MAX_BITS = 1 << 29
@@ -158,7 +158,7 @@ def _count_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         key, count = held.take()
         return pa.record_batch([pa.array(key.view(np.int64)), pa.array(count)], names=["h", "n"])
 
-    for batch in batches:
+    for batch in released(batches):
         for part in slices(_texts(batch, True)):
             if held.add(tokens(part)[0]):
                 yield packed()
@@ -185,7 +185,7 @@ def _pack(shape: Layout, gram: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
 def _pair_packer(shape: Layout):
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Folder()
-        for batch in batches:
+        for batch in released(batches):
             for part in slices(_texts(batch, True)):
                 if held.add(pairs(tokens(part)[0])):
                     yield _pack(shape, *held.take())
@@ -197,7 +197,7 @@ def _pair_packer(shape: Layout):
 
 def _single_packer(shape: Layout):
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             key = single(batch.column("h").to_numpy().view(np.uint64))
             order = np.argsort(key)
             yield _pack(shape, key[order], batch.column("n").to_numpy()[order])
@@ -275,7 +275,7 @@ _SCORED = f"doc_id bigint, place {PLACE_TYPE}, held_out boolean, n_tokens bigint
 def _scorer(model):
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        for batch in batches:
+        for batch in released(batches):
             n, known, base, scores, tails, times = [], [], [], [], [], []
             for part in slices(batch.column("text")):
                 token, bounds = tokens(part)

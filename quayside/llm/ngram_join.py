@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quayside.llm.arrowgroups import sorted_groups
 from quayside.llm.components import components
 from quayside.llm.stored import PLACE_TYPE, placed, stored
-from quayside.llm.textarrays import Slice, mix, slices, windows, word_hashes, words
+from quayside.llm.textarrays import Slice, mix, released, slices, windows, word_hashes, words
 from quayside.session import apply_settings, new_folder
 
 SHINGLE_WORDS = 5
@@ -85,7 +85,7 @@ def _signer(runs: int, levels: int):
     lists = pa.list_(pa.list_(pa.int64()))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             ids, sizes, sketches = [], [], []
             chosen: list[list] = [[] for _ in range(levels)]
             for part in slices(batch.column("text")):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.textarrays import IS_SPACE, Slice, mix, slices, word_hashes, words
+from quayside.llm.textarrays import IS_SPACE, Slice, mix, released, slices, word_hashes, words
 from quayside.session import apply_settings
 
 PASSAGE_WORDS = 64
@@ -172,7 +172,7 @@ def train(x: np.ndarray, bounds: np.ndarray, label: np.ndarray, epochs: int = EP
 
 
 def _encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         for part in slices(batch.column("text"), SLICE_BYTES):
             x, bounds = passages(part)
             own = batch.slice(part.first, part.count)
@@ -200,7 +200,7 @@ def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     net = spark.sparkContext.broadcast(fit(docs, labels, train_rows))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             out = [net.value.forward(*passages(part))["score"] for part in slices(batch.column("text"), SLICE_BYTES)]
             scores = np.concatenate(out) if out else np.zeros(0)
             yield pa.record_batch(

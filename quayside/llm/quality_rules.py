@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.textarrays import IS_SPACE, Slice, mix, slices, windows, word_hashes, words
+from quayside.llm.textarrays import IS_SPACE, Slice, mix, released, slices, windows, word_hashes, words
 from quayside.session import apply_settings, new_folder
 
 TREES = 200
@@ -188,7 +188,7 @@ def _counts_of(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
 
 
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in released(batches):
         counts = _counts_of(batch)
         yield pa.record_batch([batch.column("doc_id"), *[pa.array(counts[n], pa.int64()) for n in STATISTICS]], names=["doc_id", *STATISTICS])
 
@@ -205,7 +205,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def _scored(stats: DataFrame, forest) -> DataFrame:
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             counts = {n: batch.column(n).to_numpy() for n in STATISTICS}
             yield batch.append_column("anomaly", pa.array(forest.value.anomaly(counts))).append_column(
                 "base_failed", pa.array(base_failed(counts))
@@ -219,7 +219,7 @@ def _bounds(clean: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Ratios that all but a small share of the clean rows stay within; below, only words can be too short."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             own = ratios({n: batch.column(n).to_numpy() for n in STATISTICS})
             yield pa.record_batch([pa.array(own[:, k]) for k in range(RATIOS)], names=[f"r{k}" for k in range(RATIOS)])
 
@@ -284,7 +284,7 @@ def keep_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     forest = spark.sparkContext.broadcast(fit(measure(docs), labels))
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             counts = _counts_of(batch)
             passed = ~base_failed(counts) & (forest.value.anomaly(counts) < forest.value.threshold)
             yield batch.filter(pa.array(passed))

@@ -6,7 +6,8 @@ texts, so memory follows the slice, or the longest text where that is longer.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -123,3 +124,23 @@ def windows(hashes: np.ndarray, found: Words, width: int) -> tuple[np.ndarray, n
     for k in range(width):
         total += hashes[at + k] * _SHINGLE[k]
     return mix(total), at
+
+
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _TRIM = None
+
+
+def release() -> None:
+    """Hand freed memory back to the system: a Python worker lives on after its task, and others need the memory."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with memory handed back after the work on each."""
+    for batch in batches:
+        yield batch
+        release()
