@@ -1,14 +1,17 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
-Counts of single tokens and of pairs are quantised to 1 + floor(log2 count), and a gram is entered once for each level up
-to its own. Probing level after level until one is missing gives the level back; a filter errs upwards only. The
-filter is cut into segments by hash, so each segment is built by the task that gets all counts of its grams, and no count
-table of all pairs is kept. Its size follows the corpus up to `MAX_BITS` (64 MB), the bound on what is broadcast: every
-pair of every training text is entered at any size, and a fuller filter only answers less sharply.
+Counts of pairs of tokens are quantised to 1 + floor(log2 count), and a pair is entered once for each level up to its own.
+Probing level after level until one is missing gives the level back; a filter errs upwards only. The filter grows with
+the training text, 8 to 16 bits a token at any size, and is cut into segments by hash. Each segment is built by the task
+that gets all counts of its pairs, and stays a row of a stored table: no process holds more than one of them.
+
+Documents are scored in units of about `UNIT_TOKENS` tokens. A unit asks each segment once for its distinct pairs, and for
+the counts of its rarer tokens; the answers, in the order of the hashes, meet the unit again, where its documents are
+scored. Counts of single tokens are exact: tokens that make up at least 2^-20 of the corpus, which can be 2^20 at most, are
+broadcast, and all others lie beside the segment of their hash.
 
 A token's probability is its pair's count over its predecessor's, smoothed with the token's own share of the corpus
-(Dirichlet prior). Exact base scores use exact counts: tokens that make up at least 2^-20 of the corpus, which can be 2^20 at
-most, are broadcast, and all others are joined.
+(Dirichlet prior), all quantised alike. Base scores use the exact counts as they are.
 
 Defined results: null text counts as empty, and an empty text is one end token. Without training texts all counts are 0.
 Rows are told apart by their place, so repeated ids and texts are scored each. Other columns are not looked at. Tokens
@@ -30,14 +33,17 @@ from quayside.llm.stored import PLACE_TYPE, placed, stored
 from quayside.llm.textarrays import Slice, mix, released, slices, word_hashes, words
 from quayside.session import apply_settings, new_folder
 
-MAX_BITS = 1 << 29
+#: What places made of 64-bit hashes can address; no memory is bounded by it.
+MAX_BITS = 1 << 60
 MIN_BITS = 1 << 20
 BITS_PER_TOKEN = 8
 PROBES = 4
 PRIOR = 5.0
 HEAD_TOKENS = 1 << 20
 #: Training tokens that a segment of the filter is built from, about.
-SEGMENT_TOKENS = 1 << 18
+SEGMENT_TOKENS = 1 << 21
+#: Tokens of documents that are scored together, up to the last slice of texts.
+UNIT_TOKENS = 1 << 20
 #: Grams that a task folds before it sends them on.
 FOLD = 4_000_000
 
@@ -75,6 +81,31 @@ def fold(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     return key, np.bincount(which, weights=np.concatenate(counts), minlength=len(key)).astype(np.int64)
 
 
+def packed_numbers(values: np.ndarray) -> bytes:
+    """Unsigned numbers, byte by byte of all of them: bytes of one weight are alike, so small numbers take little space."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_numbers(data: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * width, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).reshape(n)
+
+
+def packed_grams(gram: np.ndarray) -> bytes:
+    """Grams in rising order, by their steps."""
+    return packed_numbers(np.diff(gram, prepend=np.uint64(0)))
+
+
+def unpacked_grams(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_numbers(data, np.uint64), dtype=np.uint64)
+
+
+def all_grams(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *map(unpacked_grams, column.drop_null().to_pylist())])
+
+
 class Folder:
     """Counts of keys, folded whenever many have come together."""
 
@@ -130,8 +161,8 @@ class Filter:
     shape: Layout
     bits: np.ndarray
 
-    def counts(self, gram: np.ndarray) -> np.ndarray:
-        """Mean of the counts of each gram's level, 0 for grams that were never entered."""
+    def levels(self, gram: np.ndarray) -> np.ndarray:
+        """Level of each gram, 0 for grams that were never entered."""
         level = np.zeros(len(gram), dtype=np.int64)
         left, at, base = gram, np.arange(len(gram)), self.shape.segment(gram) * self.shape.segment_bits
         for k in range(1, 64):
@@ -143,7 +174,19 @@ class Filter:
             level[at] = k
             if not len(at):
                 break
-        return np.where(level > 0, (3 * np.exp2(level - 1.0) - 1) / 2, 0.0)
+        return level
+
+    def counts(self, gram: np.ndarray) -> np.ndarray:
+        return mean_count(self.levels(gram))
+
+
+def levels_of(count: np.ndarray) -> np.ndarray:
+    return np.where(count > 0, np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1, 0)
+
+
+def mean_count(level: np.ndarray) -> np.ndarray:
+    """Mean of the counts of each level, 0 for level 0."""
+    return np.where(level > 0, (3 * np.exp2(level - 1.0) - 1) / 2, 0.0)
 
 
 def _texts(batch: pa.RecordBatch, train_only: bool) -> pa.Array:
@@ -176,7 +219,7 @@ def _pack(shape: Layout, gram: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
     rows = []
     for lo, hi in zip(cuts, [*cuts[1:], len(gram)]):
         key, n = gram[lo:hi], count[lo:hi]
-        rows.append((int(segment[lo]), key[n == 1].tobytes(), key[n > 1].tobytes(), n[n > 1].astype(np.int64).tobytes()))
+        rows.append((int(segment[lo]), packed_grams(key[n == 1]), packed_grams(key[n > 1]), n[n > 1].astype(np.int64).tobytes()))
     columns = list(zip(*rows)) or [[]] * 4
     kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["segment", "ones", "grams", "counts"])
@@ -208,11 +251,10 @@ def _single_packer(shape: Layout):
 def _segment_builder(shape: Layout):
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["segment"]):
-            ones = np.frombuffer(b"".join(group.column("ones").to_pylist()), dtype=np.uint64)
-            grams = np.frombuffer(b"".join(group.column("grams").to_pylist()), dtype=np.uint64)
+            ones, grams = all_grams(group.column("ones")), all_grams(group.column("grams"))
             counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), dtype=np.int64)
             gram, count = fold([ones, grams], [np.ones(len(ones), dtype=np.int64), counts])
-            level = np.floor(np.log2(np.maximum(count, 1))).astype(np.int64) + 1
+            level = levels_of(count)
             bits = np.zeros(shape.segment_bits, dtype=bool)
             k = 1
             while len(gram):
@@ -229,78 +271,147 @@ def _segment_builder(shape: Layout):
     return build
 
 
-def build_filter(rows: DataFrame, vocabulary: DataFrame, train_tokens: int, folder: str) -> Filter:
-    """Filter of the tokens of `vocabulary` (h, n) and of all pairs in the training rows (text, train).
-
-    The driver takes the stored segments, MAX_BITS in all, a partition of files at a time.
-    """
-    shape = layout(train_tokens)
+def build_filter(rows: DataFrame, shape: Layout, folder: str) -> DataFrame:
+    """Stored segments (segment, bits) of the filter of all pairs in the training rows (text, train)."""
     packed = rows.select("text", "train").mapInArrow(_pair_packer(shape), _PACKED)
-    packed = packed.unionByName(vocabulary.select("h", "n").mapInArrow(_single_packer(shape), _PACKED))
     built = packed.repartition("segment").sortWithinPartitions("segment")
     built.mapInArrow(_segment_builder(shape), "segment bigint, bits binary").write.parquet(f"{folder}/filter")
-    bits = np.zeros((shape.segments, shape.segment_bits // 8), dtype=np.uint8)
-    for row in rows.sparkSession.read.parquet(f"{folder}/filter").toLocalIterator():
-        bits[row["segment"]] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return Filter(shape, bits.reshape(-1))
+    return rows.sparkSession.read.parquet(f"{folder}/filter")
 
 
 @dataclass
-class Model:
-    filter: Filter
-    head: np.ndarray
-    head_counts: np.ndarray
-    train_tokens: int
-    distinct: int
+class Head:
+    """Frequent tokens in order, and their counts."""
 
-    @property
-    def base(self) -> float:
-        return float(self.train_tokens + self.distinct + 1)
+    token: np.ndarray
+    count: np.ndarray
 
-    def log10(self, token: np.ndarray) -> np.ndarray:
-        """log10 probability of each token after the one before it."""
-        own, which = np.unique(token, return_inverse=True)
-        alone = self.filter.counts(single(own))[which]
-        pair, of = np.unique(pairs(token), return_inverse=True)
-        together = self.filter.counts(pair)[of]
-        end = self.filter.counts(single(np.array([END])))
-        before = np.concatenate([end, alone[:-1]])
-        prior = np.minimum((alone + 1) / self.base, 1.0)
-        return np.log10((np.minimum(together, before) + PRIOR * prior) / (before + PRIOR))
+    def find(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each token is among them, and its count or 0."""
+        if not len(self.token):
+            return np.zeros(len(token), dtype=bool), np.zeros(len(token), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.token, token), len(self.token) - 1)
+        there = self.token[at] == token
+        return there, np.where(there, self.count[at], 0)
 
 
-_SCORED = f"doc_id bigint, place {PLACE_TYPE}, held_out boolean, n_tokens bigint, known bigint, base double, score double, tail array<bigint>, times array<bigint>"
+_UNIT = "file bigint, row bigint, doc_id array<bigint>, held_out array<boolean>, n_tokens array<bigint>, tokens binary, index binary"
 
 
-def _scorer(model):
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array([0, len(values)], pa.int64()), values).cast(pa.list_(values.type))
+
+
+def _to_units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each unit, named by the place of its first document: its distinct tokens, and which of them come in turn."""
+    ids, held_out, sizes, found = [], [], [], []
+    place, size = None, 0
+
+    def packed() -> pa.RecordBatch:
+        own, index, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        rank = np.empty(len(own), dtype=np.uint32)  # frequent tokens get small numbers
+        rank[np.argsort(-times, kind="stable")] = np.arange(len(own), dtype=np.uint32)
+        columns = [
+            pa.array([place["file"]], pa.int64()), pa.array([place["row"]], pa.int64()),
+            _one_list(pa.concat_arrays(ids)), _one_list(pa.concat_arrays(held_out)), _one_list(pa.array(np.concatenate(sizes), pa.int64())),
+            pa.array([own[np.argsort(rank)].tobytes()], pa.binary()), pa.array([packed_numbers(rank[index])], pa.binary()),
+        ]
+        for c in (ids, held_out, sizes, found):
+            c.clear()
+        return pa.record_batch(columns, names=["file", "row", "doc_id", "held_out", "n_tokens", "tokens", "index"])
+
+    for batch in released(batches):
+        for part in slices(batch.column("text")):
+            own = batch.slice(part.first, part.count)
+            token, bounds = tokens(part)
+            if not found:
+                place, size = own.column("place")[0].as_py(), 0
+            ids.append(own.column("doc_id"))
+            held_out.append(own.column("held_out"))
+            sizes.append(np.diff(bounds))
+            found.append(token)
+            size += len(token)
+            if size >= UNIT_TOKENS:
+                yield packed()
+    if found:
+        yield packed()
+
+
+def _asker(shape: Layout, head):
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What a unit asks each segment: its distinct pairs and rarer tokens that lie there, in order."""
         for batch in released(batches):
-            n, known, base, scores, tails, times = [], [], [], [], [], []
-            for part in slices(batch.column("text")):
-                token, bounds = tokens(part)
-                starts = bounds[:-1]
-                at = np.minimum(np.searchsorted(m.head, token), max(len(m.head) - 1, 0))
-                head = m.head[at] == token if len(m.head) else np.zeros(len(token), dtype=bool)
-                count = np.where(head, m.head_counts[at], 0) if len(m.head) else np.zeros(len(token))
-                n.append(np.diff(bounds))
-                known.append(np.add.reduceat(head.astype(np.int64), starts))
-                base.append(np.add.reduceat(np.where(head, np.log10((count + 1) / m.base), 0.0), starts))
-                scores.append(np.add.reduceat(m.log10(token), starts))
-                rest = np.flatnonzero(~head)
-                cuts = np.searchsorted(rest, bounds)
-                for lo, hi in zip(cuts[:-1], cuts[1:]):
-                    own, c = np.unique(token[rest[lo:hi]], return_counts=True)
-                    tails.append(own.view(np.int64))
-                    times.append(c)
-            flat = [np.concatenate(c) if c else np.zeros(0, t) for c, t in ((n, np.int64), (known, np.int64), (base, float), (scores, float))]
+            for i in range(batch.num_rows):
+                token = np.frombuffer(batch.column("tokens")[i].as_py(), dtype=np.uint64)
+                index = unpacked_numbers(batch.column("index")[i].as_py(), np.uint32)
+                pair = np.unique(pairs(token[index]))
+                rare = np.sort(single(token[~head.value.find(token)[0]]))
+                of_pair, of_rare = shape.segment(pair), shape.segment(rare)
+                segments = np.union1d(of_pair, of_rare)
+                spans = []
+                for gram, of in ((pair, of_pair), (rare, of_rare)):
+                    lo, hi = np.searchsorted(of, segments), np.searchsorted(of, segments, side="right")
+                    spans.append(pa.array([packed_grams(gram[a:b]) for a, b in zip(lo, hi)], pa.binary()))
+                place = [pa.array([batch.column(c)[i].as_py()] * len(segments), pa.int64()) for c in ("file", "row")]
+                yield pa.record_batch([pa.array(segments), *place, *spans], names=["segment", "file", "row", "pairs", "rare"])
+
+    return ask
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), dtype=kind)
+
+
+def _answerer(shape: Layout):
+    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Levels of the pairs and counts of the rarer tokens that each unit asked a segment for."""
+        for group in sorted_groups(batches, ["segment"]):
+            bits = _joined(group.column("bits"), np.uint8)
+            own = Filter(Layout(1, shape.segment_bits), bits if len(bits) else np.zeros(shape.segment_bits // 8, dtype=np.uint8))
+            ones, more = all_grams(group.column("ones")), all_grams(group.column("grams"))
+            known, times = fold([ones, more], [np.ones(len(ones), dtype=np.int64), _joined(group.column("counts"), np.int64)])
+            asked = group.filter(group.column("pairs").is_valid())
+            vocabulary = Head(known, times)
+            levels = [own.levels(unpacked_grams(x)).astype(np.uint8).tobytes() for x in asked.column("pairs").to_pylist()]
+            counts = [vocabulary.find(unpacked_grams(x))[1].tobytes() for x in asked.column("rare").to_pylist()]
+            yield pa.record_batch(
+                [*[asked.column(c).combine_chunks() for c in ("file", "row", "segment")], pa.array(levels, pa.binary()), pa.array(counts, pa.binary())],
+                names=["file", "row", "segment", "levels", "times"],
+            )
+
+    return answer
+
+
+_SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+
+
+def _scorer(head, base: float):
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Scores of the documents of each unit, which comes before its answers."""
+        for group in sorted_groups(batches, ["file", "row"]):
+            unit = group.slice(0, 1)
+            token = _joined(unit.column("tokens"), np.uint64)
+            index = unpacked_numbers(unit.column("index")[0].as_py(), np.uint32)
+            frequent, count = head.value.find(token)
+            rare = np.flatnonzero(~frequent)
+            count[rare[np.argsort(single(token[rare]))]] = _joined(group.column("times"), np.int64)
+            _, of = np.unique(pairs(token[index]), return_inverse=True)
+            together = mean_count(_joined(group.column("levels"), np.uint8))[of]
+            alone = mean_count(levels_of(count))
+            end = alone[np.flatnonzero(token == END)[0]]
+            before = np.concatenate([[end], alone[index[:-1]]])
+            prior = np.minimum((alone + 1) / base, 1.0)[index]
+            each = np.log10((np.minimum(together, before) + PRIOR * prior) / (before + PRIOR))
+            n = unit.column("n_tokens").combine_chunks().flatten()
+            starts = np.cumsum(n.to_numpy()) - n.to_numpy()
             yield pa.record_batch(
                 [
-                    batch.column("doc_id"), batch.column("place"), batch.column("held_out"),
-                    *[pa.array(c) for c in flat],
-                    pa.array(tails, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64())),
+                    unit.column("doc_id").combine_chunks().flatten(), unit.column("held_out").combine_chunks().flatten(), n,
+                    pa.array(np.add.reduceat((count > 0).astype(np.int64)[index], starts)),
+                    pa.array(np.add.reduceat(np.log10((count + 1) / base)[index], starts)),
+                    pa.array(np.add.reduceat(each, starts)),
                 ],
-                names=["doc_id", "place", "held_out", "n_tokens", "known", "base", "score", "tail", "times"],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
             )
 
     return score
@@ -323,36 +434,31 @@ def score_documents(docs: DataFrame, train: Column) -> DataFrame:
     counted.groupBy("h").agg(F.sum("n").alias("n")).write.parquet(f"{folder}/vocabulary")
     vocabulary = spark.read.parquet(f"{folder}/vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    shape = layout(total)
+    bloom = build_filter(rows, shape, folder)
 
-    bloom = build_filter(rows, vocabulary, total, folder)
     # At most HEAD_TOKENS tokens can reach this count each.
     least = max(1.0, total / HEAD_TOKENS)
-    head = vocabulary.filter(F.col("n") >= least).toPandas()
-    key = head["h"].to_numpy().astype(np.int64).view(np.uint64)
+    frequent = vocabulary.filter(F.col("n") >= least).toPandas()
+    key = frequent["h"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(key)
-    model = spark.sparkContext.broadcast(Model(bloom, key[order], head["n"].to_numpy()[order], total, distinct))
-
-    rows.select("doc_id", "place", "text", (~F.col("train")).alias("held_out")).mapInArrow(
-        _scorer(model), _SCORED
-    ).write.parquet(f"{folder}/scored")
-    scored = spark.read.parquet(f"{folder}/scored")
-    base = float(total + distinct + 1)
-    tail = (
-        scored.select("place", F.explode(F.arrays_zip("tail", "times")).alias("t"))
-        .select("place", F.col("t.tail").alias("h"), F.col("t.times").alias("times"))
-        .join(vocabulary, "h", "left")
-        .groupBy("place")
-        .agg(
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known"),
-            F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(base))).alias("tail_base"),
-        )
+    head = spark.sparkContext.broadcast(Head(key[order], frequent["n"].to_numpy().astype(np.int64)[order]))
+
+    rows.select("doc_id", "place", "text", (~F.col("train")).alias("held_out")).mapInArrow(_to_units, _UNIT).write.parquet(f"{folder}/units")
+    units = spark.read.parquet(f"{folder}/units")
+    asked = units.select("file", "row", "tokens", "index").mapInArrow(
+        _asker(shape, head), "segment bigint, file bigint, row bigint, pairs binary, rare binary"
+    )
+    tail = vocabulary.filter(F.col("n") < least).select("h", "n").mapInArrow(_single_packer(shape), _PACKED)
+    at_segments = bloom.unionByName(tail, allowMissingColumns=True).unionByName(asked, allowMissingColumns=True)
+    answers = at_segments.repartition("segment").sortWithinPartitions("segment").mapInArrow(
+        _answerer(shape), "file bigint, row bigint, segment bigint, levels binary, times binary"
+    )
+    # A unit, without a segment, sorts before its answers, which follow in the order of their hashes.
+    at_units = units.unionByName(answers, allowMissingColumns=True)
+    scored = at_units.repartition("file", "row").sortWithinPartitions("file", "row", "segment").mapInArrow(
+        _scorer(head, float(total + distinct + 1)), _SCORED
     )
-    return scored.drop("tail", "times").join(tail, "place", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("tail_base", F.lit(0.0))).alias("base_score"),
-        "score",
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -86,3 +86,32 @@ def test_empty_tables(documents):
     assert score_documents(documents([]), F.lit(True)).count() == 0
     untaught = score_documents(documents([(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert {(r.n_tokens, r.n_known, r.base_score) for r in untaught} == {(3, 0, 0.0), (1, 0, 0.0)}
+
+
+def test_filter_grows_with_the_training_text():
+    for n in (10**6, 10**8, 4 * 10**9, 10**12):
+        shape = layout(n)
+        assert shape.segments * shape.segment_bits >= lm.BITS_PER_TOKEN * n  # 64 MB at most before
+        assert shape.segment_bits <= 1 << 26  # and a task holds one segment
+
+
+def test_units_and_segments_change_nothing(documents, prose, edges, monkeypatch):
+    rows = edges + [(100 + i, prose(i % 30, 40)) for i in range(60)]
+    docs = documents(rows)
+    one = sorted(map(str, score_documents(docs, remainder(7) != 2).drop("base_score", "score").collect()))
+    scores = sorted(r.score for r in score_documents(docs, remainder(7) != 2).collect())
+    monkeypatch.setattr(lm, "UNIT_TOKENS", 1)
+    monkeypatch.setattr(lm, "HEAD_TOKENS", 4)
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", 128)
+    found = score_documents(docs, remainder(7) != 2).collect()
+    assert sorted(str(r) for r in score_documents(docs, remainder(7) != 2).drop("base_score", "score").collect()) == one
+    assert sorted(r.score for r in found) == pytest.approx(scores, rel=1e-3)
+
+
+def test_packed_numbers_come_back():
+    random = np.random.default_rng(3)
+    for n in (0, 1, 1000):
+        gram = np.unique(random.integers(0, 1 << 64, n, dtype=np.uint64))
+        assert (lm.unpacked_grams(lm.packed_grams(gram)) == gram).all()
+        few = random.integers(0, 1 << 20, n, dtype=np.uint32)
+        assert (lm.unpacked_numbers(lm.packed_numbers(few), np.uint32) == few).all()
