@@ -1,7 +1,9 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped to lines, one per block element. A line's weight is the length of its text outside links; lines inside
-elements that never hold an article (menus, forms, footers, adverts, comments and so on) weigh nothing. Sums over sliding
+elements that never hold an article (menus, forms, footers, adverts, comments and so on) weigh nothing. An element is one of
+these by its tag, or where a whole name of its class, id or role says so; names say nothing about headings and paragraphs,
+nor about an element that holds all articles of the page or most of its text outside links. Sums over sliding
 windows of lines surge where text begins and dive to nothing where it ends; the text between a surge and its dive is a
 region. Regions inside an article or main element are the page's text; without such elements, the largest region and
 those of at least a quarter of its length.
@@ -16,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +30,8 @@ from quayside.session import apply_settings
 WINDOW = 3
 #: Share of the largest region that another one needs, on pages that mark no article.
 REGION_SHARE = 0.25
+#: Share of the page's text outside links above which an element is not judged by its names.
+MOST_SHARE = 0.5
 
 #: Fixed values of HTML: elements that begin a new line.
 BLOCKS = frozenset(
@@ -58,31 +63,74 @@ APART_NAMES = frozenset(
     )
 )
 
+#: Words that only say where such an element stands or what shape it has, so that `ad-slot` or `site-footer` mark the same.
+PLACE_NAMES = frozenset(
+    (
+        "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "global", "inner", "item", "left", "link", "links",
+        "list", "main", "outer", "page", "panel", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "top", "unit",
+        "wrap", "wrapper",
+    )
+)
+#: Elements that names say nothing about.
+NOT_BY_NAME = frozenset(("html", "body", "main", "a", "b", "i", "em", "strong", "p", "h1", "h2", "h3", "h4", "h5", "h6"))
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|xmp|noembed)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[a-z]+|[^a-z_-]")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 
 
 def _is_apart(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether the element holds no article text by its tag, or is not shown."""
     if tag in APART:
         return not (tag == "header" and in_article)  # an article's own header holds its title
-    if tag in ("html", "body", "main", "a", "b", "i", "em", "strong", "h1") or not attributes:
+    return bool(attributes) and tag not in ("html", "body", "main", "a", "b", "i", "em", "strong", "h1") and bool(_HIDDEN.search(attributes))
+
+
+def _is_named_apart(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether a whole name of the element is one of `APART_NAMES`, or made of them and of `PLACE_NAMES` alone."""
+    if not attributes or tag in NOT_BY_NAME:
         return False
-    if _HIDDEN.search(attributes):
-        return True
-    names = " ".join("".join(m) for m in _NAMES.findall(attributes)).lower()
     own = APART_NAMES - {"header", "masthead"} if in_article else APART_NAMES
-    return any(word in own for word in _WORD.findall(names))
+    for name in " ".join("".join(m) for m in _NAMES.findall(attributes)).lower().split():
+        words = _WORD.findall(name)
+        if any(word in own for word in words) and all(word in own or word in PLACE_NAMES or word.isdigit() for word in words):
+            return True
+    return False
+
+
+@dataclass
+class _Named:
+    """What an element that its names mark holds: text outside links, and articles."""
+
+    text: int = 0
+    articles: int = 0
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """Text, weight, and whether an article or main element holds it, for each line of the page."""
+    named: dict[int, _Named] = {}
+    lines, whole = _lines(page, named, frozenset())
+    spared = frozenset(
+        at for at, own in named.items() if own.text > MOST_SHARE * whole.text or own.articles and own.articles == whole.articles
+    )
+    # The first pass judges no element by its names.
+    return _lines(page, None, spared)[0] if len(spared) < len(named) else lines
+
+
+def _lines(page: str, named: dict[int, _Named] | None, spared: frozenset[int]) -> tuple[list[tuple[str, int, bool]], _Named]:
+    """Lines of the page, and what it holds in all.
+
+    With `named`, elements that their names mark are entered there by their place; else they are left out, but for those
+    in `spared`.
+    """
     lines: list[tuple[str, int, bool]] = []
+    whole = _Named()
+    inside: list[tuple[int, _Named]] = []  # depth and contents of the marked elements that are open
     pieces: list[str] = []
     linked = apart = article = 0
     stack: list[tuple[str, bool, bool]] = []  # tag, holds no article text, is an article
@@ -97,6 +145,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
     def leave(depth: int) -> None:
         nonlocal apart, article
+        while inside and inside[-1][0] >= depth:
+            inside.pop()
         while len(stack) > depth:
             _, no_text, is_article = stack.pop()
             apart -= no_text
@@ -113,8 +163,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             return
         text = html.unescape(raw)
         pieces.append(text)
+        size = len(" ".join(text.split()))
         if any(tag == "a" for tag, _, _ in stack):
-            linked += len(" ".join(text.split()))
+            linked += size
+        else:
+            for own in (whole, *(own for _, own in inside)):
+                own.text += size
 
     at = 0
     for token in _TOKEN.finditer(page):
@@ -139,13 +193,21 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if tag == "body":
             leave(next((k for k, (name, _, _) in enumerate(stack) if name == "head"), len(stack)))
         no_text = _is_apart(tag, attributes, article > 0)
+        if not no_text and _is_named_apart(tag, attributes, article > 0):
+            if named is None:
+                no_text = token.start() not in spared
+            elif not apart:
+                inside.append((len(stack), named.setdefault(token.start(), _Named())))
         is_article = tag in ("article", "main") and not apart and not no_text
+        if is_article:
+            for own in (whole, *(own for _, own in inside)):
+                own.articles += 1
         stack.append((tag, no_text, is_article))
         apart += no_text
         article += is_article
     say(page[at:])
     flush()
-    return lines
+    return lines, whole
 
 
 def regions(weights: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:

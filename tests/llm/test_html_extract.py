@@ -45,3 +45,24 @@ def test_edges(spark):
     assert by_id[4].text == "plain & simple" and by_id[2].text == "" and by_id[None].text == ""
     assert by_id[6].text.count("x é") == 20_000 and by_id[6].n_chars == len(by_id[6].text)
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='layout has-sidebar'><article>{ARTICLE}</article></div></body>",
+        f"<body><div class='site no-comments'><main>{ARTICLE}</main></div></body>",
+        f"<body><article class='post comments-open'>{ARTICLE}</article></body>",
+        f"<body><div class='sidebar'><article>{ARTICLE}</article><div class='ad'>Buy</div></div></body>",
+        f"<body><article><div id='widget'>{ARTICLE}</div><div class='comments'>Nice</div></article></body>",
+        f"<body><div class='ad_box_1'>Buy</div><div id='page' class='with-header'>{ARTICLE}</div><div class='site-footer'>x</div></body>",
+    ],
+)
+def test_names_do_not_empty_a_page(page):
+    assert main_text(page) == WANT
+
+
+def test_names_within_an_article_keep_its_sections():
+    parts = ("<section id='related-work'><h2 id='related'>Related work</h2><p class='notice'>Others</p></section>"
+             "<h2 id='search-methods'>Search</h2><p class='notice-period'>A month</p><div class='related'>More</div>")
+    assert main_text(f"<article>{ARTICLE}{parts}</article>") == WANT + "\nRelated work\nOthers\nSearch\nA month"
