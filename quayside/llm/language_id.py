@@ -6,8 +6,8 @@ an escape (as often as the context has distinct followers) and is coded in the n
 bytes alike. Statistics are frozen while a text is scored, so its code length under a language is one sum over its bytes,
 and depends on nothing but the four bytes at each place: every cost that training can know is computed once, in tables.
 
-The trees are fitted on a bounded hash sample of the labelled rows of each language (`SAMPLE_BYTES`, up to chance and
-the last whole text); every text is scored as a whole. The score is the share of the best language in the
+The trees are fitted on the different labelled texts of each language, in the order of their hashes until they hold
+`SAMPLE_BYTES`; the last comes in whole, so every language with text has one, and copies count once. Every text is scored as a whole. The score is the share of the best language in the
 probabilities that all languages give the text.
 
 Defined results: a text that is null or has no letter is `und` with score 0, as is every text where no row has a
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.lookup import KeyTable
@@ -133,22 +133,45 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _by_language(values: dict[str, float], other: Column) -> Column:
+    for name, value in values.items():
+        other = F.when(F.col("lang") == name, F.lit(value)).otherwise(other)
+    return other
+
+
+def _last_hashes(texts: DataFrame, sample_bytes: int) -> dict[str, int]:
+    """The hash up to which each language's texts (lang, hash, bytes) are taken: the first where they hold `sample_bytes`.
+
+    Only hashes in a low range, of a few times that size at first, come to the driver.
+    """
+    # One row per language, and the model holds a tree for each.
+    totals = texts.groupBy("lang").agg(F.sum("bytes").alias("bytes")).collect()
+    share = {row["lang"]: min(4.0 * sample_bytes / row["bytes"], 1.0) for row in totals}
+    uniform = F.col("hash").cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    last: dict[str, int] = {}
+    while share:
+        low = texts.filter(uniform <= _by_language(share, F.lit(-1.0))).select("lang", "hash", "bytes").toPandas()
+        for name, own in low.sort_values("hash").groupby("lang"):
+            held = own["bytes"].cumsum().to_numpy()
+            if held[-1] >= sample_bytes or share[name] == 1.0:
+                last[name] = int(own["hash"].iloc[min(int(np.searchsorted(held, sample_bytes)), len(held) - 1)])
+        share = {name: min(8 * part, 1.0) for name, part in share.items() if name not in last}
+    return last
+
+
 def fit(labelled: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Model from rows of text and lang, both not null."""
     folder = new_folder(labelled.sparkSession, "language-id")
     rows = labelled.select(labelled["lang"].cast("string").alias("lang"), labelled["text"].cast("string").alias("text")).filter(
         "lang IS NOT NULL AND octet_length(text) > 0"
     )
-    # One row per language, and the model holds a tree for each; texts stay where they are.
-    totals = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
-    share = F.lit(1.0)
-    for row in totals:
-        share = F.when(F.col("lang") == row["lang"], sample_bytes / row["bytes"]).otherwise(share)
-    uniform = F.xxhash64("text").cast("double") / F.lit(2.0**64) + F.lit(0.5)
-    rows.filter(uniform < share).mapInArrow(
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    rows.groupBy("lang", "hash").agg(F.max(F.octet_length("text").cast("long")).alias("bytes")).write.parquet(f"{folder}/texts")
+    last = _last_hashes(labelled.sparkSession.read.parquet(f"{folder}/texts"), sample_bytes)
+    rows.filter(_by_language(last, F.lit(None).cast("long")) >= F.col("hash")).select("lang", "text").distinct().mapInArrow(
         _count, "lang string, gram bigint, n bigint"
-    ).groupBy("lang", "gram").agg(F.sum("n").alias("n")).write.parquet(folder)
-    found = labelled.sparkSession.read.parquet(folder).orderBy("lang", "gram").toPandas()
+    ).groupBy("lang", "gram").agg(F.sum("n").alias("n")).write.parquet(f"{folder}/grams")
+    found = labelled.sparkSession.read.parquet(f"{folder}/grams").orderBy("lang", "gram").toPandas()
     languages = sorted(found["lang"].unique())
     own = [found[found["lang"] == name] for name in languages]
     if not languages:

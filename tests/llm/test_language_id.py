@@ -74,3 +74,29 @@ def test_edges(documents, edges, prose):
     untaught = identify(docs, docs.filter("lang IS NULL AND lang IS NOT NULL")).collect()
     assert {x.lang_pred for x in untaught} == {"und"} and len(untaught) == len(got)
     assert identify(documents([]), documents([])).count() == 0
+
+
+def test_every_language_is_learned_and_copies_count_once(spark):
+    from quayside.llm.language_id import fit
+
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    one_long = [(" ".join(word() for _ in range(700)), f"l{i:02}") for i in range(12)]
+    few = [(" ".join(word() for _ in range(9)), "few") for _ in range(4)]
+    rows = one_long + few + [few[0]] * 400
+    model = fit(spark.createDataFrame(rows, "text string, lang string"), 500)
+    assert model.languages == sorted({lang for _, lang in rows})
+    alone = fit(spark.createDataFrame(few, "text string, lang string"), 500)
+    codes = np.concatenate([grams(p)[0] for p in slices(pa.array([t for t, _ in few]))])
+    assert model.bits(codes)[:, 0] == pytest.approx(alone.bits(codes)[:, 0])
+
+
+def test_texts_are_taken_in_order_up_to_the_bound(spark):
+    from quayside.llm.language_id import fit
+
+    texts = [(f"{i:03}" + "x" * 97, "a") for i in range(300)]
+    spelled = fit(spark.createDataFrame(texts, "text string, lang string"), 1000)
+    order = [r[0] for r in spark.createDataFrame(texts, "text string, lang string").selectExpr("text", "xxhash64(text) h").orderBy("h").limit(10).collect()]
+    alone = fit(spark.createDataFrame([(t, "a") for t in order], "text string, lang string"), 1 << 20)
+    codes = np.concatenate([grams(p)[0] for p in slices(pa.array([t for t, _ in texts]))])
+    assert spelled.bits(codes) == pytest.approx(alone.bits(codes))
