@@ -5,8 +5,8 @@ elements that never hold an article (menus, forms, footers, adverts, comments an
 these by its tag, or where a whole name of its class, id or role says so; names say nothing about headings and paragraphs,
 nor about an element that holds all articles of the page or most of its text outside links. Sums over sliding
 windows of lines surge where text begins and dive to nothing where it ends; the text between a surge and its dive is a
-region. Regions inside an article or main element are the page's text; without such elements, the largest region and
-those of at least a quarter of its length.
+region. Regions inside an article or main element are the page's text, if they hold more than a small share of its text
+outside links; else every region is that is not mostly links.
 
 Defined results: a null, empty or textless page has empty text and n_chars 0. Unclosed elements end with what encloses
 them; an unclosed comment or script ends with the page. Every row of the table is one row of the result, repeated rows
@@ -28,8 +28,10 @@ from quayside.session import apply_settings
 
 #: Lines that a window spans.
 WINDOW = 3
-#: Share of the largest region that another one needs, on pages that mark no article.
-REGION_SHARE = 0.25
+#: Share of a region's text that may be links, on pages that mark no article.
+LINK_SHARE = 0.5
+#: Share of the page's text outside links that marked articles need, to be taken for all of it.
+MARKED_SHARE = 0.2
 #: Share of the page's text outside links above which an element is not judged by its names.
 MOST_SHARE = 0.5
 
@@ -224,11 +226,11 @@ def regions(weights: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
 def main_text(page: str | None) -> str:
     """Lines of the page's article, joined by line breaks."""
     lines = lines_of(page or "")
-    marked = any(inside and text for text, _, inside in lines)
+    own = sum(weight for _, weight, inside in lines if inside)
+    marked = own > 0 and own >= MARKED_SHARE * sum(weight for _, weight, _ in lines)
     weights = np.array([weight if inside or not marked else 0 for _, weight, inside in lines], dtype=np.int64)
-    found = regions(weights)
-    size = [int(weights[a:b].sum()) for a, b in found]
-    chosen = [r for r, n in zip(found, size) if marked or n >= REGION_SHARE * max(size)]
+    chars = np.array([len(text) for text, _, _ in lines], dtype=np.int64)
+    chosen = [(a, b) for a, b in regions(weights) if marked or weights[a:b].sum() >= (1 - LINK_SHARE) * chars[a:b].sum()]
     return "\n".join(lines[k][0] for a, b in chosen for k in range(a, b) if lines[k][0] and (lines[k][2] or not marked))
 
 

@@ -66,3 +66,17 @@ def test_names_within_an_article_keep_its_sections():
     parts = ("<section id='related-work'><h2 id='related'>Related work</h2><p class='notice'>Others</p></section>"
              "<h2 id='search-methods'>Search</h2><p class='notice-period'>A month</p><div class='related'>More</div>")
     assert main_text(f"<article>{ARTICLE}{parts}</article>") == WANT + "\nRelated work\nOthers\nSearch\nA month"
+
+
+LONG = "words of the main text, many of them, one after the other"
+
+
+def test_short_regions_between_links_stay():
+    links = "".join(f"<li><a href=/{i}>Link number {i}</a>" for i in range(5))
+    page = f"<body><div>{f'<p>{LONG}</p>' * 6}</div><ul>{links}</ul><div><p>A short end.</p></div><ul>{links}</ul></body>"
+    assert main_text(page).split("\n") == [LONG] * 6 + ["A short end."]
+
+
+def test_a_teaser_does_not_stand_for_the_page():
+    page = f"<body><div>{f'<p>{LONG}</p>' * 6}</div><article><p>Read on</p></article></body>"
+    assert main_text(page).split("\n") == [LONG] * 6 + ["Read on"]
