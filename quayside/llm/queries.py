@@ -155,3 +155,37 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(remainder(3) != 1).select("doc_id", "quality")
     found = classify(table(spark, sf_dir, "documents"), labels)
     return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@key(
+    "op13_hard_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (
+        SELECT a.vec_id AS anchor_id, a.label, a.x, b.vec_id AS positive_id,
+               CAST(list_dot_product(a.x, b.x) AS BIGINT) AS positive_score
+        FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE a.vec_id % 100 = 0
+        QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY positive_score DESC, b.vec_id) <= 5),
+    n AS (
+        SELECT p.anchor_id, p.positive_id, p.positive_score, b.vec_id AS negative_id,
+               CAST(list_dot_product(p.x, b.x) AS BIGINT) AS negative_score
+        FROM p JOIN v b ON p.label <> b.label)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank,
+           negative_id, positive_score, negative_score
+    FROM n
+    WHERE 30 * positive_score <= 100 * negative_score AND 100 * negative_score <= 90 * positive_score
+    QUALIFY rank <= 10""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.hard_negatives import hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
