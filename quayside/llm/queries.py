@@ -189,3 +189,21 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@key("op12_license_scan")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.license_scan import scan_licenses
+
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("detections", lambda d: d["kind"] == "base")
+    kept = F.filter("detections", lambda d: d["kept"])
+
+    def labels(places):
+        return F.array_join(F.array_sort(F.array_distinct(places["label"])), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(base["first_word"]).alias("first_word"), F.array_max(base["first_word"]).alias("last_word"),
+        labels(base).alias("base_labels"), labels(kept).alias("labels"), "score",
+    )
