@@ -207,3 +207,55 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_min(base["first_word"]).alias("first_word"), F.array_max(base["first_word"]).alias("last_word"),
         labels(base).alias("base_labels"), labels(kept).alias("labels"), "score",
     )
+
+
+@key(
+    "op11_prefix_trie",
+    """
+    WITH RECURSIVE t AS (
+        SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS pos
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+    c AS (
+        SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base,
+               xor(4294967295, list_reduce(
+                   list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda z: ord(z)::BIGINT)),
+                   lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, i:
+                       CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 6 AS h
+        FROM t),
+    r AS (
+        SELECT c.conv_id, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+        UNION ALL
+        SELECT c.conv_id, 10 + t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+    s AS (
+        SELECT c.conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY pos) FILTER (WHERE pos IS NOT NULL), []) AS turns
+        FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+    p AS (
+        SELECT conv_id, 0 AS depth, len(turns) AS size, sha256('') AS path, CAST(NULL AS VARCHAR) AS parent, 0 AS chars, turns FROM s
+        UNION ALL
+        SELECT conv_id, depth + 1, size, sha256(path || length(turns[depth + 1].role) || ':' || turns[depth + 1].role || turns[depth + 1].text),
+               path, length(turns[depth + 1].text), turns
+        FROM p WHERE depth < size),
+    n AS (
+        SELECT path, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               any_value(chars) AS chars,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = size), '')) AS ends_sha256
+        FROM p GROUP BY path),
+    k AS (SELECT parent, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+    up AS (
+        SELECT path AS node, path AS ancestor FROM n
+        UNION ALL
+        SELECT up.node, n.parent FROM up JOIN n ON up.ancestor = n.path WHERE n.parent IS NOT NULL),
+    below AS (
+        SELECT ancestor, count(*) FILTER (WHERE k.parent IS NULL) AS n_leaves,
+               sum((n.n_convs - 1) * n.chars) AS saved_tokens
+        FROM up JOIN n ON up.node = n.path LEFT JOIN k ON k.parent = n.path GROUP BY ancestor)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+           b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM n LEFT JOIN n q ON n.parent = q.path LEFT JOIN k ON k.parent = n.path JOIN below b ON b.ancestor = n.path""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.prefix_trie import conversation_trie
+
+    conv = F.col("conv_id")
+    kept = F.crc32(conv.cast("string").cast("binary")) % 6
+    return conversation_trie(table(spark, sf_dir, "conversations"), conv - conv % 100, kept, most=5)
