@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.config import LABEL
+from quayside.ml.boosting import PARTITION_ROWS, BoostedTrees, Boosting, binned, column_cuts, fit_boosted
 from quayside.ml.evaluate import best_threshold, metrics_by_model, score_totals
 from quayside.ml.prepare import Preprocessor, fit_preprocessor, prepared
 from quayside.ml.score import Scorer
@@ -32,6 +33,7 @@ class Effort:
 
     boosting_rounds: int = 1000
     selection_rounds: int = 100
+    selection_rate: float = 0.3
     forest_trees: int = 300
     forest_depth: int = 30  # MLlib's greatest
     logistic_iterations: int = 5000
@@ -40,35 +42,16 @@ class Effort:
     seed: int = 42
 
 
-#: Rows of a partition that a boosting round reads.
-PARTITION_ROWS = 50_000
-
-
 CANDIDATES = ("boosted_depth_8", "boosted_leaves_40", "boosted_depth_8_sampled", "random_forest", "logistic")
 
 
-def candidates(effort: Effort) -> dict:
+def candidates(effort: Effort) -> dict[str, Boosting | Estimator]:
     """Three boosted variants, a forest and a linear model, all weighted; by the names of CANDIDATES."""
-
-    def boosted(depth: int, sampled: float = 1.0) -> GBTClassifier:
-        return GBTClassifier(
-            featuresCol="selected",
-            labelCol="label",
-            weightCol="weight",
-            maxDepth=depth,
-            maxIter=effort.boosting_rounds,
-            stepSize=effort.learning_rate,
-            subsamplingRate=sampled,
-            # Cuts the lineage of the rounds; more often, writing would take longer than a round.
-            checkpointInterval=50,
-            maxMemoryInMB=1024,
-            seed=effort.seed,
-        )
-
+    rounds, rate, seed = effort.boosting_rounds, effort.learning_rate, effort.seed
     return {
-        "boosted_depth_8": boosted(8),
-        "boosted_leaves_40": boosted(6),
-        "boosted_depth_8_sampled": boosted(8, 0.8),
+        "boosted_depth_8": Boosting(rounds, rate, depth=8, seed=seed),
+        "boosted_leaves_40": Boosting(rounds, rate, leaves=40, seed=seed),
+        "boosted_depth_8_sampled": Boosting(rounds, rate, depth=8, sampled=0.8, seed=seed),
         "random_forest": RandomForestClassifier(
             featuresCol="selected",
             labelCol="label",
@@ -95,12 +78,11 @@ def weighted(df: DataFrame, positive_weight: float) -> DataFrame:
     return df.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(positive_weight))).otherwise(F.lit(1.0)))
 
 
-def feature_importance(train: DataFrame, names: Sequence[str], effort: Effort) -> list[tuple[str, float]]:
-    """(feature, importance) of a boosted model on `features` / `label`, one entry per feature."""
-    model = GBTClassifier(
-        featuresCol="features", labelCol="label", maxDepth=6, maxIter=effort.selection_rounds, seed=effort.seed
-    ).fit(train)
-    return list(zip(names, model.featureImportances.toArray().tolist()))
+def feature_importance(rows: DataFrame, cuts: list[list[float]], names: Sequence[str], effort: Effort) -> list[tuple[str, float]]:
+    """(feature, importance) of a boosted model of binned rows without weights, one entry per feature."""
+    settings = Boosting(effort.selection_rounds, effort.selection_rate, depth=6, seed=effort.seed)
+    model = fit_boosted(rows.withColumn("weight", F.lit(1.0)), cuts, settings)
+    return list(zip(names, model.importances()))
 
 
 def selected_features(importance: Sequence[tuple[str, float]], cutoff: float = IMPORTANCE_CUTOFF) -> list[str]:
@@ -113,7 +95,7 @@ class TrainingRun:
     names: list[str]
     importance: list[tuple[str, float]]
     selected: list[str]
-    models: dict[str, Model]
+    models: dict[str, Model | BoostedTrees]
     thresholds: dict[str, float]
     metrics: list[dict]
     sizes: dict[str, int]
@@ -147,16 +129,28 @@ def bounded(rows: DataFrame, total: int, fit_rows: int | None) -> DataFrame:
     return rows.coalesce(max(1, -(-total // PARTITION_ROWS)))
 
 
-def train_models(
-    rows: DataFrame,
-    keys: Sequence[str],
-    numeric: Sequence[str],
-    text: Sequence[str],
-    label: str = LABEL,
-    effort: Effort = Effort(),
-    only: Sequence[str] | None = None,
-) -> TrainingRun:
-    """Split, prepare on training rows, select, fit, choose thresholds on validation, score on test."""
+@dataclass
+class PreparedTraining:
+    """What all candidates share: split and prepared rows, the features chosen, and the rows to fit on."""
+
+    preprocessor: Preprocessor
+    names: list[str]
+    importance: list[tuple[str, float]]
+    selected: list[str]
+    sizes: dict[str, int]
+    means: list[float]
+    effort: Effort
+    #: Rows to fit on: as vectors, and as bins with the cut points of their columns.
+    fit_on: DataFrame
+    bins: DataFrame
+    cuts: list[list[float]]
+    held_out: DataFrame
+
+
+def prepare_training(
+    rows: DataFrame, keys: Sequence[str], numeric: Sequence[str], text: Sequence[str], label: str = LABEL, effort: Effort = Effort()
+) -> PreparedTraining:
+    """Split, prepare on training rows, and select features."""
     parts = stratified_split(labelled(rows, label), "label", keys, seed=effort.seed)
     # Another hash than the split's, else the bound would take one end of it.
     mark = F.xxhash64(F.lit("fit"), *keys, F.lit(effort.seed)).alias("_mark")
@@ -167,26 +161,42 @@ def train_models(
     ready = prepared(preprocessor, parts, ["split", "label", "_mark"]).checkpoint()
     sizes = {r["split"]: r["count"] for r in ready.groupBy("split").count().collect()}
     positive_weight = class_ratio(parts, "label").first()["class_ratio"]
-    fit_on = bounded(ready.filter("split = 'train'"), sizes["train"], effort.fit_rows).checkpoint()
-    importance = feature_importance(fit_on, names, effort)
-    selected = selected_features(importance) or names
-    slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=[names.index(n) for n in selected])
-
-    def sliced(df: DataFrame) -> DataFrame:
-        return weighted(slicer.transform(df).drop("features"), positive_weight)
-
-    chosen = {n: e for n, e in candidates(effort).items() if only is None or n in only}
+    fit_on = bounded(ready.filter("split = 'train'"), sizes["train"], effort.fit_rows)
     # Every round of every candidate reads these rows; they are stored once, lineage cut.
-    fit_on = sliced(fit_on).checkpoint()
-    # Each candidate is a chain of small jobs; run side by side they share the cluster.
-    with ThreadPoolExecutor(len(chosen)) as pool:
-        models = dict(zip(chosen, pool.map(lambda estimator: estimator.fit(fit_on), chosen.values())))
+    fit_on = weighted(fit_on, positive_weight).withColumnRenamed("_mark", "mark").checkpoint()
+    cuts = column_cuts(fit_on, "features", len(names))
+    importance = feature_importance(binned(fit_on, "features", cuts).checkpoint(), cuts, names, effort)
+    selected = selected_features(importance) or names
+    places = [names.index(n) for n in selected]
+    slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=places)
+    fit_on, everything = (slicer.transform(df).drop("features") for df in (fit_on, weighted(ready, positive_weight)))
+    own = [cuts[i] for i in places]
     x = vector_to_array("selected")
-    everything = sliced(ready)
     means = everything.filter("split = 'train'").agg(*[F.avg(x[i]) for i in range(len(selected))]).first()
-    held_out = everything.filter("split <> 'train'")
+    return PreparedTraining(
+        preprocessor, names, importance, selected, sizes, list(means), effort,
+        fit_on.checkpoint(), binned(fit_on, "selected", own).checkpoint(), own, everything.filter("split <> 'train'"),
+    )
+
+
+def fit_candidates(
+    ready: PreparedTraining, only: Sequence[str] | None = None, fitted: Mapping[str, Model | BoostedTrees] | None = None
+) -> TrainingRun:
+    """Fit the candidates (but for those `fitted` before), choose thresholds on validation rows, evaluate on test rows."""
+    chosen = {n: e for n, e in candidates(ready.effort).items() if only is None or n in only}
+    models = {n: m for n, m in (fitted or {}).items() if n in chosen}
+
+    def fit(name: str) -> Model | BoostedTrees:
+        own = chosen[name]
+        return fit_boosted(ready.bins, ready.cuts, own) if isinstance(own, Boosting) else own.fit(ready.fit_on)
+
+    # Most candidates are chains of small jobs; run side by side they share the cluster.
+    open_ = [n for n in chosen if n not in models]
+    with ThreadPoolExecutor(max(1, len(open_))) as pool:
+        models |= dict(zip(open_, pool.map(fit, open_)))
+    models = {n: models[n] for n in chosen}
     scores = [
-        model.transform(held_out).select(
+        model.transform(ready.held_out).select(
             F.lit(name).alias("model"),
             "split",
             F.col("label").cast("int").alias("label"),
@@ -201,4 +211,19 @@ def train_models(
     own = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])[F.col("model")]
     test = metrics_by_model(scored.filter("split = 'test'"), "label", "score", own)
     metrics = sorted((r.asDict() for r in test.collect()), key=lambda m: -(m["f1"] or 0.0))
-    return TrainingRun(preprocessor, names, importance, selected, models, thresholds, metrics, sizes, list(means), scored)
+    return TrainingRun(
+        ready.preprocessor, ready.names, ready.importance, ready.selected, models, thresholds, metrics, ready.sizes, ready.means, scored
+    )
+
+
+def train_models(
+    rows: DataFrame,
+    keys: Sequence[str],
+    numeric: Sequence[str],
+    text: Sequence[str],
+    label: str = LABEL,
+    effort: Effort = Effort(),
+    only: Sequence[str] | None = None,
+) -> TrainingRun:
+    """Split, prepare on training rows, select, fit, choose thresholds on validation, score on test."""
+    return fit_candidates(prepare_training(rows, keys, numeric, text, label, effort), only)
