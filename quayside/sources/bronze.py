@@ -21,10 +21,9 @@ from pyspark.sql import types as T
 from quayside.config import LINEAGE_COLUMNS, Dataset
 from quayside.session import new_folder
 from quayside.sources import files
+from quayside.sources.quoted import CSV_GLOB, read_quoted
 
 MALFORMED = "_malformed"
-#: A name ending that counts as a feed file, in any case.
-CSV_GLOB = "*.[cC][sS][vV]"
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -47,24 +46,22 @@ def column_names(header: str) -> list[str]:
 
 
 def read_files(
-    spark: SparkSession,
-    path: str,
-    dataset: Dataset,
-    columns: Sequence[str],
-    paths: Sequence[str] | None = None,
-    multi_line: bool = False,
+    spark: SparkSession, path: str, dataset: Dataset, columns: Sequence[str], paths: Sequence[str] | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """All-text rows of the files that have this header, and the raw text of rows that do not fit it.
+    """All-text rows of the files that have this header, the raw text of rows that do not fit it, and `_file`.
 
-    `multi_line` reads files whose quoted fields hold line breaks, each by one task. `paths` picks files; the filter on the hidden path column prunes the file listing, so the others are not opened.
+    `multi_line` is for files whose quoted fields hold line breaks. `paths` picks files; the filter on the hidden path column prunes
+    the file listing, so the others are not opened.
     """
+    if multi_line:
+        rows = read_quoted(spark, path, dataset.encoding, columns, MALFORMED, paths)
+        return rows.withColumn("_file", relative_file(path, "_file"))
     reader = (
         spark.read.schema(feed_schema(columns, malformed=True))
         .option("header", True)
         .option("encoding", dataset.encoding)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", CSV_GLOB)
         # Every column is parsed: with pruning a short line would pass unnoticed.
@@ -72,7 +69,9 @@ def read_files(
         .option("columnPruning", False)
     )
     rows = reader.csv(path)
-    return rows if paths is None else rows.filter(F.col("_metadata.file_path").isin(list(paths)))
+    if paths is not None:
+        rows = rows.filter(F.col("_metadata.file_path").isin(list(paths)))
+    return rows.select("*", relative_file(path).alias("_file"))
 
 
 def relative_file(folder: str, path: str = "_metadata.file_path") -> Column:
@@ -223,8 +222,7 @@ def read_feed(spark: SparkSession, folder: str, dataset: Dataset, marks: DataFra
     for row in sorted(headers, key=lambda r: (r["header"], r["multi_line"])):
         columns = column_names(row["header"])
         chosen = None if every and len(headers) == 1 else row["paths"]
-        rows = read_files(spark, folder, dataset, columns, chosen, row["multi_line"])
-        parts.append(rows.select("*", relative_file(folder).alias("_file")))
+        parts.append(read_files(spark, folder, dataset, columns, chosen, row["multi_line"]))
     if not parts:
         return spark.createDataFrame([], feed_schema([*dataset.columns, MALFORMED, "_file"]))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
