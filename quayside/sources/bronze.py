@@ -6,6 +6,7 @@ import csv
 import hashlib
 import io
 import re
+import time
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from datetime import datetime
@@ -22,6 +23,7 @@ from quayside.config import LINEAGE_COLUMNS, Dataset
 from quayside.session import new_folder
 from quayside.sources import files
 from quayside.sources.quoted import CSV_GLOB, read_quoted
+from quayside.sources.snapshots import Snapshots
 
 MALFORMED = "_malformed"
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -260,53 +262,121 @@ def with_lineage(
     return df.withColumns(dict(zip(LINEAGE_COLUMNS, values)))
 
 
+#: Folder level below the day: the load that wrote the rows.
+LOAD = "_load"
+
+
 def write_bronze(df: DataFrame, root: str, ingested_date: Column | str | None = None) -> DataFrame:
     """Add rows below `root/ingested_date=D/`; returns what was added, as stored.
 
-    A file that is loaded again on a day replaces its rows of that day. Rows are parsed once, into a folder
-    of their own; a day without such a file is only appended to, so a load costs what it adds.
+    A file that is loaded again on a day replaces its rows of that day: their places (data file and row number) are written beside
+    the data, and readers leave them out. Rows and places become visible together, by one small manifest, so a reader
+    sees the old rows or the new ones, and a load writes as much as it adds. Rows are parsed once, into a folder of their own.
     """
     spark = df.sparkSession
     if "ingested_date" not in df.columns:
         day = F.current_date() if ingested_date is None else F.to_date(F.lit(ingested_date))
         df = df.withColumn("ingested_date", day)
-    stage = new_folder(spark, "landing")
+    stage, load = new_folder(spark, "landing"), f"load-{uuid.uuid4().hex}"
     df.write.parquet(stage)
     added = spark.read.schema(df.schema).parquet(stage)
     # Files and days of this load: few rows per file.
     loads = added.select("ingested_date", "_source_file").distinct().checkpoint()
-    if files.exists(spark, root):
-        present = read_bronze(spark, root)
-        again = present.select("ingested_date", "_source_file").join(loads, ["ingested_date", "_source_file"], "left_semi")
-        days = again.select("ingested_date").distinct().checkpoint()
-        if not days.isEmpty():
-            kept = present.join(days, "ingested_date", "left_semi").join(loads, ["ingested_date", "_source_file"], "left_anti")
-            whole = kept.unionByName(added.join(days, "ingested_date", "left_semi"), allowMissingColumns=True)
-            merged = new_folder(spark, "merged-days")
-            whole.write.parquet(merged)
-            _write(spark.read.schema(whole.schema).parquet(merged), root, "overwrite")
-            _write(added.join(days, "ingested_date", "left_anti"), root, "append")
-            return added
-    _write(added, root, "append")
+    added.withColumn(LOAD, F.lit(load)).write.mode("append").option("compression", "snappy").partitionBy("ingested_date", LOAD).parquet(root)
+    history = Snapshots(spark, root)
+
+    def change(number: int, state: dict) -> dict:
+        """The last state with this load, and without the rows it replaces there."""
+        present = _placed_rows(spark, root, state)
+        dirty = dict(state.get("dirty", {}))
+        if present is not None:
+            path = f"{root.rstrip('/')}/_deletes/{load}-{number}"
+            again = present.select("ingested_date", "_source_file", LOAD, "_place").join(loads, ["ingested_date", "_source_file"], "left_semi")
+            again.select(LOAD, "_place.*").write.mode("overwrite").parquet(path)
+            hit = [r[0] for r in spark.read.parquet(path).select(LOAD).distinct().collect()]  # loads, not rows
+            dirty |= {old: [*dirty.get(old, []), path] for old in hit}
+        return {"loads": [*state.get("loads", []), load], "dirty": dirty}
+
+    history.commit(change)
     return added
 
 
-def _write(df: DataFrame, root: str, mode: str) -> None:
-    (
-        df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy("ingested_date")
-        .parquet(root)
-    )
+def _placed_rows(spark: SparkSession, root: str, state: dict) -> DataFrame | None:
+    """Visible rows of a state with their load and place; None before the first load."""
+    if not state.get("loads"):
+        return None
+    dirty = state.get("dirty", {})
+    rows = spark.read.option("mergeSchema", True).parquet(root)
+    # The part of the path that names the file within the table.
+    file = F.substring_index(F.col("_metadata.file_path"), "/ingested_date=", -1)
+    rows = rows.select("*", F.struct(file.alias("file"), F.col("_metadata.row_index").alias("row")).alias("_place"))
+    # Both filters prune folders.
+    clean = rows.filter(F.col(LOAD).isin([x for x in state["loads"] if x not in dirty]))
+    if not dirty:
+        return clean
+    gone = spark.read.parquet(*sorted({p for paths in dirty.values() for p in paths})).select(F.struct("file", "row").alias("_place"))
+    return clean.unionByName(rows.filter(F.col(LOAD).isin(sorted(dirty))).join(gone, "_place", "left_anti"))
+
+
+def read_bronze(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """All rows of the last state, or of a numbered one; `ingested_date` is a date column, filters on it prune folders.
+
+    Loads may differ in columns, so the schemas of the files are merged. A folder without states is read as it is.
+    """
+    rows = _placed_rows(spark, root, Snapshots(spark, root).read(number)[1])
+    return rows.drop(LOAD, "_place") if rows is not None else spark.read.option("mergeSchema", True).parquet(root)
+
+
+def compact_bronze(spark: SparkSession, root: str) -> int:
+    """Write the rows that are left of loads with replaced rows into one new load; returns how many loads that were.
+
+    A load that comes in between makes the compaction start anew.
+    """
+    history, done = Snapshots(spark, root), 0
+
+    def change(_: int, state: dict) -> dict:
+        nonlocal done
+        old = sorted(state.get("dirty", {}))
+        done = len(old)
+        if not old:
+            return state
+        load = f"load-{uuid.uuid4().hex}"
+        left = _placed_rows(spark, root, state).filter(F.col(LOAD).isin(old)).drop("_place").withColumn(LOAD, F.lit(load))
+        left.write.mode("append").option("compression", "snappy").partitionBy("ingested_date", LOAD).parquet(root)
+        return {"loads": [x for x in state["loads"] if x not in old] + [load], "dirty": {}}
+
+    history.commit(change)
+    return done
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """All loads, `ingested_date` as a date column; filters on it prune folders.
+def vacuum_bronze(spark: SparkSession, root: str, keep: int = 10, unused_after: float = 86_400) -> list[str]:
+    """Forget all but the last `keep` states and delete loads that none of them has; returns those loads.
 
-    Loads may differ in columns, so the schemas of the files are merged.
+    A load that is in no state yet may still be being written: it goes after `unused_after` seconds.
     """
-    return spark.read.option("mergeSchema", True).parquet(root)
+    history = Snapshots(spark, root)
+    old = {x for state in history.forget(keep) for x in state.get("loads", [])}
+    states = [history.read(n)[1] for n in history.numbers()]
+    used = {x for state in states for x in state.get("loads", [])}
+    deletes = {p.rsplit("/", 1)[1] for state in states for paths in state.get("dirty", {}).values() for p in paths}
+    root, gone = root.rstrip("/"), set()
+
+    def stale(path: str, known: bool) -> bool:
+        return known or time.time() - files.modified(spark, path) > unused_after
+
+    for day in files.names(spark, root):
+        if not day.startswith("ingested_date="):
+            continue
+        for folder in files.names(spark, f"{root}/{day}"):
+            load, path = folder.removeprefix(f"{LOAD}="), f"{root}/{day}/{folder}"
+            if folder.startswith(f"{LOAD}=") and load not in used and stale(path, load in old):
+                files.delete(spark, path)
+                gone.add(load)
+    for name in files.names(spark, f"{root}/_deletes"):
+        path = f"{root}/_deletes/{name}"
+        if name not in deletes and stale(path, any(name.startswith(x) for x in old)):
+            files.delete(spark, path)
+    return sorted(gone)
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:

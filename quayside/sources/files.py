@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,3 +43,47 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
     context.rename(system.makeQualified(beside), system.makeQualified(target), options)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new file; its folder is made if need be."""
+    target, system = _path(spark, path)
+    system.mkdirs(target.getParent())
+    stream = system.create(target, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename to a path that must not exist; False if it does."""
+    old, system = _path(spark, source)
+    new, _ = _path(spark, target)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(system.makeQualified(old), system.makeQualified(new), options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no folder."""
+    hadoop, system = _path(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(hadoop)) if system.exists(hadoop) else []
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When the file or folder was last changed, in seconds."""
+    hadoop, system = _path(spark, path)
+    return system.getFileStatus(hadoop).getModificationTime() / 1000
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all in it."""
+    hadoop, system = _path(spark, path)
+    system.delete(hadoop, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -12,50 +13,75 @@ from quayside.config import LAYER_TABLES
 from quayside.plans.models import MODELS
 from quayside.sources import files
 from quayside.sources.bronze import read_bronze
+from quayside.sources.snapshots import Conflict, Snapshots
 
 LAYER_OF = {name: layer for layer, names in LAYER_TABLES.items() for name in names}
 
 
 class Lake:
-    """Tables below one root folder, found through pointer files; any process that knows the root finds the same tables.
+    """Tables below one root folder, found through numbered snapshots; any process that knows the root finds the same tables.
 
-    A build writes a new folder and becomes the table when its pointer is replaced, which `publish` does for all
-    tables built since. Until then only this object sees them, so a failed build or test leaves the last good tables.
-    Reading never builds.
+    A build writes a new folder. `publish` makes all tables built since one new snapshot, so readers see all of them
+    or none. Until then only this object sees them, so a failed build or test leaves the last good tables. Reading never builds.
+    A lake opened `as_of` a snapshot reads that state and cannot publish.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, as_of: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.snapshots = Snapshots(spark, self.root)
+        self.as_of = as_of
         self._built: dict[str, str] = {}
-
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/_tables/{name}"
+        #: The tables when the first unpublished build was begun.
+        self._base: dict[str, str] = {}
 
     def folder(self, name: str) -> str | None:
-        """Where the table's files are: its unpublished build, else what its pointer names."""
-        return self._built.get(name) or files.read_text(self.spark, self._pointer(name))
+        """Where the table's files are: its unpublished build, else what the snapshot names."""
+        return self._built.get(name) or self.snapshots.read(self.as_of)[1].get("tables", {}).get(name)
 
     def present(self, name: str) -> bool:
         return self.folder(name) is not None
 
+    def pinned(self) -> Lake:
+        """The lake as it is now, whatever is published later; with this object's builds."""
+        lake = Lake(self.spark, self.root, self.snapshots.read(self.as_of)[0])
+        lake._built = dict(self._built)
+        return lake
+
     def attach_bronze(self, name: str, path: str) -> DataFrame:
         """Make a partitioned bronze folder readable by name."""
-        files.replace_text(self.spark, self._pointer(name), path)
+        if self.folder(name) != path:
+            self.snapshots.commit(lambda _, state: state | {"tables": {**state.get("tables", {}), name: path}})
         return self.table(name)
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         """Write a build of the table; `publish` makes it the table."""
+        if self.as_of is not None:
+            raise ValueError("a lake opened as of a snapshot is read only")
+        if not self._built:
+            self._base = self.snapshots.read()[1].get("tables", {})
         path = f"{self.root}/{LAYER_OF.get(name, 'other')}/{name}/{uuid.uuid4().hex}"
         df.write.parquet(path)
         self._built[name] = path
         return self.table(name)
 
     def publish(self) -> list[str]:
-        """Names of the builds that are the tables from now on."""
+        """Names of the builds that are the tables from now on, all by one snapshot.
+
+        If another writer has published one of them since these were begun, nothing is published and Conflict is raised.
+        """
         names = list(self._built)
-        for name in names:
-            files.replace_text(self.spark, self._pointer(name), self._built[name])
+        if not names:
+            return names
+
+        def change(_: int, state: dict) -> dict:
+            tables = state.get("tables", {})
+            taken = [n for n in names if tables.get(n) != self._base.get(n)]
+            if taken:
+                raise Conflict(f"published by another writer since: {', '.join(sorted(taken))}")
+            return state | {"tables": {**tables, **self._built}}
+
+        self.snapshots.commit(change)
         self._built.clear()
         return names
 
@@ -63,6 +89,25 @@ class Lake:
         """Forget the builds that were not published."""
         self._built.clear()
 
+    def expire(self, keep: int = 10, unpublished_after: float = 7 * 86_400) -> list[str]:
+        """Forget all but the last `keep` snapshots; delete builds that no kept snapshot names, and returns their folders.
+
+        A build that was never published goes once it is older than `unpublished_after` seconds; bronze folders stay.
+        """
+        old = {path for state in self.snapshots.forget(keep) for path in state.get("tables", {}).values()}
+        used = {path for n in self.snapshots.numbers() for path in self.snapshots.read(n)[1].get("tables", {}).values()}
+        used |= set(self._built.values())
+        gone = []
+        for name in MODELS:
+            folder = f"{self.root}/{LAYER_OF.get(name, 'other')}/{name}"
+            for build in files.names(self.spark, folder):
+                path = f"{folder}/{build}"
+                stale = path in old or time.time() - files.modified(self.spark, path) > unpublished_after
+                if path not in used and stale:
+                    files.delete(self.spark, path)
+                    gone.append(path)
+        return gone
+
     def table(self, name: str) -> DataFrame:
         path = self.folder(name)
         if path is None:
@@ -85,7 +130,8 @@ def save_managed(df: DataFrame, name: str, path: str | None = None) -> DataFrame
 
 
 def register_views(lake: Lake, layers: Sequence[str]) -> list[str]:
-    names = [n for layer in layers for n in LAYER_TABLES[layer]]
+    """Views of one snapshot's tables."""
+    names, lake = [n for layer in layers for n in LAYER_TABLES[layer]], lake.pinned()
     for name in names:
         lake.table(name).createOrReplaceTempView(name)
     return names
