@@ -15,7 +15,7 @@ from quayside.functions import round_to, stable
 from quayside.operators import quality
 from quayside.operators.upsert import upsert
 from quayside.plans.refresh import gate, meta_root, refresh, run_bronze
-from quayside.sources import bronze, lake, runlog
+from quayside.sources import bronze, files, lake, runlog
 from quayside.streaming.incremental import load_new_files
 from quayside.fixtures import order_feed
 
@@ -393,6 +393,51 @@ def _s17(w):
     )
 
 
+def _feed_files(w, folder, rows):
+    """One feed file per event type, written by Spark and given its name; one that was there is replaced."""
+    parts = w.scratch("feed-parts")
+    # Some errors lack two fields: lines are written as they are.
+    broken = (F.col("event_type") == "error") & (F.col("event_id") % 10 == 3)
+    line = F.when(broken, F.col("event_id").cast("string")).otherwise(F.concat_ws(",", "event_id", "user_id", "event_type"))
+    lines = rows.select(line.alias("event_id,user_id,event_type"), F.col("event_type").alias("kind")).repartition(8, "kind")
+    lines.write.option("header", True).option("sep", "\u0001").partitionBy("kind").csv(parts)
+    for kind in files.names(w.spark, parts):
+        if "=" in kind:
+            (written,) = [n for n in files.names(w.spark, f"{parts}/{kind}") if n.startswith("part-")]
+            target = f"{folder}/{kind.split('=')[1]}.csv"
+            files.make_folder(w.spark, folder)
+            files.delete(w.spark, target)
+            files.rename_new(w.spark, f"{parts}/{kind}/{written}", target)
+
+
+@key(
+    "s17_stream_versions",
+    """SELECT event_type || '.csv' AS source_file, count(*) AS row_count, sum(event_id)::BIGINT AS ids,
+  sum(CASE WHEN event_type = 'click' THEN 2 * user_id ELSE user_id END)::BIGINT AS users,
+  CASE WHEN event_type = 'click' THEN 2 ELSE 1 END::BIGINT AS loads, 0::BIGINT AS rejected FROM events WHERE event_type <> 'error' GROUP BY event_type
+UNION ALL SELECT 'error.csv', count(*), sum(event_id)::BIGINT, sum(user_id)::BIGINT, 1::BIGINT,
+  (SELECT count(*) FROM events WHERE event_type = 'error' AND event_id % 10 = 3) FROM events WHERE event_type = 'error' AND event_id % 10 <> 3""",
+)
+def _s17_versions(w):
+    """A file per event type; the one of errors has malformed lines, the one of clicks comes again with other values."""
+    folder, root, checkpoint = w.scratch("versions"), w.scratch("versions-bronze"), w.scratch("versions-checkpoint")
+    dataset = Dataset("events", "events", "UTF-8", (), "")
+    events = w.source("events").select("event_id", "user_id", "event_type")
+    _feed_files(w, folder, events)
+    load_new_files(w.spark, folder, dataset, root, checkpoint, "run-1", "2024-01-01")
+    clicks = events.filter("event_type = 'click'").withColumn("user_id", 2 * F.col("user_id"))
+    _feed_files(w, folder, clicks)
+    load_new_files(w.spark, folder, dataset, root, checkpoint, "run-2", "2024-01-01")
+    meta = f"{checkpoint}-meta"
+    rows = bronze.read_bronze(w.spark, root).groupBy(F.col("_source_file").alias("source_file")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.col("event_id").cast("bigint")).alias("ids"), F.sum(F.col("user_id").cast("bigint")).alias("users")
+    )
+    logs = runlog.history(w.spark, meta, "ingestion_logs").filter("status = 'SUCCESS'").groupBy("source_file").agg(F.count(F.lit(1)).alias("loads"))
+    rejected = runlog.history(w.spark, meta, "rejected_rows").groupBy("source_file").agg(F.count(F.lit(1)).alias("rejected"))
+    joined = rows.join(logs, "source_file").join(rejected, "source_file", "left")
+    return joined.withColumn("rejected", F.coalesce("rejected", F.lit(0)))
+
+
 # --- C ---------------------------------------------------------------------------------------
 
 

@@ -85,17 +85,18 @@ def relative_file(folder: str, path: str = "_metadata.file_path") -> Column:
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """file and length of every file; contents are not read."""
+    """path, file, length and time of change of every file (the last and first NULL for an empty one); contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    sizes = found.select(relative_file(folder).alias("file"), "length")
+    seen = F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modified")
+    sizes = found.select(*seen, relative_file(folder).alias("file"))
     # A scan leaves empty files out; the listing behind it, which the driver holds anyway, has them.
-    names = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string")
-    listed = names.select(relative_file(folder, "path").alias("file"))
-    return listed.join(sizes, "file", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
+    names = spark.createDataFrame([(p,) for p in found.inputFiles()], "name string")
+    listed = names.select(relative_file(folder, "name").alias("file")).join(sizes, "file", "left")
+    return listed.select("path", "file", F.coalesce("length", F.lit(0)).alias("length"), "modified")
 
 
 def validate_files(spark: SparkSession, folder: str, expected: Sequence[str] = ()) -> DataFrame:
-    """One row per file, and per expected file that is missing: file, length, valid, reason."""
+    """One row per file, and per expected file that is missing: path, file, length, modified, valid, reason."""
     found = list_files(spark, folder)
     if expected:
         names = spark.createDataFrame([(n,) for n in expected], "file string")
@@ -105,7 +106,7 @@ def validate_files(spark: SparkSession, folder: str, expected: Sequence[str] = (
         .when(~F.lower("file").endswith(".csv"), "not a .csv file")
         .when(F.col("length") == 0, "empty")
     )
-    return found.select("file", "length", reason.isNull().alias("valid"), reason.alias("reason"))
+    return found.select("path", "file", "length", "modified", reason.isNull().alias("valid"), reason.alias("reason"))
 
 
 def _fold_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +203,10 @@ def file_marks(spark: SparkSession, folder: str, encoding: str = "UTF-8", paths:
     return hashed.select("path", "length", relative_file(folder, "path").alias("file"), "file_hash", header.alias("header"), (F.col("odd") > 0).alias("multi_line"))
 
 
+def no_marks(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "path string, length bigint, file string, file_hash string, header string, multi_line boolean")
+
+
 def changed_files(fingerprints: DataFrame, state: DataFrame) -> DataFrame:
     """Files whose (dataset, file, hash) is not in the stored state."""
     return fingerprints.join(
@@ -233,18 +238,27 @@ def read_feed(spark: SparkSession, folder: str, dataset: Dataset, marks: DataFra
 
 
 def read_csv(spark: SparkSession, folder: str, dataset: Dataset) -> DataFrame:
-    """Rows of all feed files of a folder that fit their header."""
+    """Rows of all feed files of a folder that fit their header; `read_rejected` gives the others."""
     rows = read_feed(spark, folder, dataset)
     return rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED, "_file")
 
 
+def read_rejected(spark: SparkSession, folder: str, dataset: Dataset) -> DataFrame:
+    """file and raw text of the rows that do not fit their file's header."""
+    rows = read_feed(spark, folder, dataset)
+    return rows.filter(F.col(MALFORMED).isNotNull() & _parsed(rows)).select(F.col("_file").alias("file"), F.col(MALFORMED).alias("line"))
+
+
+def _parsed(rows: DataFrame) -> Column:
+    """Always true, but keeps a parsed column in the scan: the reader refuses the raw text alone."""
+    return F.length(F.coalesce(F.col(f"`{rows.columns[0]}`"), F.lit(""))) >= 0
+
+
 def malformed_counts(spark: SparkSession, folder: str, dataset: Dataset) -> DataFrame:
     """Rows and malformed rows per file."""
     rows = read_feed(spark, folder, dataset)
-    # Always true, but keeps a parsed column in the scan: the reader refuses the raw text alone.
-    parsed = F.length(F.coalesce(F.col(f"`{rows.columns[0]}`"), F.lit(""))) >= 0
     return rows.groupBy(F.col("_file").alias("file")).agg(
-        F.count_if(parsed).alias("row_count"), F.count(MALFORMED).alias("malformed_count")
+        F.count_if(_parsed(rows)).alias("row_count"), F.count(MALFORMED).alias("malformed_count")
     )
 
 

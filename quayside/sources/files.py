@@ -87,3 +87,8 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete a file, or a folder with all in it."""
     hadoop, system = _path(spark, path)
     system.delete(hadoop, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop, system = _path(spark, path)
+    system.mkdirs(hadoop)

@@ -131,9 +131,12 @@ def save_managed(df: DataFrame, name: str, path: str | None = None) -> DataFrame
 
 def register_views(lake: Lake, layers: Sequence[str]) -> list[str]:
     """Views of one snapshot's tables."""
-    names, lake = [n for layer in layers for n in LAYER_TABLES[layer]], lake.pinned()
+    names = [n for layer in layers for n in LAYER_TABLES[layer]]
     for name in names:
-        lake.table(name).createOrReplaceTempView(name)
+        lake.table(name)  # a lake that builds what is missing does so here
+    pinned = lake.pinned()
+    for name in names:
+        pinned.table(name).createOrReplaceTempView(name)
     return names
 
 

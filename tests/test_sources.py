@@ -251,6 +251,63 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(streamed.select(*columns).collect()) == sorted(batch.select(*columns).collect())
 
 
+def test_stream_lands_changed_files_and_sets_malformed_rows_aside(spark, tmp_path):
+    folder, root, checkpoint = str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "cp")
+    dataset = Dataset("x", "x", "UTF-8", ("a", "b"), "")
+    os.makedirs(folder)
+
+    def load(run):
+        load_new_files(spark, folder, dataset, root, checkpoint, run, "2024-05-01", files_per_batch=2)
+        log = runlog.history(spark, f"{checkpoint}-meta", "ingestion_logs").filter(F.col("run_id") == run).collect()
+        rows = sorted((r["_source_file"], r["a"], r["b"]) for r in bronze.read_bronze(spark, root).collect())
+        return {x["source_file"]: (x["status"], x["rows_ingested"], x["rows_rejected"]) for x in log}, rows
+
+    for name in "stu":
+        (tmp_path / "in" / f"{name}.csv").write_text("a,b\n1,2\n3\n4,5,6\n")
+    log, rows = load("run-1")
+    assert log == {f"{n}.csv": ("SUCCESS", 1, 2) for n in "stu"} and rows == [(f"{n}.csv", "1", "2") for n in "stu"]
+    rejected = runlog.history(spark, f"{checkpoint}-meta", "rejected_rows")
+    assert sorted(r["line"] for r in rejected.filter("source_file = 's.csv'").collect()) == ["3", "4,5,6"]
+    assert load("run-2")[0] == {}
+    (tmp_path / "in" / "s.csv").write_text("a,b\n7,8\n9,9\n")
+    os.utime(tmp_path / "in" / "t.csv", (1, 1))  # touched, not changed
+    log, rows = load("run-3")
+    assert log == {"s.csv": ("SUCCESS", 2, 0), "t.csv": ("SKIPPED", None, None)}
+    assert rows == [("s.csv", "7", "8"), ("s.csv", "9", "9"), ("t.csv", "1", "2"), ("u.csv", "1", "2")]
+    # The batch load of the same folder has the same rows.
+    assert sorted((r["a"], r["b"]) for r in bronze.read_csv(spark, folder, dataset).collect()) == sorted(x[1:] for x in rows)
+    assert {(r["file"], r["line"]) for r in bronze.read_rejected(spark, folder, dataset).collect()} == {
+        (f"{n}.csv", x) for n in "tu" for x in ("3", "4,5,6")
+    }
+
+
+def test_unchanged_files_are_not_opened(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, new_folder(spark, "listed"))
+    path = tmp_path / "a.csv"
+    path.write_text("event_id,ts\n1,t\n2,t\n")
+    (tmp_path / "b.csv").write_text("event_id,ts\n9,t\n")
+    opened = []
+    real = bronze.file_marks
+    monkeypatch.setattr(bronze, "file_marks", lambda s, f, e, paths: opened.append(sorted(p.rsplit("/", 1)[1] for p in paths)) or real(s, f, e, paths))
+
+    def load(**how):
+        opened.clear()
+        run = r.run_bronze(lake, {"clickstream": str(tmp_path)}, "2024-05-01", **how)
+        log = runlog.history(spark, meta_root(lake), "ingestion_logs").filter(F.col("run_id") == run).collect()
+        return {x["source_file"]: x["status"] for x in log}
+
+    assert load() == {"a.csv": "SUCCESS", "b.csv": "SUCCESS"} and opened == [["a.csv", "b.csv"]]
+    assert load() == {"a.csv": "SKIPPED", "b.csv": "SKIPPED"} and opened == []
+    os.utime(path, (5, 5))
+    assert load() == {"a.csv": "SKIPPED", "b.csv": "SKIPPED"} and opened == [["a.csv"]]
+    assert load() == {"a.csv": "SKIPPED", "b.csv": "SKIPPED"} and opened == []
+    path.write_text("event_id,ts\n1,t\n3,t\n")
+    os.utime(path, (5, 5))  # same length, same time: only an audit sees it
+    assert load() == {"a.csv": "SKIPPED", "b.csv": "SKIPPED"} and opened == []
+    assert load(audit=True) == {"a.csv": "SUCCESS", "b.csv": "SKIPPED"} and opened == [["a.csv", "b.csv"]]
+    assert sorted(x["event_id"] for x in lake.table("bronze_clickstream").collect()) == ["1", "3", "9"]
+
+
 def test_gate_stops_the_refresh(spark, tmp_path):
     from quayside.operators.quality import QualityError
 
