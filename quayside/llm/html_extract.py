@@ -2,14 +2,16 @@
 
 Markup is stripped to lines, one per block element. A line's weight is the length of its text outside links; lines inside
 elements that never hold an article (menus, forms, footers, adverts, comments and so on) weigh nothing. An element is one of
-these by its tag, or where a whole name of its class, id or role says so; names say nothing about headings and paragraphs,
-nor about an element that holds all articles of the page or most of its text outside links. Sums over sliding
+these by its tag, or where a whole name of its class, id or role says so, or if its attributes hide it; neither counts for
+an element that holds all articles of the page or most of its text outside links, and names say nothing about headings. Sums over sliding
 windows of lines surge where text begins and dive to nothing where it ends; the text between a surge and its dive is a
 region. Regions inside an article or main element are the page's text, if they hold more than a small share of its text
 outside links; else every region is that is not mostly links.
 
+A page is scanned once from left to right, in time proportional to its length however odd its markup is.
+
 Defined results: a null, empty or textless page has empty text and n_chars 0. Unclosed elements end with what encloses
-them; an unclosed comment or script ends with the page. Every row of the table is one row of the result, repeated rows
+them; an unclosed comment or script ends with the page; a `<` whose tag never ends is text. Every row of the table is one row of the result, repeated rows
 too. Other columns are not looked at.
 """
 
@@ -17,8 +19,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,49 +72,139 @@ APART_NAMES = frozenset(
 #: Words that only say where such an element stands or what shape it has, so that `ad-slot` or `site-footer` mark the same.
 PLACE_NAMES = frozenset(
     (
-        "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "global", "inner", "item", "left", "link", "links",
-        "list", "main", "outer", "page", "panel", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "top", "unit",
-        "wrap", "wrapper",
+        "area", "article", "articles", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "global", "inner", "item",
+        "left", "link", "links", "list", "main", "more", "news", "outer", "page", "panel", "post", "posts", "primary", "reader", "readers",
+        "right", "secondary", "section", "site", "slot", "stories", "story", "thread", "top", "unit", "user", "users", "visitor", "wrap", "wrapper",
     )
 )
-#: Elements that names say nothing about.
-NOT_BY_NAME = frozenset(("html", "body", "main", "a", "b", "i", "em", "strong", "p", "h1", "h2", "h3", "h4", "h5", "h6"))
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|xmp|noembed)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_WORD = re.compile(r"[a-z]+|[^a-z_-]")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
-
-
-def _is_apart(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether the element holds no article text by its tag, or is not shown."""
-    if tag in APART:
-        return not (tag == "header" and in_article)  # an article's own header holds its title
-    return bool(attributes) and tag not in ("html", "body", "main", "a", "b", "i", "em", "strong", "h1") and bool(_HIDDEN.search(attributes))
-
-
-def _is_named_apart(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether a whole name of the element is one of `APART_NAMES`, or made of them and of `PLACE_NAMES` alone."""
-    if not attributes or tag in NOT_BY_NAME:
+#: Elements that names say nothing about, and names that count for a paragraph.
+NOT_BY_NAME = frozenset(("html", "body", "main", "a", "b", "i", "em", "strong", "h1", "h2", "h3", "h4", "h5", "h6"))
+PARAGRAPH_NAMES = frozenset(("ad", "ads", "adv", "advert", "advertisement", "advertisements", "adverts", "promo", "promoted", "sponsor", "sponsored"))
+#: Elements that are never hidden.
+SHOWN = frozenset(("html", "body", "main"))
+
+#: Elements whose content is no markup; only `xmp` and such would be shown, and hold no article.
+RAW = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in ("script", "style", "textarea", "title", "xmp", "noembed")}
+_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+_SPECIAL = re.compile("['\">]")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+_WORD = re.compile(r"[a-z]+(?![a-z0-9])|\d+x\d+|\d+|[^_-]+")
+_SIZE = re.compile(r"\d+(?:x\d+)?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
+
+
+class _Scanner:
+    """Tags of a page from left to right, each character looked at a bounded number of times."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self._gt = 0  # the first > at or after some place looked at, -1 if there is none from there on
+        self._run = (0, -1)  # the last stretch without quote or >, from its start to the character that ends it
+        self._dead: set[int] = set()  # quotes and ends that no tag can be ended from
+
+    def _next_gt(self, at: int) -> int:
+        if 0 <= self._gt < at:
+            self._gt = self.page.find(">", at)
+        return self._gt
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the > that ends the tag whose name ends at `at`, outside quoted values; -1 if there is none."""
+        if self._next_gt(at) < 0:
+            return -1
+        passed: list[int] = []
+        low, place = self._run
+        if not low <= at <= place:
+            found = _SPECIAL.search(self.page, at)
+            place = found.start() if found else -1
+            self._run = (at, place)
+        while place >= 0 and place not in self._dead:
+            passed.append(place)
+            quote = self.page[place]
+            if quote == ">":
+                return place
+            closing = self.page.find(quote, place + 1)
+            found = _SPECIAL.search(self.page, closing + 1) if closing >= 0 else None
+            place = found.start() if found else -1
+        self._dead.update(passed)
+        return -1
+
+    def tokens(self) -> Iterator[tuple[int, int, bool, str | None, str]]:
+        """start, end, whether it closes, name (None for what is not shown) and attributes of each tag."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            after = page[at : at + 1]
+            if after in ("!", "?"):
+                if page.startswith("<!--", start):
+                    end = page.find("-->", start + 4)
+                    at = end + 3 if end >= 0 else len(page)
+                    yield start, at, False, None, ""
+                elif (end := self._next_gt(at)) >= 0:
+                    at = end + 1
+                    yield start, at, False, None, ""
+                continue
+            closes = after == "/"
+            name = _NAME.match(page, at + closes)
+            if name is None:
+                continue
+            tag = name[0].lower()
+            end = self._next_gt(name.end()) if tag in RAW and not closes else self._tag_end(name.end())
+            if end < 0:
+                continue
+            at = end + 1
+            if tag in RAW and not closes:
+                found = RAW[tag].search(page, at)
+                at = found.end() if found else len(page)
+                yield start, at, False, None, ""
+            else:
+                yield start, at, closes, tag, page[name.end() : end]
+
+
+def _is_apart(tag: str, in_article: bool) -> bool:
+    """Whether the element holds no article text by its tag."""
+    return tag in APART and not (tag == "header" and in_article)  # an article's own header holds its title
+
+
+def _is_marked_apart(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether the element is hidden, or a whole name of it is one of `APART_NAMES`, or made of them and of `PLACE_NAMES` alone."""
+    if not attributes or attributes.isspace():
+        return False
+    # Sites repeat their markup: short attributes are judged once.
+    return (_judged if len(attributes) <= 200 else _judged.__wrapped__)(tag, attributes, in_article)
+
+
+@lru_cache(maxsize=1 << 14)
+def _judged(tag: str, attributes: str, in_article: bool) -> bool:
+    names: list[str] = []
+    for found in _ATTRIBUTE.finditer(attributes):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if tag not in SHOWN:
+            if name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true":
+                return True
+            if name == "style" and _NO_DISPLAY.search(value):
+                return True
+        if name in ("class", "id", "role"):
+            names += value.split()
+    if not names or tag in NOT_BY_NAME:
         return False
-    own = APART_NAMES - {"header", "masthead"} if in_article else APART_NAMES
-    for name in " ".join("".join(m) for m in _NAMES.findall(attributes)).lower().split():
-        words = _WORD.findall(name)
-        if any(word in own for word in words) and all(word in own or word in PLACE_NAMES or word.isdigit() for word in words):
+    own = PARAGRAPH_NAMES if tag == "p" else APART_NAMES - {"header", "masthead"} if in_article else APART_NAMES
+    for name in names:
+        words = _WORD.findall(_CAMEL.sub("-", name).lower())
+        if any(word in own for word in words) and all(word in own or word in PLACE_NAMES or _SIZE.fullmatch(word) for word in words):
             return True
     return False
 
 
 @dataclass
 class _Named:
-    """What an element that its names mark holds: text outside links, and articles."""
+    """What a marked element holds: text outside links, and articles."""
 
     text: int = 0
     articles: int = 0
+    #: While it is open: what the page held when it began.
+    text_before: int = 0
+    articles_before: int = 0
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
@@ -120,15 +214,14 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     spared = frozenset(
         at for at, own in named.items() if own.text > MOST_SHARE * whole.text or own.articles and own.articles == whole.articles
     )
-    # The first pass judges no element by its names.
+    # The first pass leaves no marked element out.
     return _lines(page, None, spared)[0] if len(spared) < len(named) else lines
 
 
 def _lines(page: str, named: dict[int, _Named] | None, spared: frozenset[int]) -> tuple[list[tuple[str, int, bool]], _Named]:
     """Lines of the page, and what it holds in all.
 
-    With `named`, elements that their names mark are entered there by their place; else they are left out, but for those
-    in `spared`.
+    With `named`, marked elements are entered there by their place; else they are left out, but for those in `spared`.
     """
     lines: list[tuple[str, int, bool]] = []
     whole = _Named()
@@ -136,6 +229,7 @@ def _lines(page: str, named: dict[int, _Named] | None, spared: frozenset[int]) -
     pieces: list[str] = []
     linked = apart = article = 0
     stack: list[tuple[str, bool, bool]] = []  # tag, holds no article text, is an article
+    open_: Counter[str] = Counter()
 
     def flush() -> None:
         nonlocal linked
@@ -148,9 +242,11 @@ def _lines(page: str, named: dict[int, _Named] | None, spared: frozenset[int]) -
     def leave(depth: int) -> None:
         nonlocal apart, article
         while inside and inside[-1][0] >= depth:
-            inside.pop()
+            own = inside.pop()[1]
+            own.text, own.articles = whole.text - own.text_before, whole.articles - own.articles_before
         while len(stack) > depth:
-            _, no_text, is_article = stack.pop()
+            tag, no_text, is_article = stack.pop()
+            open_[tag] -= 1
             apart -= no_text
             article -= is_article
 
@@ -166,49 +262,47 @@ def _lines(page: str, named: dict[int, _Named] | None, spared: frozenset[int]) -
         text = html.unescape(raw)
         pieces.append(text)
         size = len(" ".join(text.split()))
-        if any(tag == "a" for tag, _, _ in stack):
+        if open_["a"]:
             linked += size
         else:
-            for own in (whole, *(own for _, own in inside)):
-                own.text += size
+            whole.text += size
 
     at = 0
-    for token in _TOKEN.finditer(page):
-        say(page[at : token.start()])
-        at = token.end()
-        if token[3] is None:  # a comment, a declaration, or text that is not shown
+    for start, end, closes, tag, attributes in _Scanner(page).tokens():
+        say(page[at:start])
+        at = end
+        if tag is None:  # a comment, a declaration, or text that is not shown
             continue
-        tag, attributes = token[3].lower(), token[4]
         if tag in BLOCKS:
             flush()
         elif tag in ("br", "td", "th"):
             pieces.append(" ") if not apart else None
-        if token[2]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None:
-                leave(depth)
+        if closes:
+            if open_[tag]:
+                leave(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
             continue
         while stack and stack[-1][0] in OPEN_ENDED and (tag == stack[-1][0] or stack[-1][0] == "p" and tag in BLOCKS):
             leave(len(stack) - 1)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
-        if tag == "body":
-            leave(next((k for k, (name, _, _) in enumerate(stack) if name == "head"), len(stack)))
-        no_text = _is_apart(tag, attributes, article > 0)
-        if not no_text and _is_named_apart(tag, attributes, article > 0):
+        if tag == "body" and open_["head"]:
+            leave(next(k for k, (name, _, _) in enumerate(stack) if name == "head"))
+        no_text = _is_apart(tag, article > 0)
+        if not no_text and _is_marked_apart(tag, attributes, article > 0):
             if named is None:
-                no_text = token.start() not in spared
+                no_text = start not in spared
             elif not apart:
-                inside.append((len(stack), named.setdefault(token.start(), _Named())))
+                named[start] = _Named(text_before=whole.text, articles_before=whole.articles)
+                inside.append((len(stack), named[start]))
         is_article = tag in ("article", "main") and not apart and not no_text
-        if is_article:
-            for own in (whole, *(own for _, own in inside)):
-                own.articles += 1
+        whole.articles += is_article
+        open_[tag] += 1
         stack.append((tag, no_text, is_article))
         apart += no_text
         article += is_article
     say(page[at:])
     flush()
+    leave(0)
     return lines, whole
 
 

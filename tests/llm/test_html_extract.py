@@ -1,6 +1,10 @@
+import random
+import time
+
+import numpy as np
 import pytest
 
-from quayside.llm.html_extract import extract, main_text
+from quayside.llm.html_extract import WINDOW, extract, main_text, regions
 
 ARTICLE = "<h1>A  title</h1><p>First&nbsp;text &amp; more &lt;p&gt;.<p><b>Second</b> <a href=x>linked</a>\ntext.</p><ul><li>one<li>two</ul>"
 WANT = "A title\nFirst text & more <p>.\nSecond linked text.\none\ntwo"
@@ -80,3 +84,73 @@ def test_short_regions_between_links_stay():
 def test_a_teaser_does_not_stand_for_the_page():
     page = f"<body><div>{f'<p>{LONG}</p>' * 6}</div><article><p>Read on</p></article></body>"
     assert main_text(page).split("\n") == [LONG] * 6 + ["Read on"]
+
+
+BAD = {
+    "a": "<a ", "script": "<script ", "declaration": "<!", "div": "<div>", "less": "text 5 <b and ", "quote": "<a \"", "quotes": "<a '\"<b \"",
+    "value": "<a x='", "named": "<div class=ad>x", "close": "<p></x>", "body": "<body>", "names": "<p " + "a = " * 10 + ">",
+}
+
+
+@pytest.mark.parametrize("kind", BAD)
+def test_a_megabyte_of_odd_markup_ends_soon(kind):
+    page = BAD[kind] * (1_000_000 // len(BAD[kind]))
+    started = time.process_time()
+    main_text(page)
+    main_text(page + "\"'>")
+    assert time.process_time() - started < 20
+
+
+def test_a_tag_that_never_ends_is_text():
+    assert main_text("<p>if a <b and c it goes on to the end of the line") == "if a <b and c it goes on to the end of the line"
+    assert main_text('<p title="a > b">text of the paragraph</p>') == "text of the paragraph"
+    assert main_text("<p title='it\"s'>one</p><p data-x=\"'\">two</p>") == "one\ntwo"
+
+
+LONG = "Some article text here that is long enough to be kept."
+
+
+@pytest.mark.parametrize(
+    "attributes", ['data-title="The hidden cost of trade"', 'class="flex hidden md:flex"', 'data-style="display:none"', 'hidden="until-found"', 'hidden']
+)
+def test_only_attributes_hide_and_never_the_whole_page(attributes):
+    assert main_text(f"<article {attributes}><p>{LONG}</p></article>") == LONG
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<section class="user-comments"><p>Nice one</p></section>', '<div class="related-articles"><p>Other stories</p></div>',
+        '<div id="cookieConsent"><p>We use cookies</p></div>', '<div class="ad-300x250">Buy now</div>', '<p class="ad">Buy this</p>',
+        '<div hidden><p>not shown</p></div>', '<div style="color:red; display : none">not shown</div>', '<div aria-hidden="true">not shown</div>',
+        '<div class="relatedStories"><p>Others</p></div>', '<div class="sponsored_box">Paid</div>',
+    ],
+)
+def test_what_is_not_the_article_goes(part):
+    for page in (f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>", f"<div><p>{LONG}</p></div>{part}<div><p>{LONG}</p></div>"):
+        assert main_text(page) == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("part", ['<p class="notice-period">{}</p>', '<h2 class="related">{}</h2>', '<p id="adoption">{}</p>', '<div class="subscribers-count">{}</div>'])
+def test_names_that_only_resemble_stay(part):
+    assert main_text(f"<article><p>{LONG}</p>{part.format('Kept as it is')}</article>") == f"{LONG}\nKept as it is"
+
+
+def test_regions_equal_looking_at_every_line():
+    r = random.Random(3)
+    for _ in range(300):
+        weights = [r.choice([0, 0, 0, 5, 40]) for _ in range(r.randint(0, 25))]
+        # A line belongs to a region if some window from a line of text up to it holds text without an empty window between.
+        filled = [any(weights[k : k + WINDOW]) for k in range(len(weights))]
+        want, k = [], 0
+        while k < len(weights):
+            if not filled[k]:
+                k += 1
+                continue
+            end = k
+            while end < len(weights) and filled[end]:
+                end += 1
+            first = next(i for i in range(k, end) if weights[i] > 0)
+            want.append((first, end))
+            k = end
+        assert regions(np.array(weights, dtype=np.int64)) == want
