@@ -52,7 +52,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH d AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-               md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+               md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h
         FROM documents),
     s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
     w AS (
@@ -143,9 +143,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @key("op5_warc")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.llm.warc import read_chunks, records, write_archives
+    from quayside.llm.warc import chunk_table, records, write_archives
 
-    return records(read_chunks(write_archives(table(spark, sf_dir, "pages")), with_chunks=False))
+    return records(chunk_table(write_archives(table(spark, sf_dir, "pages"))))
 
 
 @key("op7_quality_classifier")

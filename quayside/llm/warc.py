@@ -287,6 +287,13 @@ def read_chunks(archives: DataFrame, with_chunks: bool = True, chunk_bytes: int
     )
 
 
+def chunk_table(archives: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Chunk rows of all records, payloads included, as a table in the shared folder."""
+    path = new_folder(archives.sparkSession, "chunks")
+    read_chunks(archives, chunk_bytes=chunk_bytes).write.option("compression", "zstd").parquet(path)
+    return archives.sparkSession.read.parquet(path)
+
+
 def records(chunks: DataFrame) -> DataFrame:
     """One row per record from its last chunk: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     return chunks.filter("last").select(

@@ -15,7 +15,7 @@ import public_tokenizers
 from quayside.llm.bpe import read_ranks
 from quayside.llm.quality_rules import judge
 from tests.llm.test_exact_dedup import norm
-from tests.llm.test_mixing import size, targets
+from tests.llm.test_mixing import mix_key, size, targets
 from tests.llm.test_ngram_join import brute, edited
 
 
@@ -59,7 +59,7 @@ def test_equals_brute_force(spark, folder):
     sizes, want = targets(rows)
     times, left = Counter(), {s: int(want[s]) for s in sizes}
     for s in sizes:
-        own = sorted((r for r in rows if r[3] == s), key=lambda r: hashlib.md5(str(r[0]).encode()).hexdigest())
+        own = sorted((r for r in rows if r[3] == s), key=lambda r: mix_key(r[0], r[1]))
         epochs, rest = divmod(left[s], sizes[s])
         for r in own:
             part = max(0, min(size(r[1]), rest))
@@ -72,8 +72,8 @@ def test_equals_brute_force(spark, folder):
     expected = Counter()
     for d, text, lang, source in rows:
         ids = np.array(library.encode_ordinary(text), dtype="<u4")
-        expected[d, lang, source, len(ids), ids.tobytes()] += times[d]
-    got = Counter((r.doc_id, r.lang, r.source, r.n_tokens, bytes(r.ids)) for r in corpus_pipeline.run(spark, folder).collect())
+        expected[d, lang, source, len(ids), ids.tobytes(), hashlib.sha256(text.encode()).hexdigest()] += times[d]
+    got = Counter((r.doc_id, r.lang, r.source, r.n_tokens, bytes(r.ids), r.decoded_sha256) for r in corpus_pipeline.run(spark, folder).collect())
     assert got == +expected
 
 
