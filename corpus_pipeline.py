@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quayside.llm.bpe import encode_documents, read_ranks
+from quayside.llm.bpe import decode_documents, encode_documents, read_ranks
 from quayside.llm.exact_dedup import drop_duplicates
 from quayside.llm.mixing import mixed_documents
 from quayside.llm.ngram_join import drop_near_duplicates
@@ -36,9 +36,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and ids (little-endian unsigned 32-bit integers) of each document."""
+    """doc_id, lang, source, n_tokens, ids (little-endian unsigned 32-bit integers) and the SHA-256 of what they decode to."""
+    import public_tokenizers
+
     ranks = read_ranks(public_tokenizers.path(RANKS_FILE))
-    return encode_documents(docs, ranks, public_tokenizers.PATTERN, ("doc_id", "lang", "source"))
+    encoded = encode_documents(docs, ranks, public_tokenizers.PATTERN, ("doc_id", "lang", "source"))
+    digest = F.sha2("decoded", 256).alias("decoded_sha256")
+    return decode_documents(encoded, ranks).select("doc_id", "lang", "source", "n_tokens", "ids", digest)
 
 
 STAGES = [
