@@ -4,7 +4,9 @@ Each language has a context tree over bytes: for the contexts of up to three byt
 followed. A byte costs -log2 of its probability in the longest context that was seen; a byte new to that context costs
 an escape (as often as the context has distinct followers) and is coded in the next shorter one, down to all 256
 bytes alike. Statistics are frozen while a text is scored, so its code length under a language is one sum over its bytes,
-and depends on nothing but the four bytes at each place: every cost that training can know is computed once, in tables.
+and depends on nothing but the four bytes at each place: every cost that training can know is computed once, in tables of each
+language's own contexts, so the model grows with the number of languages and no faster. A slice of text is coded for its distinct
+four-byte grams, one language after the other; a text longer than a slice is cut, with three bytes of context, and its lengths added.
 
 The trees are fitted on the different labelled texts of each language, in the order of their hashes until they hold
 `SAMPLE_BYTES`; the last comes in whole, so every language with text has one, and copies count once. Every text is scored as a whole. The score is the share of the best language in the
@@ -24,7 +26,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.lookup import KeyTable
 from quayside.llm.textarrays import Slice, released, slices
 from quayside.session import apply_settings, new_folder
 
@@ -39,51 +40,61 @@ _LETTERS[[*range(65, 91), *range(97, 123)]] = True
 
 def grams(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     """The four bytes that end at each byte of a slice, as one number, and the texts' bounds; zeros come before a text."""
-    n = len(part.data)
-    out = np.zeros(n, dtype=np.uint32)
-    place = np.arange(n) - np.repeat(part.offsets[:-1], np.diff(part.offsets))
+    out = np.zeros(len(part.data), dtype=np.uint32)
     for back in range(ORDER + 1):
-        shifted = part.data[: n - back].astype(np.uint32) << np.uint32(8 * back)
-        inside = place[back:] >= back
-        out[back:] |= np.where(inside, shifted, np.uint32(0))
+        out[back:] |= part.data[: len(part.data) - back].astype(np.uint32) << np.uint32(8 * back)
+    # What reaches back over a text's start is taken out again.
+    starts = part.offsets[:-1][np.diff(part.offsets) > 0]
+    for place in range(ORDER):
+        at = starts[starts + place < len(out)] + place
+        own = np.searchsorted(part.offsets, at, side="right") == np.searchsorted(part.offsets, at - place, side="right")
+        out[at[own]] &= _mask(place + 1)
     return out, part.offsets
 
 
 @dataclass
 class Level:
-    """Costs in bits by language: of a known byte in its context, and of escaping from a known context."""
+    """A language's known grams and contexts of one length, in order, with their costs in bits: of the byte, and of escaping."""
 
-    grams: KeyTable
+    grams: np.ndarray
     cost: np.ndarray
-    contexts: KeyTable
+    contexts: np.ndarray
     escape: np.ndarray
 
 
 @dataclass
 class Model:
     languages: list[str]
-    levels: list[Level]
+    #: Of each language, from the shortest context up.
+    levels: list[list[Level]]
 
-    def bits(self, codes: np.ndarray) -> np.ndarray:
-        """Cost of each byte under each language; `codes` as grams() makes them."""
-        return _code(self.levels, codes, len(self.languages))
+    def bits(self, codes: np.ndarray, language: int) -> np.ndarray:
+        """Cost of each byte under a language; `codes` as grams() makes them."""
+        return _code(self.levels[language], codes)
 
 
-def _code(levels: list[Level], codes: np.ndarray, languages: int) -> np.ndarray:
+def _find(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each asked number among the known ones, and whether it is there."""
+    if not len(known):
+        return np.zeros(len(asked), dtype=np.int64), np.zeros(len(asked), dtype=bool)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return at, known[at] == asked
+
+
+def _code(levels: list[Level], codes: np.ndarray) -> np.ndarray:
     """Costs of the bytes from the longest of the given levels down."""
-    out = np.zeros((len(codes), languages), dtype=np.float64)
+    out = np.zeros(len(codes))
     left = np.arange(len(codes))
     for order in range(len(levels) - 1, -1, -1):
         level = levels[order]
         own = codes[left] & _mask(order + 1)
-        row = level.grams.find(own)
-        known = row >= 0
-        out[left[known]] += level.cost[row[known]]
-        left = left[~known]
+        at, known = _find(level.grams, own)
+        out[left[known]] += level.cost[at[known]]
+        left, own = left[~known], own[~known]
         if not len(left):
             return out
-        row = level.contexts.find(own[~known] >> np.uint32(8))
-        out[left[row >= 0]] += level.escape[row[row >= 0]]
+        at, known = _find(level.contexts, own >> np.uint32(8))
+        out[left[known]] += level.escape[at[known]]
     out[left] += 8.0
     return out
 
@@ -92,32 +103,21 @@ def _mask(size: int) -> np.uint32:
     return np.uint32((1 << (8 * size)) - 1)
 
 
-def build_model(languages: list[str], codes: list[np.ndarray], counts: list[np.ndarray]) -> Model:
-    """Tables from the distinct four-byte grams of each language and how often each occurs."""
+def build_tree(code: np.ndarray, count: np.ndarray) -> list[Level]:
+    """Tables of a language from its distinct four-byte grams and how often each occurs."""
     levels: list[Level] = []
     for order in range(ORDER + 1):
-        own = []
-        for code, count in zip(codes, counts):
-            key, which = np.unique(code & _mask(order + 1), return_inverse=True)
-            n = np.bincount(which, weights=count, minlength=len(key))
-            context, of = np.unique(key >> np.uint32(8), return_inverse=True)
-            total = np.bincount(of, weights=n, minlength=len(context))
-            own.append((key, n, context, total, np.bincount(of, minlength=len(context))))
-        every = np.unique(np.concatenate([o[0] for o in own]))
-        contexts = np.unique(np.concatenate([o[2] for o in own]))
-        cost = np.zeros((len(every), len(languages)))
-        escape = np.zeros((len(contexts), len(languages)))
-        below = _code(levels, every, len(languages))
-        for k, (key, n, context, total, followers) in enumerate(own):
-            at = np.searchsorted(contexts, context)
-            escape[at, k] = np.log2((total + followers) / followers)
-            here = np.searchsorted(contexts, every >> np.uint32(8))
-            cost[:, k] = escape[here, k] + below[:, k]
-            seen = np.searchsorted(every, key)
-            of = np.searchsorted(context, key >> np.uint32(8))
-            cost[seen, k] = np.log2((total + followers)[of] / n)
-        levels.append(Level(KeyTable(every), cost, KeyTable(contexts), escape))
-    return Model(languages, levels)
+        key, which = np.unique(code & _mask(order + 1), return_inverse=True)
+        n = np.bincount(which, weights=count, minlength=len(key))
+        context, of = np.unique(key >> np.uint32(8), return_inverse=True)
+        total, followers = np.bincount(of, weights=n, minlength=len(context)), np.bincount(of, minlength=len(context))
+        cost = np.log2((total + followers)[of] / n)
+        levels.append(Level(key, cost, context, np.log2((total + followers) / followers)))
+    return levels
+
+
+def build_model(languages: list[str], codes: list[np.ndarray], counts: list[np.ndarray]) -> Model:
+    return Model(languages, [build_tree(code, count) for code, count in zip(codes, counts)])
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,13 +186,30 @@ def has_letter(part: Slice, i: int) -> bool:
     return bool((own >= 0x80).any()) and any(c.isalpha() for c in own.tobytes().decode("utf-8", "replace"))
 
 
+def code_lengths(model: Model, part: Slice) -> np.ndarray:
+    """Bits of each text that is not empty, texts x languages, by runs of about SLICE_BYTES."""
+    filled = np.flatnonzero(np.diff(part.offsets))
+    out = np.zeros((len(filled), len(model.languages)))
+    for first in range(0, len(part.data), SLICE_BYTES):
+        last = min(first + SLICE_BYTES, len(part.data))
+        begin = max(first - ORDER, 0)
+        bounds = np.clip(part.offsets, begin, last) - begin
+        # Only whole slices hold more than one text; a cut through a text keeps the bytes before as its context.
+        codes = grams(Slice(0, part.count, part.data[begin:last], bounds))[0][first - begin :]
+        own, which = np.unique(codes, return_inverse=True)
+        starts = np.clip(part.offsets[filled], first, last) - first
+        held = np.flatnonzero(np.clip(part.offsets[filled + 1], first, last) - first > starts)
+        for k in range(len(model.languages)):
+            out[held, k] += np.add.reduceat(model.bits(own, k)[which], starts[held])
+    return out
+
+
 def identify_slice(model: Model, part: Slice) -> tuple[list[str], list[float]]:
-    codes, offsets = grams(part)
     names, scores = [UNKNOWN] * part.count, [0.0] * part.count
-    if not model.languages or not len(codes):
+    if not model.languages or not len(part.data):
         return names, scores
-    filled = np.flatnonzero(np.diff(offsets))
-    total = np.add.reduceat(model.bits(codes), offsets[filled], axis=0)
+    filled = np.flatnonzero(np.diff(part.offsets))
+    total = code_lengths(model, part)
     best = total.argmin(axis=1)
     share = 1 / np.exp2(np.maximum(total.min(axis=1)[:, None] - total, -1000.0)).sum(axis=1)
     for at, i in enumerate(filled):

@@ -11,7 +11,8 @@ scored. Counts of single tokens are exact: tokens that make up at least 2^-20 of
 broadcast, and all others lie beside the segment of their hash.
 
 A token's probability is its pair's count over its predecessor's, smoothed with the token's own share of the corpus
-(Dirichlet prior), all quantised alike. Base scores use the exact counts as they are.
+(Dirichlet prior). Only the pair's count is quantised; the others are exact, so the probabilities of all tokens, one unknown token
+included, add up to 1 after any predecessor but for the quantisation of its pairs.
 
 Defined results: null text counts as empty, and an empty text is one end token. Without training texts all counts are 0.
 Rows are told apart by their place, so repeated ids and texts are scored each. Other columns are not looked at. Tokens
@@ -397,10 +398,9 @@ def _scorer(head, base: float):
             count[rare[np.argsort(single(token[rare]))]] = _joined(group.column("times"), np.int64)
             _, of = np.unique(pairs(token[index]), return_inverse=True)
             together = mean_count(_joined(group.column("levels"), np.uint8))[of]
-            alone = mean_count(levels_of(count))
-            end = alone[np.flatnonzero(token == END)[0]]
-            before = np.concatenate([[end], alone[index[:-1]]])
-            prior = np.minimum((alone + 1) / base, 1.0)[index]
+            end = count[np.flatnonzero(token == END)[0]]
+            before = np.concatenate([[end], count[index[:-1]]])
+            prior = ((count + 1) / base)[index]
             each = np.log10((np.minimum(together, before) + PRIOR * prior) / (before + PRIOR))
             n = unit.column("n_tokens").combine_chunks().flatten()
             starts = np.cumsum(n.to_numpy()) - n.to_numpy()

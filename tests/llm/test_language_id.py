@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quayside.llm.language_id import ORDER, build_model, grams, identify
+from quayside.llm import language_id
+from quayside.llm.language_id import ORDER, build_model, code_lengths, grams, identify
 from quayside.llm.textarrays import slices
 
 
@@ -48,7 +49,8 @@ def test_code_lengths_equal_the_trees():
     for text in ("abcabc", "zzz", "é a", "q", "abxyzabcd", "日本"):
         part = next(slices(pa.array([text])))
         want = [length(text.encode()) for length in lengths]
-        assert model.bits(grams(part)[0]).sum(axis=0).tolist() == pytest.approx(want)
+        assert [model.bits(grams(part)[0], k).sum() for k in range(3)] == pytest.approx(want)
+        assert code_lengths(model, part)[0].tolist() == pytest.approx(want)
 
 
 def test_held_out_accuracy(spark, documents):
@@ -88,7 +90,7 @@ def test_every_language_is_learned_and_copies_count_once(spark):
     assert model.languages == sorted({lang for _, lang in rows})
     alone = fit(spark.createDataFrame(few, "text string, lang string"), 500)
     codes = np.concatenate([grams(p)[0] for p in slices(pa.array([t for t, _ in few]))])
-    assert model.bits(codes)[:, 0] == pytest.approx(alone.bits(codes)[:, 0])
+    assert model.bits(codes, 0) == pytest.approx(alone.bits(codes, 0))
 
 
 def test_texts_are_taken_in_order_up_to_the_bound(spark):
@@ -99,4 +101,28 @@ def test_texts_are_taken_in_order_up_to_the_bound(spark):
     order = [r[0] for r in spark.createDataFrame(texts, "text string, lang string").selectExpr("text", "xxhash64(text) h").orderBy("h").limit(10).collect()]
     alone = fit(spark.createDataFrame([(t, "a") for t in order], "text string, lang string"), 1 << 20)
     codes = np.concatenate([grams(p)[0] for p in slices(pa.array([t for t, _ in texts]))])
-    assert spelled.bits(codes) == pytest.approx(alone.bits(codes))
+    assert spelled.bits(codes, 0) == pytest.approx(alone.bits(codes, 0))
+
+
+def counted(texts):
+    found = np.concatenate([grams(p)[0] for p in slices(pa.array(texts))])
+    return np.unique(found, return_counts=True)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64])
+def test_texts_are_cut_with_their_context(monkeypatch, size):
+    r = random.Random(6)
+    texts = ["".join(r.choice("ab c\u00e9") for _ in range(r.choice([0, 1, 2, 3, 40]))) for _ in range(60)]
+    model = build_model(["x", "y"], *zip(*[counted(texts[:20]), counted(texts[20:25])]))
+    (part,) = slices(pa.array(texts))
+    want = code_lengths(model, part)
+    monkeypatch.setattr(language_id, "SLICE_BYTES", size)
+    assert code_lengths(model, part) == pytest.approx(want)
+
+
+def test_tables_grow_with_the_languages_and_no_faster():
+    r = np.random.default_rng(2)
+    texts = ["".join(map(chr, r.integers(97, 123, 20_000))) for _ in range(12)]
+    held = lambda m: sum(x.nbytes for tree in m.levels for level in tree for x in (level.grams, level.cost, level.contexts, level.escape))
+    few, many = (build_model([str(i) for i in range(n)], *zip(*[counted([t]) for t in texts[:n]])) for n in (3, 12))
+    assert held(many) < 4.2 * held(few)

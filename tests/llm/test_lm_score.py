@@ -53,14 +53,42 @@ def test_scores_follow_exact_counts(documents, prose):
     def score(t):
         total = 0.0
         for a, b in zip([None, *toks(t)], toks(t)):
-            ca, cab = level(counts[a]), level(pairs[a, b])
-            total += log10((min(cab, ca) + lm.PRIOR * (level(counts[b]) + 1) / base) / (ca + lm.PRIOR))
+            ca, cab = counts[a], level(pairs[a, b])
+            total += log10((min(cab, ca) + lm.PRIOR * (counts[b] + 1) / base) / (ca + lm.PRIOR))
         return total
 
     got = {r.doc_id: r.score for r in score_documents(documents(rows), remainder(7) != 2).collect()}
     assert [got[d] for d, _ in rows] == pytest.approx([score(t) for _, t in rows], rel=1e-3)
 
 
+def test_probabilities_add_up(documents):
+    """Every known token and one unknown after a predecessor, each scored as the last word of a text."""
+    words = [f"w{i}" for i in range(12)]
+    train = [(i, f"{words[i % 3]} {words[i % 12]} {words[(i * 5) % 12]}") for i in range(200)]
+    pairs = Counter(p for _, t in train for p in zip(toks(t), toks(t)[1:]))
+    counts = Counter(x for _, t in train for x in toks(t))
+    asked = [(1000 + k, f"{a} {b}") for k, (a, b) in enumerate((a, b) for a in words[:5] for b in [*words, "unseen"])]
+    docs = documents([*train, *asked, *[(2000 + k, a) for k, a in enumerate(words[:5])]])
+    got = {r.doc_id: r.score for r in score_documents(docs, F.col("doc_id") < 1000).collect()}
+    base = sum(counts.values()) + len(counts) + 1
+    level = lambda c: (3 * 2 ** (c.bit_length() - 1) - 1) / 2 if c else 0.0
+
+    def chance(a, b):
+        return (min(level(pairs[a, b]), counts[a]) + lm.PRIOR * (counts[b] + 1) / base) / (counts[a] + lm.PRIOR)
+
+    ends = {a: got[2000 + k] for k, a in enumerate(words[:5])}  # the word after an end, then an end
+    for a in words[:5]:
+        total = chance(a, None)
+        for k, (own, b) in enumerate((x, y) for x in words[:5] for y in [*words, "unseen"]):
+            if own == a:
+                after = 10 ** (got[1000 + k] - (ends[a] - log10(chance(a, None)))) / chance(b, None)
+                assert after == pytest.approx(chance(a, b), rel=1e-6)
+                total += after
+        quantised = sum(min(level(n), counts[a]) - n for (x, _), n in pairs.items() if x == a)
+        assert total == pytest.approx(1 + quantised / (counts[a] + lm.PRIOR), rel=1e-6)
+        assert 0.7 < total < 1.5
+
+
 def test_filter_never_errs_downwards():
     shape = Layout(4, 4096)
     random = np.random.default_rng(5)
