@@ -5,10 +5,12 @@ class member from the start. In each run a set keeps the few of its tokens whose
 similar sets share one more often than not; sets that share a token meet in its bucket. A bucket above the limit is split
 again by tokens sampled for the next level. Small buckets are compared by brute force. Those that are still large after
 the last level are cut into blocks, and every pair of blocks is compared by a task of its own: memory stays that of two
-blocks, and no row is left out. Runs are repeated until the estimated recall reaches the target.
+blocks, and no row is left out. Rounds of further runs are added until the estimated recall reaches the target in every
+band: of links near the threshold and above, that met in buckets of each level.
 
 A pair that meets in several buckets belongs to the smallest of their keys, which every member can tell from the list of
-its own buckets. So pairs are never written out: a comparison returns per set its number of links and one link to
+its own buckets. Keys begin with the round and the level, so a later round decides only what no earlier one has met, and what it
+finds is what the earlier ones missed. So pairs are never written out: a comparison returns per set its number of links and one link to
 a neighbour that spans the bucket's groups, and links add up exactly over buckets. Sketches (one byte for each of 128
 parts of the hash range) decide which sets need their text for the exact comparison.
 
@@ -44,7 +46,20 @@ TARGET_RECALL = 0.995
 PARTS = 128
 SKETCH_FLOOR = 0.6
 
-_SEEDS = np.random.default_rng(7).integers(1, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: A bucket's key: round, level (2 bits) and hash (56 bits).
+ROUNDS = 32
+LEVEL_AT = 56
+#: Links below this similarity are a band of their own.
+NEAR_THRESHOLD = 0.85
+#: Numbers per band and level: links, those that met in one run only, those that met in two.
+BAND_COUNTS = 3
+BANDS = 2 * 4
+
+
+def run_seeds(first_run: int, runs: int, levels: int) -> np.ndarray:
+    """Odd multipliers by level and run; those of a round depend on its first run only."""
+    drawn = np.random.default_rng([7, first_run]).integers(1, 1 << 63, (levels, runs), dtype=np.uint64)
+    return drawn * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(part: Slice, width: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -79,9 +94,9 @@ def sketch(own: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _signer(runs: int, levels: int):
+def _signer(first_run: int, runs: int, levels: int):
     """Arrow function: doc_id, place, text -> doc_id, place, set_id, size, sketch, chosen tokens by level and run."""
-    seeds = _SEEDS[: runs * levels].reshape(levels, runs)
+    seeds = run_seeds(first_run, runs, levels)
     lists = pa.list_(pa.list_(pa.int64()))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +135,14 @@ def _placed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _buckets(sets: DataFrame, levels: int, bucket_sets: int, folder: str) -> DataFrame:
-    """key, run, n, set_id: memberships of buckets that need no more splitting, with two sets at least.
+def _key(round_: int, level: int, *columns: str):
+    """A bucket's key: those of earlier rounds and lower levels are smaller."""
+    prefix = (round_ << (LEVEL_AT + 2)) | (level << LEVEL_AT)
+    return (F.xxhash64(*columns).bitwiseAND(F.lit((1 << LEVEL_AT) - 1)) + F.lit(prefix)).alias("key")
+
+
+def _buckets(sets: DataFrame, round_: int, first_run: int, levels: int, bucket_sets: int, folder: str) -> DataFrame:
+    """key, run, n, set_id: memberships of a round's buckets that need no more splitting, with two sets at least.
 
     Memberships and bucket sizes of a level are stored: the next level starts from them, and the join of both
     is of two plain shuffles, in which Spark can split a hot bucket.
@@ -132,9 +153,9 @@ def _buckets(sets: DataFrame, levels: int, bucket_sets: int, folder: str) -> Dat
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    tokens = sets.select("set_id", F.posexplode("level0").alias("run", "tokens"))
-    live = tokens.select(F.explode("tokens").alias("token"), "run", "set_id")
-    live = live.select(F.xxhash64("run", "token").alias("key"), "run", "set_id")
+    tokens = sets.select("set_id", F.posexplode("level0").alias("at", "tokens"))
+    live = tokens.select(F.explode("tokens").alias("token"), (F.col("at") + first_run).alias("run"), "set_id")
+    live = live.select(_key(round_, 0, "run", "token"), "run", "set_id")
     out = None
     for level in range(levels):
         live = kept(f"live{level}", live)
@@ -147,8 +168,8 @@ def _buckets(sets: DataFrame, levels: int, bucket_sets: int, folder: str) -> Dat
             live = (
                 counted.filter(F.col("n") > bucket_sets)
                 .join(sets.select("set_id", f"level{level + 1}"), "set_id")
-                .select("key", "run", "set_id", F.explode(F.expr(f"level{level + 1}[run]")).alias("token"))
-                .select(F.xxhash64("key", "token").alias("key"), "run", "set_id")
+                .select("key", "run", "set_id", F.explode(F.expr(f"level{level + 1}[run - {first_run}]")).alias("token"))
+                .select(_key(round_, level + 1, "key", "token"), "run", "set_id")
             )
     return out
 
@@ -264,10 +285,11 @@ def _runs_shared(links: np.ndarray, keys: list[np.ndarray], runs: list[np.ndarra
 
 
 def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact links of a task: per set with links their number, one link that spans its group, and how rarely they met."""
+    """Exact links of a task: per set with links their number and one link that spans its group; by band, with a task's
+    first set, how many there are and how rarely they met."""
     out: list[tuple] = []
-    names = ["set_id", "links", "once", "twice", "near"]
-    types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["set_id", "links", "near", "bands"]
+    types = [pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
 
     def packed() -> pa.RecordBatch:
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
@@ -285,7 +307,8 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raise ValueError("the documents changed between two reads")
         size = np.array([len(s) for s in sets], dtype=np.float64)
         common = _overlaps(sets).astype(np.float64)
-        links = pairs & (common >= SIMILARITY * (size[:, None] + size[None, :] - common))
+        union = size[:, None] + size[None, :] - common
+        links = pairs & (common >= SIMILARITY * union)
         if not links.any():
             continue
         keys = [np.asarray(k, dtype=np.int64) for k in group.column("keys").to_pylist()]
@@ -295,11 +318,11 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = np.maximum(met, met.T)
         parent = _forest(both)
         count = both.sum(axis=1)
-        once, twice = (both & (met == 1)).sum(axis=1), (both & (met == 2)).sum(axis=1)
-        out.extend(
-            (ids[x], int(count[x]), int(once[x]), int(twice[x]), ids[parent[x]] if parent[x] >= 0 else None)
-            for x in np.flatnonzero(count)
-        )
+        level = (group.column("key")[0].as_py() >> LEVEL_AT) & 3
+        bands = _band_counts(common[links] < NEAR_THRESHOLD * union[links], met[links], level)
+        for x in np.flatnonzero(count):
+            out.append((ids[x], int(count[x]), ids[parent[x]] if parent[x] >= 0 else None, bands))
+            bands = None
         if len(out) >= 20_000:
             yield packed()
             out = []
@@ -307,6 +330,26 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
+def _band_counts(low: np.ndarray, met: np.ndarray, level: int) -> list[int]:
+    """Numbers of a task's links by band, all in buckets of one level."""
+    out = np.zeros((BANDS, BAND_COUNTS), dtype=np.int64)
+    for half, own in enumerate((met[low], met[~low])):
+        out[2 * level + half] = len(own), (own == 1).sum(), (own == 2).sum()
+    return out.reshape(-1).tolist()
+
+
+def recall_of_bands(found: np.ndarray, newest: np.ndarray) -> np.ndarray:
+    """Estimated recall of each band (1 where it has no links) from all its links and from those of the newest round.
+
+    Both have a row (links, met in one run, met in two) per band. Links the newest round has not found either are estimated from
+    those it met once and twice (Chao's estimator). Less than one missed link is none.
+    """
+    once, twice = newest[:, 1].astype(float), newest[:, 2].astype(float)
+    missed = np.where(twice > 0, once**2 / np.maximum(2 * twice, 1), once * (once - 1) / 2)
+    missed = np.where(missed < 1, 0, missed)
+    return np.where(found[:, 0] > 0, found[:, 0] / np.maximum(found[:, 0] + missed, 1), 1.0)
+
+
 def _forest(links: np.ndarray) -> np.ndarray:
     """A neighbour nearer the root for each member, -1 for roots and members without links."""
     parent = np.full(len(links), -1)
@@ -325,26 +368,35 @@ def _forest(links: np.ndarray) -> np.ndarray:
     return parent
 
 
-def _links(docs: DataFrame, folder: str, runs: int, levels: int, bucket_sets: int) -> tuple[DataFrame, DataFrame]:
-    """Signed rows and the links of their sets, both stored in `folder`."""
+def _sign(docs: DataFrame, folder: str, first_run: int, runs: int, levels: int) -> DataFrame:
+    """Signed rows with a set, stored in `folder`; those of later rounds hold the chosen tokens only."""
+    arrays = ", ".join(f"level{k} array<array<bigint>>" for k in range(levels))
+    signed = _placed(docs).mapInArrow(
+        _signer(first_run, runs, levels), f"doc_id bigint, place {PLACE_TYPE}, set_id binary, size int, sketch binary, {arrays}"
+    )
+    if first_run:
+        signed = signed.select("set_id", "place", *[f"level{k}" for k in range(levels)])
+    signed.write.parquet(f"{folder}/signed")
+    return docs.sparkSession.read.parquet(f"{folder}/signed")
+
+
+def _links(
+    docs: DataFrame, sets: DataFrame, own: DataFrame, earlier: DataFrame | None, round_: int, bucket_sets: int, folder: str
+) -> DataFrame:
+    """Links between sets that meet in a round's `own` buckets and met in no `earlier` one."""
     spark = docs.sparkSession
     placed = _placed(docs)
-    arrays = ", ".join(f"level{k} array<array<bigint>>" for k in range(levels))
-    placed.mapInArrow(
-        _signer(runs, levels), f"doc_id bigint, place {PLACE_TYPE}, set_id binary, size int, sketch binary, {arrays}"
-    ).write.parquet(f"{folder}/signed")
-    signed = spark.read.parquet(f"{folder}/signed").filter("set_id IS NOT NULL")
-    holders = signed.groupBy("set_id").agg(F.min("place").alias("place"))
-    sets = signed.join(holders, ["set_id", "place"], "left_semi")
     # Bounded lists: a set is in about 1.25 buckets per run and level.
     lists = (
-        _buckets(sets, levels, bucket_sets, folder)
+        (own if earlier is None else own.unionByName(earlier))
         .groupBy("set_id")
         .agg(F.sort_array(F.collect_list(F.struct("key", "run", "n"))).alias("own"))
         .join(sets.select("set_id", "place", "size", "sketch"), "set_id")
         .select("set_id", "place", "size", "sketch", "own.key", "own.run", F.explode("own").alias("b"))
         .select("set_id", "place", "size", "sketch", F.col("key").alias("keys"), F.col("run").alias("runs"), "b.key", "b.n")
     )
+    if round_:
+        lists = lists.filter(F.col("key") >= round_ << (LEVEL_AT + 2))
     blocks = F.ceil(F.col("n") / F.lit(bucket_sets)).cast("long")
     tasks = (
         lists.withColumn("block", F.pmod(F.xxhash64("set_id"), blocks))
@@ -366,10 +418,18 @@ def _links(docs: DataFrame, folder: str, runs: int, levels: int, bucket_sets: in
         .join(placed.select("place", "text"), "place")
         .repartition(*_TASK)
         .sortWithinPartitions(*_TASK)
-        .mapInArrow(_verify, "set_id binary, links bigint, once bigint, twice bigint, near binary")
+        .mapInArrow(_verify, "set_id binary, links bigint, near binary, bands array<bigint>")
         .write.parquet(f"{folder}/links")
     )
-    return spark.read.parquet(f"{folder}/signed"), spark.read.parquet(f"{folder}/links")
+    return spark.read.parquet(f"{folder}/links")
+
+
+def _counts_by_band(links: DataFrame) -> np.ndarray:
+    """Sums over a round's tasks: a row for each band."""
+    out = np.zeros(BANDS * BAND_COUNTS, dtype=np.int64)
+    for at, n in links.select(F.posexplode("bands").alias("at", "n")).groupBy("at").agg(F.sum("n")).collect():
+        out[at] = n
+    return out.reshape(BANDS, BAND_COUNTS)
 
 
 def near_duplicates(
@@ -381,22 +441,38 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: doc_id, place, class_id (its class's smallest doc_id), n_links, kept (the row class_id names).
 
-    n_links counts other shingle sets at a similarity of 0.8 or more. Missed links are estimated from those that
-    met in one run only and in two (Chao's estimator); below the target recall the join is done over with twice the runs.
+    n_links counts other shingle sets at a similarity of 0.8 or more. While a band is below the target recall, a
+    round is added with as many runs as there were; it signs only those, and keeps all buckets and links so far.
     """
     spark = apply_settings(docs.sparkSession)
     docs = stored(docs)
-    while True:
+    members = sets = memberships = links = None
+    found = np.zeros((BANDS, BAND_COUNTS), dtype=np.int64)
+    first_run = 0
+    for round_ in range(ROUNDS):
         folder = new_folder(spark, "ngram-join")
-        signed, links = _links(docs, folder, runs, levels, bucket_sets)
-        found, once, twice = links.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("links", "once", "twice")]).first()
-        missed = once**2 / (2 * twice) if twice else once * (once - 1) / 2
-        if found == 0 or found / (found + missed) >= target_recall or 2 * runs * levels > len(_SEEDS):
+        signed = _sign(docs, folder, first_run, runs, levels)
+        if sets is None:
+            members = signed.select("doc_id", "place", "set_id")
+            with_words = signed.filter("set_id IS NOT NULL")
+            holders = with_words.groupBy("set_id").agg(F.min("place").alias("place"))
+            sets = chosen = with_words.join(holders, ["set_id", "place"], "left_semi")
+        else:
+            chosen = signed.join(sets.select("set_id", "place"), ["set_id", "place"], "left_semi")
+        own = _buckets(chosen, round_, first_run, levels, bucket_sets, folder)
+        new = _links(docs, sets, own, memberships, round_, bucket_sets, folder)
+        memberships = own if memberships is None else memberships.unionByName(own)
+        links = new if links is None else links.unionByName(new)
+        newest = _counts_by_band(new)
+        found += newest
+        if recall_of_bands(found, newest).min() >= target_recall:
             break
-        runs *= 2
+        first_run += runs
+        runs = first_run
+    else:
+        raise RuntimeError(f"the recall is below {target_recall} after {first_run} runs")
     roots = components(links.filter("near IS NOT NULL").select(F.col("set_id").alias("a"), F.col("near").alias("b")))
     counts = links.groupBy("set_id").agg(F.sum("links").alias("n_links"))
-    members = signed.select("doc_id", "place", "set_id")
     linked = roots.join(counts, roots["node"] == counts["set_id"]).select("set_id", "root", "n_links")
     classed = members.join(linked, "set_id", "left").select(
         "doc_id",

@@ -4,8 +4,9 @@ A text is a bag of passages. Each passage gets statistics of its bytes and words
 pairs; an encoder maps them to a code, gated attention weighs the codes, and the weighted code of the bag is scored. Only the
 bag has a label; which passages matter is learned. Every passage of every text is encoded and weighed.
 
-The network is fitted on a bounded sample of labelled rows (`TRAIN_ROWS`, the first by a hash of the id), in one process;
-scoring runs where the texts lie.
+The network is fitted on a bounded sample of labelled rows, in one process: at most `TRAIN_ROWS` ids, the first by a hash of the
+id, one row of each, the one with the least place, and of these in the same order as many whole bags as fit into
+`TRAIN_PASSAGES` passages. Scoring runs where the texts lie.
 
 Defined results: a null or empty text is a bag of one passage without words; without labels of both kinds, the score
 is the share of label 1 among the sample, or 0.5 where there is none; labels of null or repeated ids count once (the
@@ -22,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.stored import placed, stored
 from quayside.llm.textarrays import IS_SPACE, Slice, mix, released, slices, word_hashes, words
-from quayside.session import apply_settings
+from quayside.session import apply_settings, new_folder
 
 PASSAGE_WORDS = 64
 PAIR_BINS = 32
 TRAIN_ROWS = 6_000
+TRAIN_PASSAGES = 1 << 17
 CODE = 24
 EPOCHS = 150
 SLICE_BYTES = 1 << 20
@@ -177,17 +180,37 @@ def _encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, bounds = passages(part)
             own = batch.slice(part.first, part.count)
             bags = [x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.record_batch([own.column("doc_id"), own.column("quality"), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"])
+            columns = [own.column("doc_id"), own.column("quality"), pa.array(np.diff(bounds), pa.int64()), pa.array(bags, pa.binary())]
+            yield pa.record_batch(columns, names=["doc_id", "quality", "n", "bag"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Network:
-    """Network from at most `train_rows` labelled ids, the first by hash; `labels` has doc_id and quality."""
+def _sample_bags(docs: DataFrame, labels: DataFrame, train_rows: int, train_passages: int) -> DataFrame:
+    """doc_id, quality and bag of the rows to fit on: at most `train_rows` with at most `train_passages` in all."""
+    spark = docs.sparkSession
     best = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(labels["doc_id"].cast("long").alias("doc_id"))
-    chosen = best.agg(F.max("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    # At most train_rows small rows are broadcast, so no text moves to be chosen.
-    bags = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text").mapInArrow(_encode, "doc_id bigint, quality int, bag binary")
-    found = bags.toPandas().sort_values(["doc_id", "bag"])
+    in_order = [F.xxhash64("doc_id"), "doc_id"]
+    chosen = best.agg(F.max("quality").cast("int").alias("quality")).orderBy(*in_order).limit(train_rows)
+    rows = placed(stored(docs), "_place").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("_place").alias("place"), F.col("text").cast("string").alias("text")
+    )
+    # At most train_rows small rows are broadcast, twice, so no text moves to be chosen.
+    held = rows.select("doc_id", "place").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("place").alias("place"))
+    folder = new_folder(spark, "classifier-bags")
+    rows.join(F.broadcast(held), ["doc_id", "place"]).select("doc_id", "quality", "text").mapInArrow(
+        _encode, "doc_id bigint, quality int, n bigint, bag binary"
+    ).write.parquet(folder)
+    bags = spark.read.parquet(folder)
+    taken, left = [], train_passages
+    for doc_id, n in bags.orderBy(*in_order).select("doc_id", "n").collect():
+        if n <= left:
+            taken.append((doc_id,))
+            left -= n
+    return bags.join(F.broadcast(spark.createDataFrame(taken, "doc_id bigint")), "doc_id", "left_semi").select("doc_id", "quality", "bag")
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_passages: int = TRAIN_PASSAGES) -> Network:
+    """Network from a bounded sample of labelled rows; `labels` has doc_id and quality."""
+    found = _sample_bags(docs, labels, train_rows, train_passages).toPandas().sort_values("doc_id")
     parts = [np.frombuffer(b).reshape(-1, FEATURES) for b in found["bag"]]
     x = np.concatenate(parts) if parts else np.zeros((0, FEATURES))
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)

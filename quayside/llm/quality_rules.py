@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.llm.stored import PLACE_TYPE, placed, stored
 from quayside.llm.textarrays import IS_SPACE, Slice, mix, released, slices, windows, word_hashes, words
 from quayside.session import apply_settings, new_folder
 
@@ -190,16 +191,17 @@ def _counts_of(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
 def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in released(batches):
         counts = _counts_of(batch)
-        yield pa.record_batch([batch.column("doc_id"), *[pa.array(counts[n], pa.int64()) for n in STATISTICS]], names=["doc_id", *STATISTICS])
+        own = [batch.column("doc_id"), batch.column("place"), *[pa.array(counts[n], pa.int64()) for n in STATISTICS]]
+        yield pa.record_batch(own, names=["doc_id", "place", *STATISTICS])
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """doc_id and the statistics of each document, stored."""
+    """doc_id, place and the statistics of each document, stored."""
     path = new_folder(docs.sparkSession, "rule-statistics")
-    schema = ", ".join(["doc_id bigint", *[f"{n} bigint" for n in STATISTICS]])
-    docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(
-        _measure, schema
-    ).write.parquet(path)
+    schema = ", ".join(["doc_id bigint", f"place {PLACE_TYPE}", *[f"{n} bigint" for n in STATISTICS]])
+    placed(stored(docs), "_place").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("_place").alias("place"), F.col("text").cast("string").alias("text")
+    ).mapInArrow(_measure, schema).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -245,8 +247,8 @@ def fit(stats: DataFrame, labels: DataFrame, trees: int = TREES, sample_rows: in
     bounds = _bounds(labelled.filter("_quality = 1"))
     total = passed.count()
     part = passed
-    if total > sample_rows:  # hashes are uniform, so this many rows up to chance
-        part = passed.filter(F.xxhash64(*STATISTICS, "doc_id") < int(-(2**63) + 2**64 * sample_rows / total))
+    if total > sample_rows:  # hashes are uniform, so this many rows up to chance; the place tells rows without ids apart
+        part = passed.filter(F.xxhash64(*STATISTICS, "doc_id", "place") < int(-(2**63) + 2**64 * sample_rows / total))
     rows = part.select(*STATISTICS).toPandas().sort_values(list(STATISTICS))
     forest = grow_forest(excess(ratios({n: rows[n].to_numpy() for n in STATISTICS}), bounds), trees)
     forest.bounds = bounds
@@ -269,7 +271,7 @@ def fit(stats: DataFrame, labels: DataFrame, trees: int = TREES, sample_rows: in
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: doc_id, the statistics, base_failed, anomaly, kept."""
+    """One row per document: doc_id, place, the statistics, base_failed, anomaly, kept."""
     spark = apply_settings(docs.sparkSession)
     stats = measure(docs)
     forest = fit(stats, labels)

@@ -2,10 +2,12 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from quayside.llm.components import components
-from quayside.llm.ngram_join import drop_near_duplicates, near_duplicates
+from quayside.llm import ngram_join
+from quayside.llm.ngram_join import drop_near_duplicates, near_duplicates, recall_of_bands
 
 
 def shingles(t):
@@ -78,6 +80,34 @@ def test_runs_are_repeated_until_the_recall_is_reached(documents, rows):
     assert sorted([(r.doc_id, r.class_id, r.n_links) for r in got], key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("bucket_sets, rounds", [(256, 2), (16, 3)])
+def test_further_rounds_add_what_was_missed_and_nothing_twice(documents, rows, bucket_sets, rounds, monkeypatch):
+    asked = []
+
+    def once_more(found, newest):
+        asked.append((found.copy(), newest.copy()))
+        return np.array([float(len(asked) == rounds)])
+
+    monkeypatch.setattr(ngram_join, "recall_of_bands", once_more)
+    got = near_duplicates(documents(rows), bucket_sets=bucket_sets).collect()
+    assert len(asked) == rounds
+    assert sorted([(r.doc_id, r.class_id, r.n_links) for r in got], key=str) == brute(rows)
+    assert asked[0][0][:, 0].sum() >= 0.95 * asked[-1][0][:, 0].sum() > 0
+    assert (asked[1][0] == asked[0][0] + asked[1][1]).all()
+
+
+def test_one_band_below_the_target_is_seen():
+    found = np.zeros((ngram_join.BANDS, 3), dtype=np.int64)
+    found[1] = 1_000_000, 0, 3  # a large group of close copies
+    assert recall_of_bands(found, found).min() == 1
+    found[4] = 100, 40, 30  # few links near the threshold in buckets of the last level
+    worst = recall_of_bands(found, found)
+    assert worst[4] == pytest.approx(100 / (100 + 40**2 / 60)) and worst.argmin() == 4
+    newest = np.zeros_like(found)
+    newest[4] = 5, 2, 3  # less than one link is left
+    assert recall_of_bands(found, newest).min() == 1
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents([])).count() == 0
     assert [r.n_links for r in near_duplicates(documents([(1, "a b c")])).collect()] == [0]

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quayside.llm.quality_classifier import FEATURES, classify, new_network, passages, train
+from quayside.llm.quality_classifier import FEATURES, _sample_bags, classify, new_network, passages, train
 from quayside.llm.textarrays import slices
 
 
@@ -68,3 +68,33 @@ def test_without_labels(spark, documents):
     one = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert all(r.predicted == 1 for r in classify(documents([(1, "a b"), (2, None)]), one).collect())
     assert classify(documents([]), one).count() == 0
+
+
+def test_the_sample_takes_one_row_of_an_id_and_stops_by_passages(spark, documents, prose):
+    rows = [(7, prose(k, 100)) for k in range(300)] + [(k, prose(k, 640)) for k in range(10, 30)] + [(None, "a b")] * 50
+    labels = spark.createDataFrame([(7, 1), (7, 0), (None, 1), (99, 1)] + [(k, k % 2) for k in range(10, 30)], "doc_id long, quality int")
+    docs = documents(rows)
+    whole = _sample_bags(docs, labels, 100, 1 << 17).collect()
+    assert sorted(r.doc_id for r in whole) == [7, *range(10, 30)]
+    assert {r.doc_id: len(r.bag) // 8 // FEATURES for r in whole} == {7: 2} | {k: 10 for k in range(10, 30)}
+    assert [r.quality for r in whole if r.doc_id == 7] == [1]
+    bounded = _sample_bags(docs, labels, 100, 35).collect()
+    assert 30 <= sum(len(r.bag) // 8 // FEATURES for r in bounded) <= 35
+    assert len(_sample_bags(docs, labels, 4, 1 << 17).collect()) <= 4
+    assert _sample_bags(docs, labels, 100, 0).count() == 0
+
+
+def test_score_equals_a_plain_version():
+    r = np.random.default_rng(3)
+    x, bounds = r.normal(0, 1, (30, FEATURES)), np.array([0, 1, 7, 8, 30])
+    net = new_network(x, 0.3)
+    net.weights["score"] = r.normal(0, 1, len(net.weights["score"]))
+    w, got = net.weights, net.forward(x, bounds)["score"]
+    for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        codes, raws = [], []
+        for row in x[a:b]:
+            code = np.tanh((row - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-3) @ w["encode"] + w["encode_b"])
+            codes.append(code)
+            raws.append(np.exp(sum(w["attend"] * np.tanh(code @ w["value"]) / (1 + np.exp(-(code @ w["gate"]))))))
+        pooled = sum(e / sum(raws) * c for e, c in zip(raws, codes))
+        assert got[k] == pytest.approx(1 / (1 + np.exp(-(pooled @ w["score"] + w["score_b"][0]))), abs=1e-9)

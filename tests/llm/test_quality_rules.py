@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quayside.llm.quality_rules import STATISTICS, grow_forest, judge, keep_documents, ratios, statistics
+from quayside.llm.quality_rules import STATISTICS, fit, grow_forest, judge, keep_documents, measure, ratios, statistics
 from quayside.llm.textarrays import slices
 
 
@@ -75,3 +75,45 @@ def test_without_labels_only_the_base_rules_hold(spark, documents, prose):
     assert all(r.kept != r.base_failed for r in got)
     assert judge(documents([]), none).count() == 0
     assert len(ratios({n: np.zeros(2) for n in STATISTICS})) == 2
+
+
+def test_paths_equal_a_walk_down_each_tree():
+    r = np.random.default_rng(5)
+    rows = np.concatenate([np.round(r.normal(0, 1, (300, 4)), 1), np.zeros((40, 4)), r.normal(6, 1, (5, 4))])
+    forest = grow_forest(rows, trees=12, tree_rows=64)
+
+    def usual(n):
+        return 0 if n < 2 else 1 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+
+    def down(t, own, node=0, depth=0):
+        """Ids of rows by the leaf they reach, each with its path: splits passed and the usual rest."""
+        if forest.left[t, node] < 0:
+            rest = forest.path[t, node] - depth
+            assert rest >= 0 and (depth <= 6) and (rest == 0 or any(rest == pytest.approx(usual(n)) for n in range(2, 65)))
+            return {i: forest.path[t, node] for i in own}
+        left = [i for i in own if rows[i, forest.feature[t, node]] < forest.cut[t, node]]
+        right = [i for i in own if i not in set(left)]
+        child = int(forest.left[t, node])
+        return down(t, left, child, depth + 1) | down(t, right, child + 1, depth + 1)
+
+    every = list(range(len(rows)))
+    paths = [down(t, every) for t in range(12)]
+    want = [2 ** (-np.mean([p[i] for p in paths]) / usual(64)) for i in every]
+    assert forest.score(rows) == pytest.approx(want)
+
+
+def test_rows_without_ids_are_sampled_one_by_one(spark, documents, prose):
+    rows = [(None, "one two three four " * 20)] * 600 + [(k, prose(k, 60)) for k in range(300)]
+    stats = measure(documents(rows)).filter("n_words >= 50")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    sizes = []
+
+    def grown(sample, trees=0, *rest):
+        sizes.append(len(sample))
+        return grow_forest(sample, 2)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("quayside.llm.quality_rules.grow_forest", grown)
+        patch.setattr("quayside.llm.quality_rules.REPEAT_SHARE", 1.0)
+        fit(stats, none, sample_rows=300)
+    assert 200 < sizes[0] < 400
