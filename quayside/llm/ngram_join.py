@@ -5,8 +5,10 @@ class member from the start. In each run a set keeps the few of its tokens whose
 similar sets share one more often than not; sets that share a token meet in its bucket. A bucket above the limit is split
 again by tokens sampled for the next level. Small buckets are compared by brute force. Those that are still large after
 the last level are cut into blocks, and every pair of blocks is compared by a task of its own: memory stays that of two
-blocks, and no row is left out. Rounds of further runs are added until the estimated recall reaches the target in every
-band: of links near the threshold and above, that met in buckets of each level.
+blocks, and no row is left out. Rounds are added until the estimated recall reaches the target in every band: of links near
+the threshold and above, that met in buckets of each level. Where only links that met below the first level fall short,
+the large buckets of the first level are split again with other tokens, as it is there that their pairs were parted; else
+the round makes runs from the start.
 
 A pair that meets in several buckets belongs to the smallest of their keys, which every member can tell from the list of
 its own buckets. Keys begin with the round and the level, so a later round decides only what no earlier one has met, and what it
@@ -94,26 +96,26 @@ def sketch(own: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _signer(first_run: int, runs: int, levels: int):
+def _signer(first_run: int, runs: int, levels: range):
     """Arrow function: doc_id, place, text -> doc_id, place, set_id, size, sketch, chosen tokens by level and run."""
-    seeds = run_seeds(first_run, runs, levels)
+    seeds = run_seeds(first_run, runs, levels.stop)
     lists = pa.list_(pa.list_(pa.int64()))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in released(batches):
             ids, sizes, sketches = [], [], []
-            chosen: list[list] = [[] for _ in range(levels)]
+            chosen: list[list] = [[] for _ in levels]
             for part in slices(batch.column("text")):
                 for own in shingle_sets(part):
                     ids.append(set_id(own))
                     sizes.append(len(own))
                     sketches.append(sketch(own) if len(own) else None)
                     limit = np.uint64(min((1 << 64) - 1, int(2**64 / (SIMILARITY * max(len(own), 1)))))
-                    for level in range(levels):
+                    for at_level, level in enumerate(levels):
                         below = np.multiply.outer(seeds[level], own) < limit
                         run, at = np.nonzero(below)
                         picked = np.split(own[at].view(np.int64), np.searchsorted(run, np.arange(1, runs)))
-                        chosen[level].append(picked if len(own) else None)
+                        chosen[at_level].append(picked if len(own) else None)
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
@@ -123,7 +125,7 @@ def _signer(first_run: int, runs: int, levels: int):
                     pa.array(sketches, pa.binary()),
                     *[pa.array(c, lists) for c in chosen],
                 ],
-                names=["doc_id", "place", "set_id", "size", "sketch", *[f"level{k}" for k in range(levels)]],
+                names=["doc_id", "place", "set_id", "size", "sketch", *[f"level{k}" for k in levels]],
             )
 
     return sign
@@ -141,9 +143,14 @@ def _key(round_: int, level: int, *columns: str):
     return (F.xxhash64(*columns).bitwiseAND(F.lit((1 << LEVEL_AT) - 1)) + F.lit(prefix)).alias("key")
 
 
-def _buckets(sets: DataFrame, round_: int, first_run: int, levels: int, bucket_sets: int, folder: str) -> DataFrame:
+def _buckets(
+    sets: DataFrame, round_: int, first_run: int, levels: int, bucket_sets: int, folder: str, hot: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """key, run, n, set_id: memberships of a round's buckets that need no more splitting, with two sets at least.
 
+    And key, run, set_id: those of buckets of the first level that were split. Given such (`hot`, by the round's runs), the
+    round splits them again and has no first level of its own.
+
     Memberships and bucket sizes of a level are stored: the next level starts from them, and the join of both
     is of two plain shuffles, in which Spark can split a hot bucket.
     """
@@ -153,25 +160,33 @@ def _buckets(sets: DataFrame, round_: int, first_run: int, levels: int, bucket_s
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    tokens = sets.select("set_id", F.posexplode("level0").alias("at", "tokens"))
-    live = tokens.select(F.explode("tokens").alias("token"), (F.col("at") + first_run).alias("run"), "set_id")
-    live = live.select(_key(round_, 0, "run", "token"), "run", "set_id")
+    def split(large: DataFrame, level: int) -> DataFrame:
+        return (
+            large.join(sets.select("set_id", f"level{level}"), "set_id")
+            .select("key", "run", "set_id", F.explode(F.expr(f"level{level}[run - {first_run}]")).alias("token"))
+            .select(_key(round_, level, "run", "key", "token"), "run", "set_id")
+        )
+
+    first_level = 0 if hot is None else 1
+    if hot is None:
+        tokens = sets.select("set_id", F.posexplode("level0").alias("at", "tokens"))
+        live = tokens.select(F.explode("tokens").alias("token"), (F.col("at") + first_run).alias("run"), "set_id")
+        live = live.select(_key(round_, 0, "run", "token"), "run", "set_id")
+    else:
+        live = split(hot, 1)
     out = None
-    for level in range(levels):
+    for level in range(first_level, levels):
         live = kept(f"live{level}", live)
         counts = kept(f"counts{level}", live.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
         counted = kept(f"counted{level}", live.join(counts, "key"))
         last = level == levels - 1
         done = counted if last else counted.filter(F.col("n") <= bucket_sets)
         out = done if out is None else out.unionByName(done)
+        large = counted.filter(F.col("n") > bucket_sets).select("key", "run", "set_id")
+        hot = large if level == 0 else hot
         if not last:
-            live = (
-                counted.filter(F.col("n") > bucket_sets)
-                .join(sets.select("set_id", f"level{level + 1}"), "set_id")
-                .select("key", "run", "set_id", F.explode(F.expr(f"level{level + 1}[run - {first_run}]")).alias("token"))
-                .select(_key(round_, level + 1, "key", "token"), "run", "set_id")
-            )
-    return out
+            live = split(large, level + 1)
+    return out, hot
 
 
 def _shared_earlier(key: int, keys: list[np.ndarray]) -> np.ndarray:
@@ -368,14 +383,14 @@ def _forest(links: np.ndarray) -> np.ndarray:
     return parent
 
 
-def _sign(docs: DataFrame, folder: str, first_run: int, runs: int, levels: int) -> DataFrame:
+def _sign(docs: DataFrame, folder: str, first_run: int, runs: int, levels: range) -> DataFrame:
     """Signed rows with a set, stored in `folder`; those of later rounds hold the chosen tokens only."""
-    arrays = ", ".join(f"level{k} array<array<bigint>>" for k in range(levels))
+    arrays = ", ".join(f"level{k} array<array<bigint>>" for k in levels)
     signed = _placed(docs).mapInArrow(
         _signer(first_run, runs, levels), f"doc_id bigint, place {PLACE_TYPE}, set_id binary, size int, sketch binary, {arrays}"
     )
     if first_run:
-        signed = signed.select("set_id", "place", *[f"level{k}" for k in range(levels)])
+        signed = signed.select("set_id", "place", *[f"level{k}" for k in levels])
     signed.write.parquet(f"{folder}/signed")
     return docs.sparkSession.read.parquet(f"{folder}/signed")
 
@@ -442,16 +457,17 @@ def near_duplicates(
     """One row per document: doc_id, place, class_id (its class's smallest doc_id), n_links, kept (the row class_id names).
 
     n_links counts other shingle sets at a similarity of 0.8 or more. While a band is below the target recall, a
-    round is added with as many runs as there were; it signs only those, and keeps all buckets and links so far.
+    round is added with as many runs as there were; it signs only those, and keeps all buckets and links so far. While no band of
+    the first level is, these runs begin in the buckets that earlier ones split.
     """
     spark = apply_settings(docs.sparkSession)
     docs = stored(docs)
-    members = sets = memberships = links = None
+    members = sets = memberships = links = hot = None
     found = np.zeros((BANDS, BAND_COUNTS), dtype=np.int64)
-    first_run = 0
+    first_run = first_level = 0
     for round_ in range(ROUNDS):
         folder = new_folder(spark, "ngram-join")
-        signed = _sign(docs, folder, first_run, runs, levels)
+        signed = _sign(docs, folder, first_run, runs, range(first_level, levels))
         if sets is None:
             members = signed.select("doc_id", "place", "set_id")
             with_words = signed.filter("set_id IS NOT NULL")
@@ -459,14 +475,18 @@ def near_duplicates(
             sets = chosen = with_words.join(holders, ["set_id", "place"], "left_semi")
         else:
             chosen = signed.join(sets.select("set_id", "place"), ["set_id", "place"], "left_semi")
-        own = _buckets(chosen, round_, first_run, levels, bucket_sets, folder)
+        again = hot.withColumn("run", F.col("run") + first_run) if first_level else None
+        own, split = _buckets(chosen, round_, first_run, levels, bucket_sets, folder, again)
+        hot = split if hot is None else hot.unionByName(split)
         new = _links(docs, sets, own, memberships, round_, bucket_sets, folder)
         memberships = own if memberships is None else memberships.unionByName(own)
         links = new if links is None else links.unionByName(new)
         newest = _counts_by_band(new)
         found += newest
-        if recall_of_bands(found, newest).min() >= target_recall:
+        recall = recall_of_bands(found, newest)
+        if recall.min() >= target_recall:
             break
+        first_level = 0 if recall[:2].min() < target_recall else 1  # two bands a level
         first_run += runs
         runs = first_run
     else:

@@ -96,6 +96,43 @@ def test_further_rounds_add_what_was_missed_and_nothing_twice(documents, rows, b
     assert (asked[1][0] == asked[0][0] + asked[1][1]).all()
 
 
+@pytest.mark.parametrize("rounds", [2, 3])
+def test_rounds_for_lower_levels_split_large_buckets_again(documents, rows, rounds, monkeypatch):
+    asked, begun = [], []
+
+    def lower_bands_short(found, newest):
+        asked.append((found.copy(), newest.copy()))
+        return np.array([1.0, 1.0] + [float(len(asked) == rounds)] * (ngram_join.BANDS - 2))
+
+    sign = ngram_join._sign
+    monkeypatch.setattr(ngram_join, "recall_of_bands", lower_bands_short)
+    monkeypatch.setattr(ngram_join, "_sign", lambda docs, folder, first, runs, levels: begun.append((first, runs, levels)) or sign(docs, folder, first, runs, levels))
+    got = near_duplicates(documents(rows), runs=4, bucket_sets=4).collect()
+    assert begun == [(0, 4, range(3)), (4, 4, range(1, 3)), (8, 8, range(1, 3))][:rounds]
+    want = brute(rows)
+    # Four runs may miss a link; none is found twice, and none is found that is not there.
+    links = {r.doc_id: r.n_links for r in got}
+    assert all(links[doc] <= n for doc, _, n in want if doc is not None)
+    assert asked[-1][0][:, 0].sum() == sum(newest[:, 0].sum() for _, newest in asked)
+    assert all((newest[:2] == 0).all() for _, newest in asked[1:])
+
+
+def test_splitting_again_finds_pairs_that_were_parted(documents, prose, monkeypatch):
+    """Near copies with a passage that hundreds of other texts share, split by one run of three levels."""
+    passage = prose(5, 60)
+    near = [(k, f"{passage} {prose(77, 8)} tail{k}") for k in range(40)]
+    other = [(1000 + k, f"{prose(3_000 + k, 120)} {passage}") for k in range(200)]
+    first = []
+
+    def until_whole(found, newest):
+        first.append(found[:, 0].sum())
+        return np.array([1.0, 1.0] + [float(len(first) == 6)] * (ngram_join.BANDS - 2))
+
+    monkeypatch.setattr(ngram_join, "recall_of_bands", until_whole)
+    got = near_duplicates(documents(near + other), runs=2, bucket_sets=16).collect()
+    assert sorted([(r.doc_id, r.class_id, r.n_links) for r in got], key=str) == brute(near + other)
+
+
 def test_one_band_below_the_target_is_seen():
     found = np.zeros((ngram_join.BANDS, 3), dtype=np.int64)
     found[1] = 1_000_000, 0, 3  # a large group of close copies
