@@ -83,6 +83,12 @@ def modified(spark: SparkSession, path: str) -> float:
     return system.getFileStatus(hadoop).getModificationTime() / 1000
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    hadoop, system = _path(spark, path)
+    return system.getContentSummary(hadoop).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file, or a folder with all in it."""
     hadoop, system = _path(spark, path)
