@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from contract.keys_ml import _highest_risk_rows
 from quayside.functions import stable
 from quayside.ml import evaluate, explain, prepare, runs, score
 from quayside.ml.split import class_ratio, stratified_split
@@ -125,6 +126,14 @@ def test_row_drivers_add_up_to_the_margin(run, rows):
     assert sizes == sorted(sizes, reverse=True) and sizes[0] > 0
 
 
+def test_tree_drivers_explain_rows_predicted_late(run, rows):
+    scorer = run.scorer("logistic")
+    flagged = _highest_risk_rows(scorer, rows.withColumnRenamed("id", "order_item_id"))
+    top = flagged.collect()
+    assert len(top) == 50 and min(r["p"] for r in top) >= scorer.threshold
+    assert [r["p"] for r in top] == sorted((r["p"] for r in top), reverse=True)
+
+
 def test_permutation_importance_ranks_the_signal_first(run, rows):
     scorer = run.scorer("logistic")
     sliced = scorer.transform(rows).select("id", F.col("late").cast("int").alias("label"), "selected")
