@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.session import new_folder
+from quayside.session import new_folder, workspace_root
 from quayside.sources import bronze, files
 from quayside.sources.lake import Lake
 from quayside.sources.snapshots import Conflict, Snapshots
@@ -152,3 +152,17 @@ def test_loads_of_one_file_at_the_same_time(spark, tmp_path):
         list(pool.map(lambda n: bronze.write_bronze(rows(spark, "a", [n, n]), root), range(3)))
     found = numbers(spark, root)
     assert len(found) == 2 and len(set(found)) == 1
+
+
+def test_a_load_is_written_once_and_not_sorted(spark, tmp_path):
+    root, before = str(tmp_path / "bronze"), files.size(spark, workspace_root(spark))
+    days = [rows(spark, "a", range(n, 4000, 4), f"2024-05-0{n + 1}") for n in range(4)]
+    every = days[0].union(days[1]).union(days[2]).union(days[3]).repartition(2)
+    added = bronze.write_bronze(every, root)
+    # Besides the files and days of the load nothing is kept elsewhere: the rows are below the root alone.
+    assert files.size(spark, workspace_root(spark)) - before < 10_000
+    assert added.columns == every.columns and sorted(r["n"] for r in added.collect()) == list(range(4000))
+    # Each of two tasks writes each day into one file, in the order of its rows.
+    written = sorted(size(root))
+    assert len(written) == 8 and files.names(spark, f"{root}/_writing") == []
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "64"
