@@ -142,6 +142,17 @@ def test_csv_copy_and_parquet_share_the_load_time(spark, tmp_path):
     assert times == {x[0] for x in lake.table("bronze_orders").select("_ingested_at").collect()} and len(times) == 1
 
 
+def test_a_load_keeps_a_packed_copy_and_no_parsed_rows(spark, tmp_path):
+    lake = Lake(spark, new_folder(spark, "packed"))
+    write_feed(tmp_path / "in", "orders.csv", ROWS)
+    kept = lambda: [n for n in files.names(spark, new_folder(spark, "x").rsplit("/", 1)[0]) if n.startswith(("parsed-", "landing-"))]
+    before = kept()
+    run = r.run_bronze(lake, {"orders": str(tmp_path / "in")}, "2024-05-01")
+    copies = [n for n in files.names(spark, f"{lake.root}/bronze/orders_csv/orders/run={run}") if n.startswith("part-")]
+    assert copies and all(n.endswith(".csv.gz") for n in copies)
+    assert kept() == before
+
+
 def test_a_lake_outlives_its_process(spark, tmp_path):
     root = new_folder(spark, "reopened")
     write_feed(tmp_path / "in", "orders.csv", ROWS)
