@@ -126,6 +126,31 @@ def test_row_drivers_add_up_to_the_margin(run, rows):
     assert sizes == sorted(sizes, reverse=True) and sizes[0] > 0
 
 
+def test_nested_row_drivers_are_the_same_without_a_shuffle(run, rows):
+    scorer = run.scorer("logistic")
+    sliced = scorer.transform(rows).select("id", "selected").checkpoint()
+    flat, nested = (
+        explain.linear_contributions(sliced, scorer.model, run.selected, run.means, ["id"], nested=n) for n in (False, True)
+    )
+    together = nested.select("id", F.inline("parts"))
+    assert together.columns == flat.columns and sorted(together.collect()) == sorted(flat.collect())
+    assert nested.count() == 1500 and "Exchange" not in nested._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_to_fit_on_are_looked_for_by_all_tasks(spark):
+    marked = spark.range(100_000, numPartitions=8).withColumn("_mark", F.xxhash64("id"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def tasks(batches):
+        seen.add(1)
+        yield from batches
+
+    few = bounded(marked.mapInArrow(tasks, marked.schema), 100_000, 500)
+    assert 400 < few.count() < 600 and seen.value == 8
+    marks = [r["_mark"] for r in few.collect()]
+    assert marks == sorted(marks) and few.rdd.getNumPartitions() == 1
+
+
 def test_tree_drivers_explain_rows_predicted_late(run, rows):
     scorer = run.scorer("logistic")
     flagged = _highest_risk_rows(scorer, rows.withColumnRenamed("id", "order_item_id"))
@@ -143,6 +168,20 @@ def test_permutation_importance_ranks_the_signal_first(run, rows):
     assert max(loss, key=lambda p: p[1])[0] == "x1" and loss == again
 
 
+def test_packed_areas_are_exact(spark):
+    random.seed(5)
+    data = [(s, random.randint(0, 1), round(random.random(), 2 + s)) for s in range(-1, 3) for _ in range(2000)] + [(3, 1, 0.5), (3, 0, 0.5)]
+    scored = spark.createDataFrame(data, "slot int, label int, score double").repartition(3)
+    totals = evaluate.score_totals(scored, "label", "score", by="slot")
+    want = {r["slot"]: r["auc"] for r in evaluate.auc(totals, by="slot").collect()}
+    for cuts in ([], [0.1, 0.5, 0.52, 0.9]):
+        assert explain.packed_areas(scored, cuts) == pytest.approx(want, abs=1e-12)
+    assert explain.packed_areas(scored.filter("slot = 3"), []) == {3: 0.5}
+    assert explain.packed_areas(scored.filter("slot = 3 AND label = 1"), []) == {3: None}
+    assert explain.score_cuts(scored.select("score"), 300_000) == sorted(explain.score_cuts(scored.select("score"), 300_000))
+    assert len(explain.score_cuts(scored.select("score"), 300_000)) == 2
+
+
 def test_bounded_fit_rows(spark, rows):
     marked = rows.withColumn("_mark", F.xxhash64("id"))
     few = bounded(marked, 1500, 300)
